@@ -76,7 +76,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _target(spark: SparkSession, table: str, **address) -> Target:
     """A table of its own for every run; few buckets, as the data is small."""
     root = fresh_path(spark, "tables")
-    return Target(f"{table}_{root[-8:]}", root=root, **address)
+    return Target(f"{table}_{root[-8:]}", root=root, buckets=8, **address)
 
 
 def _index_scan(spark, sf):
@@ -329,7 +329,7 @@ def _upsert(spark, sf):
     rows = events(spark, sf).select("user_id", "event_id", "event_type", "props", "ts")
     target = _target(spark, "users")
     before = rows.where(F.col("ts") < LAST_DAY).drop("ts")
-    upsert(spark, target, dedupe_last(before, "user_id", "event_id"), "user_id", buckets=8)
+    upsert(spark, target, dedupe_last(before, "user_id", "event_id"), "user_id")
     after = rows.where(F.col("ts") >= LAST_DAY).drop("ts", "props")
     upsert(spark, target, dedupe_last(after, "user_id", "event_id"), "user_id")
     return read_table(spark, target)
@@ -369,7 +369,7 @@ def _schema_evolve(spark, sf):
     rows = events(spark, sf).select("event_id", "event_type", "user_id", "props")
     bought = F.col("event_type") == "purchase"
     target = _target(spark, "events")
-    upsert(spark, target, rows.where(~bought).drop("props"), "event_id", buckets=8)
+    upsert(spark, target, rows.where(~bought).drop("props"), "event_id")
     upsert(spark, target, rows.where(bought), "event_id")
     return read_table(spark, target)
 
@@ -377,7 +377,7 @@ def _schema_evolve(spark, sf):
 def _target_address(spark, sf):
     target = _target(spark, "users", namespace="crawls::::by_user", branch="review")
     rows = events(spark, sf).select("user_id", "event_id")
-    upsert(spark, target, dedupe_last(rows, "user_id", "event_id"), "user_id", buckets=8)
+    upsert(spark, target, dedupe_last(rows, "user_id", "event_id"), "user_id")
     stored = spark.sql(f"SELECT user_id, event_id FROM {target.name}")
     return stored.withColumn("namespace", F.lit(target.database))
 

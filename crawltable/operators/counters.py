@@ -10,7 +10,8 @@ def read_counters(captures: DataFrame) -> DataFrame:
     """One row with totals over the per-pointer rows of ``read_archive``.
 
     Taken from staged rows rather than from accumulators, so tasks that ran twice
-    are not counted twice. Only the numbers are read.
+    are not counted twice. Bodies and texts are not read. ``last`` is the URL and file
+    of the last pointer.
     """
 
     def total(name: str) -> Column:
@@ -22,6 +23,7 @@ def read_counters(captures: DataFrame) -> DataFrame:
         F.count("*").alias("files_read"),
         total("bytes").alias("bytes_read"),
         total("requests").alias("requests"),
+        F.max_by(F.struct("url", "filename"), "position").alias("last"),
     )
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET = "key_bucket"
-DEFAULT_BUCKETS = 64
 MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 
 _KEY_PROPERTY = "crawltable.key"
@@ -23,12 +22,17 @@ _BUCKETS_PROPERTY = "crawltable.buckets"
 
 @dataclass(frozen=True)
 class Target:
-    """Where rows go. ``root`` holds the data; unset, the database's own folder does."""
+    """Where rows go.
+
+    ``root`` holds the data; unset, the database's own folder does. ``buckets`` counts
+    when the table is made: choose it so that a bucket will be some gigabytes.
+    """
 
     table: str
     namespace: str | tuple[str, ...] | None = None
     branch: str | None = None
     root: str | None = None
+    buckets: int = 64
 
     @property
     def parts(self) -> tuple[str, ...]:
@@ -58,21 +62,16 @@ def _literal(text: str) -> str:
 
 
 def ensure_table(
-    spark: SparkSession,
-    target: Target,
-    schema: T.StructType,
-    key: str,
-    buckets: int = DEFAULT_BUCKETS,
+    spark: SparkSession, target: Target, schema: T.StructType, key: str
 ) -> None:
     """Create the table if it is missing, else add the columns it lacks.
 
-    Columns are compared by name; none is dropped or changes its type. ``buckets``
-    counts for a new table: choose it so that a bucket is about a gigabyte.
+    Columns are compared by name; none is dropped or changes its type.
     """
     if key not in schema.names:
         raise ValueError(f"the schema lacks the key column {key!r}")
     if not spark.catalog.tableExists(target.name):
-        _create_table(spark, target, schema, key, buckets)
+        _create_table(spark, target, schema, key)
         return
     known = {name.lower() for name in spark.table(target.name).columns}
     missing = [f for f in schema.fields if f.name.lower() not in known]
@@ -81,7 +80,7 @@ def ensure_table(
         spark.sql(f"ALTER TABLE {target.name} ADD COLUMNS ({added})")
 
 
-def _create_table(spark, target, schema, key, buckets):
+def _create_table(spark, target, schema, key):
     if target.database is not None:
         at = f" LOCATION {_literal(f'{target.root}/{target.database}')}" if target.root else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(target.database)}{at}")
@@ -93,7 +92,7 @@ def _create_table(spark, target, schema, key, buckets):
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {target.name} ({columns}, {BUCKET} INT) USING parquet "
         f"PARTITIONED BY ({BUCKET}) {at} TBLPROPERTIES "
-        f"({_literal(_KEY_PROPERTY)} = {_literal(key)}, '{_BUCKETS_PROPERTY}' = '{buckets}')"
+        f"({_literal(_KEY_PROPERTY)} = {_literal(key)}, '{_BUCKETS_PROPERTY}' = '{target.buckets}')"
     )
 
 
@@ -123,20 +122,14 @@ def merge_schema(
     return T.StructType(list(fields.values()))
 
 
-def upsert(
-    spark: SparkSession,
-    target: Target,
-    updates: DataFrame,
-    key: str,
-    buckets: int = DEFAULT_BUCKETS,
-) -> None:
+def upsert(spark: SparkSession, target: Target, updates: DataFrame, key: str) -> None:
     """Update the rows of known keys and insert the rest.
 
     ``updates`` has one row per key (see ``dedupe_last``). Columns it lacks keep
     their value in updated rows and are null in inserted ones.
     """
     schema = merge_schema(None, updates.schema, key)
-    ensure_table(spark, target, schema, key, buckets)
+    ensure_table(spark, target, schema, key)
     details = _details(spark, target)
     if details["provider"] in MERGE_PROVIDERS:
         _merge_into(target, updates, key)
@@ -178,43 +171,43 @@ def key_bucket(key: str, buckets: int) -> Column:
 
 
 def merge_rows(
-    current: DataFrame, updates: DataFrame, key: str, within: list[str]
+    current: DataFrame, updates: DataFrame, key: str, spread: dict[str, Column]
 ) -> DataFrame:
     """``current`` with the updated rows in place of those of the same key.
 
     One window over both sides instead of a join: an update, if there is one, comes
-    first among the rows of its key. ``within`` names columns the key determines and
-    the rows are already partitioned by.
+    first among the rows of its key. ``spread`` gives columns the key determines, by
+    which the rows are to be partitioned; they are part of the result.
     """
     old = current.withColumn("_new", F.lit(False))
     new = updates.withColumn("_new", F.lit(True))
-    both = old.unionByName(new, allowMissingColumns=True)
-    if within:
-        both = both.repartition(*within)
-    newest = Window.partitionBy(*within, key).orderBy(F.col("_new").desc())
-    kept = [
-        F.when(F.col("_new"), F.lead(c).over(newest)).otherwise(F.col(c)).alias(c)
+    both = old.unionByName(new, allowMissingColumns=True).withColumns(spread)
+    if spread:
+        both = both.repartition(*spread)
+    newest = Window.partitionBy(*spread, key).orderBy(F.col("_new").desc())
+    values = {
+        c: F.when(F.col("_new"), F.lead(c).over(newest)).otherwise(F.col(c))
         for c in current.columns
         if c not in updates.columns
-    ]
-    marked = both.select(
-        *updates.columns, *kept, "_new", F.first("_new").over(newest).alias("_updated")
-    )
-    return marked.where(F.col("_new") | ~F.col("_updated")).select(*current.columns)
+    }
+    merged = both.withColumns({**values, "_updated": F.first("_new").over(newest)})
+    return merged.where(F.col("_new") | ~F.col("_updated")).select(*current.columns, *spread)
 
 
 def _rewrite_buckets(spark, target, updates, key, details):
-    updates = updates.withColumn(
-        BUCKET, key_bucket(key, int(details["properties"][_BUCKETS_PROPERTY]))
-    )
+    buckets = int(details["properties"][_BUCKETS_PROPERTY])
     # At most one number per bucket; only the key is read to find them.
-    touched = sorted(r[0] for r in updates.select(BUCKET).distinct().collect())
+    keys = updates.select(key_bucket(key, buckets).alias(BUCKET))
+    touched = sorted(r[0] for r in keys.distinct().collect())
     if not touched:
         return
-    current = spark.table(target.name).where(F.col(BUCKET).isin(touched))
-    # The one shuffle: a bucket meets its updates in one task, which writes one file
-    # sorted by key. Keys are spread by hash, so buckets are even.
-    merged = merge_rows(current, updates, key, [BUCKET])
+    current = spark.table(target.name).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    # The one shuffle: rows meet their updates in the task that writes them, sorted by
+    # key. Few buckets are split over more tasks, so that all cores have work.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    split = F.pmod(F.hash(key), F.lit(max(1, tasks // len(touched))))
+    spread = {BUCKET: key_bucket(key, buckets), "_split": split}
+    merged = merge_rows(current, updates, key, spread).drop("_split")
     commit = f"{details['folder']}/{uuid.uuid4().hex}"
     merged.write.partitionBy(BUCKET).parquet(commit)
 
@@ -235,7 +228,7 @@ def _rewrite_table(spark, target, updates, key, details):
     """For a file table made elsewhere: a new copy that the catalog then points to."""
     if details["partitioned"]:
         raise ValueError(f"{target.name} has partitions of its own; upsert cannot keep them")
-    merged = merge_rows(spark.table(target.name), updates, key, [])
+    merged = merge_rows(spark.table(target.name), updates, key, {})
     copy = f"{details['folder']}-{uuid.uuid4().hex}"
     merged.write.format(details["provider"]).save(copy)
     spark.sql(f"ALTER TABLE {target.name} SET LOCATION {_literal(copy)}")

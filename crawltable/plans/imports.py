@@ -1,6 +1,8 @@
 """Whole imports: select captures, read archives, extract rows, upsert them."""
 
-from collections.abc import Callable, Sequence
+import threading
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,7 @@ from crawltable.workspace import stage
 DEFAULT_TABLE = "captures"
 BATCH_SIZE = 100
 SCOPE_LIMIT = 10
+HEARTBEAT_SECONDS = 5.0
 
 # Where no partition count is given: captures per archive-reading task, and the
 # tasks per core beyond which tasks get larger instead of more.
@@ -46,6 +49,7 @@ class ProgressEvent(NamedTuple):
     skipped: int = 0
     files_read: int = 0
     pending: int = 0
+    current_url: str | None = None
     current_file: str | None = None
     bytes_read: int = 0
     requests: int = 0
@@ -127,7 +131,10 @@ def import_domain(
         captures = select_captures(index, site, match, url_patterns, limit, ordered=False)
         position = F.col("url")
     report("index_querying", current_file=place)
-    pointers = to_pointers(captures).withColumn("position", position)
+    with _heartbeat(report, "index_querying", place):
+        pointers = stage(to_pointers(captures).withColumn("position", position), "pointers")
+    found = pointers.count()
+    report("index_batch_scanned", current_file=place, pending=found)
     return _import(spark, pointers, archive, target, read, report)
 
 
@@ -152,7 +159,7 @@ def import_cdx(
     _prepare(spark, target, read, report)
     cdx = read_cdx(spark, path)
     captures = select_cdx(cdx, site, match, url_patterns, limit, ordered=False)
-    return _import(spark, captures, archive, target, read, report)
+    return _import(spark, stage(captures, "pointers"), archive, target, read, report)
 
 
 def import_scope(
@@ -184,14 +191,38 @@ class Reporter:
         self.on_progress = on_progress
         self.event = ProgressEvent("started")
 
-    def __call__(self, stage_name: str, current_file: str | None = None, **counters) -> None:
+    def __call__(
+        self,
+        stage_name: str,
+        current_url: str | None = None,
+        current_file: str | None = None,
+        **counters: int,
+    ) -> None:
         self.event = self.event._replace(
-            stage=stage_name, current_file=current_file, **counters
+            stage=stage_name, current_url=current_url, current_file=current_file, **counters
         )
         if self.on_progress is not None:
             self.on_progress(self.event)
 
 
+@contextmanager
+def _heartbeat(report: Reporter, stage_name: str, place: str) -> Iterator[None]:
+    """Repeat an event every few seconds while Spark is at work."""
+    done = threading.Event()
+
+    def beat() -> None:
+        while not done.wait(HEARTBEAT_SECONDS):
+            report(stage_name, current_file=place)
+
+    thread = threading.Thread(target=beat, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        done.set()
+        thread.join()
+
+
 def _prepare(spark, target, read, report):
     """The table exists before the first row, so an empty import leaves it empty."""
     ensure_table(spark, target, read.schema, read.key)
@@ -199,7 +230,6 @@ def _prepare(spark, target, read, report):
 
 
 def _import(spark, pointers, archive, target, read, report):
-    pointers = stage(pointers, "pointers")
     matched = pointers.count()
     report("record_matched", matched=matched, files_read=matched, pending=matched)
     counters = import_pointers(spark, pointers, archive, target, read, report, matched)
@@ -238,15 +268,14 @@ def import_pointers(
         "archive",
     )
     totals = read_counters(captures).first().asDict()
+    last = totals.pop("last") or (None, None)
     rows = archive_rows(captures)
     imported = imported_count(rows, read.key, "_arrival", read.batch_size).first()["imported"]
-    report(
-        "record_extracted",
-        bytes_read=totals["bytes_read"], requests=totals["requests"], pending=imported,
-    )
+    read_so_far = {name: totals[name] for name in ("bytes_read", "requests")}
     if totals["skipped"]:
-        report("record_skipped", skipped=totals["skipped"])
+        report("record_skipped", *last, skipped=totals["skipped"], **read_so_far)
+    report("record_extracted", *last, pending=imported, **read_so_far)
     updates = dedupe_last(rows, read.key, "_arrival").drop("_arrival")
     upsert(spark, target, updates, read.key)
-    report("batch_merged", imported=imported, pending=0)
+    report("batch_merged", *last, imported=imported, pending=0)
     return ImportCounters(imported=imported, **totals)

@@ -21,7 +21,7 @@ from crawltable.workspace import fresh_path, stage
 
 _EVENT_SCHEMA = (
     "stage string, matched bigint, imported bigint, skipped bigint, files_read bigint, "
-    "pending bigint, current_file string, bytes_read bigint, requests bigint"
+    "pending bigint, current_url string, current_file string, bytes_read bigint, requests bigint"
 )
 
 
