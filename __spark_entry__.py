@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import os
-import re
 import sys
 from collections.abc import Callable
 
@@ -13,7 +12,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import crawltable
 import fixtures
@@ -46,6 +44,7 @@ from crawltable.streaming.stream import import_stream, read_progress, stream_ups
 from crawltable.workspace import fresh_path
 from fixtures import oracle as O
 from fixtures.derived import CRAWLS, ccindex, crawl_store, pages
+from fixtures.extractors import TITLED_SCHEMA, titled_page
 
 # Executors need not have this folder on their path.
 cloudpickle.register_pickle_by_value(crawltable)
@@ -217,27 +216,6 @@ def _extract_default(spark, sf):
     return rows.select("url", "date", "content_type", "text")
 
 
-def titled_page(record, body):
-    """Title and number of links; a page without a title is skipped."""
-    markup = body.decode()
-    title = re.search("<title>(.*?)</title>", markup)
-    if title is None:
-        return None
-    return {
-        "url": record.headers["warc-target-uri"],
-        "title": title[1],
-        "links": markup.count("<a href="),
-    }
-
-
-TITLED_SCHEMA = (
-    T.StructType()
-    .add("url", T.StringType())
-    .add("title", T.StringType())
-    .add("links", T.LongType())
-)
-
-
 def _extract_custom(spark, sf):
     rows = _all_captures(spark, sf, titled_page, TITLED_SCHEMA)
     return rows.select("url", "title", "links")

@@ -2,6 +2,7 @@
 
 import threading
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -269,13 +270,18 @@ def import_pointers(
     )
     totals = read_counters(captures).first().asDict()
     last = totals.pop("last") or (None, None)
-    rows = archive_rows(captures)
-    imported = imported_count(rows, read.key, "_arrival", read.batch_size).first()["imported"]
     read_so_far = {name: totals[name] for name in ("bytes_read", "requests")}
     if totals["skipped"]:
         report("record_skipped", *last, skipped=totals["skipped"], **read_so_far)
-    report("record_extracted", *last, pending=imported, **read_so_far)
-    updates = dedupe_last(rows, read.key, "_arrival").drop("_arrival")
-    upsert(spark, target, updates, read.key)
+    rows = archive_rows(captures)
+    # The count and the merge read the same staged rows and can share the cluster.
+    with ThreadPoolExecutor(1) as beside:
+        counting = beside.submit(
+            lambda: imported_count(rows, read.key, "_arrival", read.batch_size).first()
+        )
+        report("record_extracted", *last, pending=matched, **read_so_far)
+        updates = dedupe_last(rows, read.key, "_arrival").drop("_arrival")
+        upsert(spark, target, updates, read.key)
+        imported = counting.result()["imported"]
     report("batch_merged", *last, imported=imported, pending=0)
     return ImportCounters(imported=imported, **totals)

@@ -60,7 +60,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
     lines = lines.select("line", position.alias("position"))
     parsed = lines.where(F.col("line") != "").select(
-        F.parse_json("line").alias("capture"), "position"
+        F.try_parse_json("line").alias("capture"), "position"
     )
     return parsed.select(
         _text("url"),

@@ -8,6 +8,7 @@ import gzip
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -130,9 +131,10 @@ def _with_places(batch, name, places, names):
 
 
 def _member(kind: str, capture: dict, block: bytes) -> bytes:
+    time = capture["fetch_time"].astimezone(UTC)
     head = (
         f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {capture['url']}\r\n"
-        f"WARC-Date: {capture['fetch_time']:%Y-%m-%dT%H:%M:%S}Z\r\n"
+        f"WARC-Date: {time:%Y-%m-%dT%H:%M:%S}Z\r\n"
         f"Content-Type: application/http; msgtype={kind}\r\n"
         f"Content-Length: {len(block)}\r\n\r\n"
     )

@@ -1,0 +1,172 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from crawltable.operators.counters import imported_count
+from crawltable.operators.dedupe import dedupe_last
+from crawltable.operators.upsert import (
+    BUCKET,
+    Target,
+    ensure_table,
+    merge_schema,
+    read_table,
+    upsert,
+)
+
+
+@pytest.fixture
+def target(tmp_path, request):
+    name = "".join(c if c.isalnum() else "_" for c in request.node.name)
+    return Target(name, root=str(tmp_path), buckets=4)
+
+
+def table(spark, target, *order):
+    return read_table(spark, target).orderBy(*(order or ["k"])).collect()
+
+
+def rows(spark, data, schema="k string, a int"):
+    return spark.createDataFrame(data, schema)
+
+
+def test_updates_and_inserts(spark, target):
+    upsert(spark, target, rows(spark, [("x", 1), ("y", 2), ("", 3)]), "k")
+    upsert(spark, target, rows(spark, [("y", 20), ("z", 30), ("", None)]), "k")
+    assert table(spark, target) == [("", None), ("x", 1), ("y", 20), ("z", 30)]
+
+
+def test_an_upsert_can_be_repeated(spark, target):
+    updates = rows(spark, [("x", 1), ("y", 2)])
+    for _ in range(2):
+        upsert(spark, target, updates, "k")
+    assert table(spark, target) == [("x", 1), ("y", 2)]
+
+
+def test_only_touched_buckets_are_rewritten(spark, target):
+    upsert(spark, target, rows(spark, [(str(i), i) for i in range(100)]), "k")
+
+    def files():
+        stored = spark.table(target.name).select(BUCKET, F.input_file_name().alias("file"))
+        return {r[BUCKET]: r.file for r in stored.distinct().collect()}
+
+    before = files()
+    upsert(spark, target, rows(spark, [("7", -7)]), "k")
+    changed = [b for b, file in files().items() if before[b] != file]
+    assert len(before) == 4 and len(changed) == 1
+    assert read_table(spark, target).agg(F.sum("a")).first()[0] == 4950 - 14
+
+
+def test_readers_of_the_old_state_are_not_disturbed(spark, target):
+    upsert(spark, target, rows(spark, [("x", 1)]), "k")
+    old = read_table(spark, target)
+    old.explain()
+    files = old.inputFiles()
+    upsert(spark, target, rows(spark, [("x", 2)]), "k")
+    assert spark.read.parquet(*files).select("a").collect() == [(1,)]
+
+
+def test_one_shuffle_for_the_merge(spark, target):
+    from crawltable.operators.upsert import key_bucket, merge_rows
+
+    upsert(spark, target, rows(spark, [("x", 1)]), "k")
+    current = read_table(spark, target)
+    spread = {BUCKET: key_bucket("k", 4), "_split": F.pmod(F.hash("k"), F.lit(2))}
+    merged = merge_rows(current, rows(spark, [("x", 2)]), "k", spread)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_columns_grow_and_are_kept(spark, target):
+    upsert(spark, target, rows(spark, [("x", 1), ("y", 2)]), "k")
+    upsert(spark, target, rows(spark, [("y", "b"), ("z", "c")], "k string, n string"), "k")
+    assert read_table(spark, target).columns == ["k", "a", "n"]
+    # An update keeps what it does not know; an insert has null there.
+    assert table(spark, target) == [("x", 1, None), ("y", 2, "b"), ("z", None, "c")]
+    # A known column that a row lacks is overwritten with null.
+    upsert(spark, target, rows(spark, [("y", None, None)], "k string, a int, n string"), "k")
+    assert table(spark, target)[1] == ("y", None, None)
+
+
+def test_an_existing_table_keeps_its_columns_and_types(spark, target):
+    schema = T.StructType().add("k", T.StringType()).add("a", T.IntegerType())
+    ensure_table(spark, target, schema, "k")
+    ensure_table(spark, target, T.StructType().add("k", T.StringType()).add("A", T.StringType()), "k")
+    assert read_table(spark, target).dtypes == [("k", "string"), ("a", "int")]
+    assert read_table(spark, target).count() == 0
+
+
+def test_no_rows_change_nothing(spark, target):
+    upsert(spark, target, rows(spark, []), "k")
+    assert table(spark, target) == []
+
+
+def test_key_must_be_a_column(spark, target):
+    with pytest.raises(ValueError):
+        upsert(spark, target, rows(spark, [("x", 1)]), "url")
+
+
+def test_number_keys_and_null_keys(spark, target):
+    upsert(spark, target, rows(spark, [(1, 1), (None, 2)], "k bigint, a int"), "k")
+    upsert(spark, target, rows(spark, [(None, 3)], "k bigint, a int"), "k")
+    assert table(spark, target) == [(None, 3), (1, 1)]
+
+
+def test_plain_tables_are_copied_whole(spark, tmp_path):
+    spark.sql(f"CREATE TABLE plain_one (k STRING, a INT) USING parquet LOCATION '{tmp_path}/plain'")
+    spark.sql("INSERT INTO plain_one VALUES ('x', 1), ('y', 2), ('y', 3)")
+    target = Target("plain_one")
+    upsert(spark, target, rows(spark, [("x", 10), ("z", 30)]), "k")
+    # Rows that were there twice and are not updated stay so.
+    assert table(spark, target, "k", "a") == [("x", 10), ("y", 2), ("y", 3), ("z", 30)]
+
+
+def test_tables_with_other_partitions_are_refused(spark, tmp_path):
+    spark.sql(f"CREATE TABLE parted_one (k STRING, a INT) USING parquet PARTITIONED BY (a) LOCATION '{tmp_path}/p'")
+    with pytest.raises(ValueError, match="partitions of its own"):
+        upsert(spark, Target("parted_one"), rows(spark, [("x", 10)]), "k")
+
+
+def test_addresses(spark, tmp_path):
+    assert Target("t").name == "`t`"
+    assert Target("t", "a::::b").name == "`a__b`.`t`"
+    assert Target("t", ("a", "b"), "dev").name == "`a__b`.`t__dev`"
+    assert Target("t", "  ").database is None
+    main = Target("t", "ns::x", root=str(tmp_path))
+    branch = Target("t", "ns::x", "dev", root=str(tmp_path))
+    upsert(spark, main, rows(spark, [("x", 1)]), "k")
+    upsert(spark, branch, rows(spark, [("x", 2)]), "k")
+    assert table(spark, main) == [("x", 1)] and table(spark, branch) == [("x", 2)]
+    assert spark.sql("SELECT a FROM ns__x.t").collect() == [(1,)]
+
+
+def test_merge_schema():
+    declared = T.StructType([T.StructField("k", T.StringType(), False), T.StructField("a", T.IntegerType())])
+    found = T.StructType().add("a", T.StringType()).add("b", T.NullType()).add("c", T.LongType())
+    merged = merge_schema(declared, found, "k")
+    assert [(f.name, f.dataType.simpleString(), f.nullable) for f in merged] == [
+        ("k", "string", False), ("a", "int", True), ("b", "string", True), ("c", "bigint", True),
+    ]
+    assert merge_schema(None, T.StructType().add("k", T.LongType()), "k")["k"].nullable is False
+    with pytest.raises(ValueError):
+        merge_schema(None, found, "k")
+
+
+def test_last_row_wins_at_the_place_of_the_first(spark):
+    data = [("b", 1, 0), ("a", 2, 1), ("b", 3, 2), (None, 4, 3), (None, None, 4)]
+    kept = dedupe_last(rows(spark, data, "k string, v int, i int"), "k", "i", first_seen="first")
+    assert kept.orderBy("first").collect() == [("b", 3, 2, 0), ("a", 2, 1, 1), (None, None, 4, 3)]
+
+
+def test_a_hot_key_is_aggregated_before_the_shuffle(spark):
+    data = spark.range(0, 1000, 1, 4).select(F.lit("k").alias("k"), F.col("id").alias("i"))
+    plan = dedupe_last(data, "k", "i")._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.index("Exchange") :]
+    assert "Aggregate" in before and "partial_max_by" in before
+
+
+@pytest.mark.parametrize("batch_size", [1, 3, 100])
+def test_imported_count_equals_merging_batch_by_batch(spark, batch_size):
+    keys = [(i * i) % 7 if i % 5 else None for i in range(50)]
+    batches = [keys[i : i + batch_size] for i in range(0, len(keys), batch_size)]
+    data = rows(spark, [(k, i * 3) for i, k in enumerate(keys)], "k int, i int").repartition(5)
+    counted = imported_count(data, "k", "i", batch_size).first()["imported"]
+    assert counted == sum(len(set(batch)) for batch in batches)
