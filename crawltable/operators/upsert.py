@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 BUCKET = "key_bucket"
 MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 
+# Keys up to this size are broadcast, each counted with its share of a hash table.
+BROADCAST_BYTES = 32 << 20
+KEY_OVERHEAD = 64
+
 _KEY_PROPERTY = "crawltable.key"
 _BUCKETS_PROPERTY = "crawltable.buckets"
 
@@ -194,20 +198,40 @@ def merge_rows(
     return merged.where(F.col("_new") | ~F.col("_updated")).select(*current.columns, *spread)
 
 
+def replace_rows(
+    current: DataFrame, updates: DataFrame, key: str, spread: dict[str, Column]
+) -> DataFrame:
+    """The same for few updates that have all columns: the target is not shuffled.
+
+    Its rows stay where they are read, which is by bucket, and lose those whose key
+    is among the broadcast ones.
+    """
+    keys = F.broadcast(updates.select(F.col(key).alias("_key")))
+    kept = current.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    new = updates.withColumns(spread).repartition(*spread)
+    return kept.withColumns(spread).unionByName(new)
+
+
 def _rewrite_buckets(spark, target, updates, key, details):
     buckets = int(details["properties"][_BUCKETS_PROPERTY])
-    # At most one number per bucket; only the key is read to find them.
-    keys = updates.select(key_bucket(key, buckets).alias(BUCKET))
-    touched = sorted(r[0] for r in keys.distinct().collect())
+    # At most one row per bucket; only the key is read to find them.
+    sizes = (
+        updates.groupBy(key_bucket(key, buckets).alias(BUCKET))
+        .agg(F.sum(F.octet_length(F.col(key).cast("string")) + KEY_OVERHEAD).alias("size"))
+        .collect()
+    )
+    touched = sorted(r[BUCKET] for r in sizes)
     if not touched:
         return
     current = spark.table(target.name).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    # The one shuffle: rows meet their updates in the task that writes them, sorted by
-    # key. Few buckets are split over more tasks, so that all cores have work.
+    # Few buckets are split over more tasks, so that all cores have work.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     split = F.pmod(F.hash(key), F.lit(max(1, tasks // len(touched))))
     spread = {BUCKET: key_bucket(key, buckets), "_split": split}
-    merged = merge_rows(current, updates, key, spread).drop("_split")
+    small = sum(r["size"] or KEY_OVERHEAD for r in sizes) <= BROADCAST_BYTES
+    complete = set(current.columns) <= set(updates.columns)
+    merge = replace_rows if small and complete else merge_rows
+    merged = merge(current, updates, key, spread).drop("_split")
     commit = f"{details['folder']}/{uuid.uuid4().hex}"
     merged.write.partitionBy(BUCKET).parquet(commit)
 

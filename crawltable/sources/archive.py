@@ -56,10 +56,9 @@ def read_archive(
     Up to ``concurrency`` reads of a task are outstanding.
     """
     place = ["filename", "offset"] + [c for c in pointers.columns if c == "position"]
-    if read_partitions is None:
-        spread = pointers.repartitionByRange(*place)
-    else:
-        spread = pointers.repartitionByRange(read_partitions, *place)
+    # With a number, so that pointers, being small, are not merged into few tasks.
+    shuffle_partitions = int(pointers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pointers.repartitionByRange(read_partitions or shuffle_partitions, *place)
     row_type = to_arrow_type(schema)
     out = T.StructType(
         pointers.schema.fields

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawltable.operators import upsert as upserts
 from crawltable.operators.counters import imported_count
 from crawltable.operators.dedupe import dedupe_last
 from crawltable.operators.upsert import (
@@ -28,7 +29,9 @@ def rows(spark, data, schema="k string, a int"):
     return spark.createDataFrame(data, schema)
 
 
-def test_updates_and_inserts(spark, target):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_updates_and_inserts(spark, target, monkeypatch, limit):
+    monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
     upsert(spark, target, rows(spark, [("x", 1), ("y", 2), ("", 3)]), "k")
     upsert(spark, target, rows(spark, [("y", 20), ("z", 30), ("", None)]), "k")
     assert table(spark, target) == [("", None), ("x", 1), ("y", 20), ("z", 30)]
@@ -64,15 +67,15 @@ def test_readers_of_the_old_state_are_not_disturbed(spark, target):
     assert spark.read.parquet(*files).select("a").collect() == [(1,)]
 
 
-def test_one_shuffle_for_the_merge(spark, target):
-    from crawltable.operators.upsert import key_bucket, merge_rows
-
+@pytest.mark.parametrize("merge", [upserts.merge_rows, upserts.replace_rows])
+def test_one_shuffle_for_the_merge(spark, target, merge):
     upsert(spark, target, rows(spark, [("x", 1)]), "k")
     current = read_table(spark, target)
-    spread = {BUCKET: key_bucket("k", 4), "_split": F.pmod(F.hash("k"), F.lit(2))}
-    merged = merge_rows(current, rows(spark, [("x", 2)]), "k", spread)
+    spread = {BUCKET: upserts.key_bucket("k", 4), "_split": F.pmod(F.hash("k"), F.lit(2))}
+    merged = merge(current, rows(spark, [("x", 2)]), "k", spread)
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert ("BroadcastHashJoin" in plan) == (merge is upserts.replace_rows)
 
 
 def test_columns_grow_and_are_kept(spark, target):
@@ -104,7 +107,9 @@ def test_key_must_be_a_column(spark, target):
         upsert(spark, target, rows(spark, [("x", 1)]), "url")
 
 
-def test_number_keys_and_null_keys(spark, target):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_number_keys_and_null_keys(spark, target, monkeypatch, limit):
+    monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
     upsert(spark, target, rows(spark, [(1, 1), (None, 2)], "k bigint, a int"), "k")
     upsert(spark, target, rows(spark, [(None, 3)], "k bigint, a int"), "k")
     assert table(spark, target) == [(None, 3), (1, 1)]
