@@ -134,6 +134,7 @@ def upsert(spark: SparkSession, target: Target, updates: DataFrame, key: str) ->
     """
     schema = merge_schema(None, updates.schema, key)
     ensure_table(spark, target, schema, key)
+    updates = _as_stored(spark.table(target.name).schema, updates)
     details = _details(spark, target)
     if details["provider"] in MERGE_PROVIDERS:
         _merge_into(target, updates, key)
@@ -143,6 +144,13 @@ def upsert(spark: SparkSession, target: Target, updates: DataFrame, key: str) ->
         _rewrite_table(spark, target, updates, key, details)
 
 
+def _as_stored(schema: T.StructType, updates: DataFrame) -> DataFrame:
+    """Names and types as the table has them; a value that does not fit fails."""
+    stored = {f.name.lower(): f for f in schema.fields}
+    fields = [(c, stored[c.lower()]) for c in updates.columns]
+    return updates.select(*(F.col(c).cast(f.dataType).alias(f.name) for c, f in fields))
+
+
 def _details(spark: SparkSession, target: Target) -> dict:
     rows = spark.sql(f"DESCRIBE EXTENDED {target.name}").collect()
     described = {r.col_name: r.data_type for r in rows}

@@ -16,8 +16,20 @@ from crawltable.operators.dedupe import dedupe_last
 from crawltable.operators.extract import DEFAULT_SCHEMA, default_extract
 from crawltable.operators.pointers import is_given, select_with_query, to_pointers
 from crawltable.operators.select import select_captures
-from crawltable.operators.upsert import Target, ensure_table, read_table, upsert
-from crawltable.sources.archive import Extractor, archive_rows, read_archive
+from crawltable.operators.upsert import (
+    Target,
+    ensure_table,
+    merge_schema,
+    read_table,
+    upsert,
+)
+from crawltable.sources.archive import (
+    Extractor,
+    archive_rows,
+    infer_schema,
+    read_archive,
+    typed_rows,
+)
 from crawltable.sources.cdx import read_cdx, select_cdx
 from crawltable.sources.index import index_location, latest_crawl, open_index, scan_index
 from crawltable.workspace import stage
@@ -63,7 +75,8 @@ class ReadOptions(NamedTuple):
     """How archives are read and what is made of them."""
 
     extractor: Extractor = default_extract
-    schema: T.StructType = DEFAULT_SCHEMA
+    schema: T.StructType | None = DEFAULT_SCHEMA
+    grow: bool = False
     key: str = "url"
     batch_size: int = BATCH_SIZE
     read_partitions: int | None = None
@@ -80,18 +93,25 @@ class ReadOptions(NamedTuple):
         for name in ("retries", "retry_delay"):
             if getattr(self, name) < 0:
                 raise ValueError(f"{name} must not be negative")
-        if self.key not in self.schema.names:
+        if self.schema is not None and self.key not in self.schema.names:
             raise ValueError(f"the schema lacks the key column {self.key!r}")
         return self
 
 
-def read_options(extractor: Extractor | None = None, schema=None, **options) -> ReadOptions:
-    """Checked options; an extractor of one's own comes with its schema."""
+def read_options(
+    extractor: Extractor | None = None,
+    schema: T.StructType | None = None,
+    grow: bool = False,
+    **options,
+) -> ReadOptions:
+    """Checked options of an import.
+
+    With ``grow`` an extractor may return columns that ``schema`` lacks, and without a
+    schema all columns are found that way; this takes another pass over the rows.
+    """
     if extractor is None:
         return ReadOptions(schema=schema or DEFAULT_SCHEMA, **options).check()
-    if schema is None:
-        raise ValueError("an extractor needs the schema of its rows")
-    return ReadOptions(extractor, schema, **options).check()
+    return ReadOptions(extractor, schema, grow or schema is None, **options).check()
 
 
 def import_domain(
@@ -225,8 +245,9 @@ def _heartbeat(report: Reporter, stage_name: str, place: str) -> Iterator[None]:
 
 
 def _prepare(spark, target, read, report):
-    """The table exists before the first row, so an empty import leaves it empty."""
-    ensure_table(spark, target, read.schema, read.key)
+    """With a known schema even an import without rows leaves a table."""
+    if read.schema is not None:
+        ensure_table(spark, target, read.schema, read.key)
     report("started")
 
 
@@ -235,6 +256,8 @@ def _import(spark, pointers, archive, target, read, report):
     report("record_matched", matched=matched, files_read=matched, pending=matched)
     counters = import_pointers(spark, pointers, archive, target, read, report, matched)
     report("completed", pending=0)
+    if not spark.catalog.tableExists(target.name):
+        return spark.createDataFrame([], T.StructType()), counters
     return read_table(spark, target), counters
 
 
@@ -261,7 +284,7 @@ def import_pointers(
     """
     captures = stage(
         read_archive(
-            pointers, archive, read.extractor, read.schema, read.key,
+            pointers, archive, read.extractor, None if read.grow else read.schema, read.key,
             read.retries, read.retry_delay,
             read.read_partitions or _read_tasks(spark, matched),
             read.concurrency,
@@ -273,6 +296,11 @@ def import_pointers(
     read_so_far = {name: totals[name] for name in ("bytes_read", "requests")}
     if totals["skipped"]:
         report("record_skipped", *last, skipped=totals["skipped"], **read_so_far)
+    if read.grow:
+        found = infer_schema(captures)
+        if not found.fields:
+            return ImportCounters(imported=0, **totals)
+        captures = typed_rows(captures, merge_schema(read.schema, found, read.key))
     rows = archive_rows(captures)
     # The count and the merge read the same staged rows and can share the cluster.
     with ThreadPoolExecutor(1) as beside:

@@ -1,10 +1,11 @@
 """Byte-range reads of web archives, fused with extraction in one Arrow stage."""
 
+import pickle
 import re
 import time
 import zlib
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -13,7 +14,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 
 from crawltable.sources.index import STORE_REGION, has_credentials
 
@@ -21,6 +22,7 @@ from crawltable.sources.index import STORE_REGION, has_credentials
 FLUSH_BYTES = 8 << 20
 
 READ_COLUMNS = "bytes bigint, requests bigint, skipped bigint, rows array<{row}>"
+SHAPES = "shapes array<struct<name:string,type:string,place:int>>"
 
 
 @dataclass(frozen=True)
@@ -39,7 +41,7 @@ def read_archive(
     pointers: DataFrame,
     base: str,
     extractor: Extractor,
-    schema: T.StructType,
+    schema: T.StructType | None,
     key: str | None = None,
     retries: int = 3,
     retry_delay: float = 1.0,
@@ -49,7 +51,9 @@ def read_archive(
     """Read each pointer's bytes and run ``extractor`` on the responses in them.
 
     Keeps one row per pointer and adds ``bytes``, ``requests``, ``skipped`` and
-    ``rows``, so that counters are not multiplied by the number of responses.
+    ``rows``, so that counters are not multiplied by the number of responses. Without
+    a schema ``rows`` holds pickled rows and ``shapes`` the columns found in them; see
+    ``infer_schema`` and ``typed_rows``.
 
     Pointers are spread by ranges of file and offset: neighbours are read by the
     same task and an archive that holds most of the captures is split over many.
@@ -59,20 +63,18 @@ def read_archive(
     # With a number, so that pointers, being small, are not merged into few tasks.
     shuffle_partitions = int(pointers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = pointers.repartitionByRange(read_partitions or shuffle_partitions, *place)
-    row_type = to_arrow_type(schema)
-    out = T.StructType(
-        pointers.schema.fields
-        + T.StructType.fromDDL(READ_COLUMNS.format(row=schema.simpleString())).fields
-    )
+    row = "binary" if schema is None else schema.simpleString()
+    added = READ_COLUMNS.format(row=row) + (", " + SHAPES if schema is None else "")
+    out = T.StructType(pointers.schema.fields + T.StructType.fromDDL(added).fields)
     out_arrow = to_arrow_schema(out)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = ArchiveStore(base, retries, retry_delay)
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                yield from _read_batch(batch, store, pool, concurrency)
+                yield from _read_batch(batch, store, pool)
 
-    def _read_batch(batch, store, pool, concurrency):
+    def _read_batch(batch, store, pool):
         results, start, size = [], 0, 0
         for data, requests in _in_order(batch, store, pool, concurrency):
             rows, skipped = [], 0
@@ -91,11 +93,14 @@ def read_archive(
             yield _attach(batch, start, results)
 
     def _attach(batch, start, results):
-        columns = batch.slice(start, len(results)).columns
-        numbers = list(zip(*(r[:3] for r in results)))
-        columns += [pa.array(n, pa.int64()) for n in numbers]
-        columns.append(pa.array([r[3] for r in results], pa.list_(row_type)))
-        columns = [c.cast(f.type) for c, f in zip(columns, out_arrow)]
+        *counters, rows = zip(*results)
+        added = [*counters, rows]
+        if schema is None:
+            added = [*counters, [[pickle.dumps(row) for row in r] for r in rows], _shapes(rows)]
+        fields = list(out_arrow)
+        kept = batch.slice(start, len(results)).columns
+        columns = [c.cast(f.type) for c, f in zip(kept, fields)]
+        columns += [pa.array(a, f.type) for a, f in zip(added, fields[len(kept) :])]
         return pa.RecordBatch.from_arrays(columns, names=out.names)
 
     return spread.sortWithinPartitions("filename", "offset").mapInArrow(read, out)
@@ -104,17 +109,85 @@ def read_archive(
 def archive_rows(captures: DataFrame, arrival: str = "_arrival") -> DataFrame:
     """One row per extracted row; ``arrival`` sorts them as the pointers are sorted,
     and within a pointer as they lie in the archive."""
-    place = ["filename", "offset", "member"]
-    if "position" in captures.columns:
-        place.insert(0, "position")
-    members = captures.select(*place[:-1], F.posexplode("rows").alias("member", "row"))
-    return members.select(F.struct(*place).alias(arrival), "row.*")
+    place = _place(captures)
+    members = captures.select(*place, F.posexplode("rows").alias("member", "row"))
+    return members.select(F.struct(*place, "member").alias(arrival), "row.*")
+
+
+def infer_schema(captures: DataFrame) -> T.StructType:
+    """Columns of rows read without a schema, in the order they were first seen."""
+    seen = captures.select(
+        F.struct(*_place(captures)).alias("pointer"), F.explode("shapes").alias("shape")
+    )
+    columns = (
+        seen.groupBy("shape.name")
+        .agg(
+            F.collect_set("shape.type").alias("types"),
+            F.min(F.struct("pointer", "shape.place")).alias("first"),
+        )
+        .orderBy("first")
+        .collect()
+    )
+    schema = T.StructType()
+    for column in columns:
+        schema = schema.add(column["name"], _common_type(column["name"], column["types"]))
+    return schema
+
+
+def _common_type(name: str, types: list[str]) -> T.DataType:
+    """The one type other than null, or double for whole numbers and fractions."""
+    kinds = {t for t in types if t != T.NullType().json()}
+    if kinds == {T.LongType().json(), T.DoubleType().json()}:
+        return T.DoubleType()
+    if len(kinds) > 1:
+        raise ValueError(f"column {name!r} holds values of several types: {sorted(kinds)}")
+    return T._parse_datatype_json_string(kinds.pop()) if kinds else T.NullType()
+
+
+def typed_rows(captures: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows read without a schema, as rows of ``schema``; lacking columns are null."""
+    kept = captures.drop("shapes")
+    out = T.StructType(
+        [f for f in kept.schema.fields if f.name != "rows"]
+        + [T.StructField("rows", T.ArrayType(schema))]
+    )
+    out_arrow = to_arrow_schema(out)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column("rows").to_pylist()
+            rows = [[pickle.loads(row) for row in pointer] for pointer in packed]
+            columns = [
+                pa.array(rows, f.type) if f.name == "rows" else batch.column(f.name).cast(f.type)
+                for f in out_arrow
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=out.names)
+
+    return kept.mapInArrow(unpack, out)
+
+
+def _shapes(pointers: Sequence[list[dict]]) -> list[list[dict]]:
+    """Name, type and place of each column, listed with the first pointer to have it."""
+    columns = {}
+    for n, rows in enumerate(pointers):
+        for row in rows:
+            for place, name in enumerate(row):
+                columns.setdefault(name, (n, place, []))[2].append(row[name])
+    shapes = [[] for _ in pointers]
+    for name, (n, place, values) in columns.items():
+        kind = from_arrow_type(pa.infer_type(values)).json()
+        shapes[n].append({"name": name, "type": kind, "place": place})
+    return shapes
+
+
+def _place(captures: DataFrame) -> list[str]:
+    return [c for c in ("position", "filename", "offset") if c in captures.columns]
 
 
-def _checked(row: dict, schema: T.StructType, key: str | None) -> dict:
+def _checked(row: dict, schema: T.StructType | None, key: str | None) -> dict:
     if key is not None and key not in row:
         raise ValueError(f"extracted row without the key column {key!r}")
-    unknown = row.keys() - set(schema.names)
+    unknown = row.keys() - set(schema.names) if schema is not None else ()
     if unknown:
         raise ValueError(f"extracted columns not in the schema: {sorted(unknown)}")
     return row

@@ -80,7 +80,8 @@ def import_stream(
         report("record_matched", matched=matched, files_read=matched, pending=matched)
         import_pointers(batch.sparkSession, pointers, archive, target, read, report, matched)
 
-    ensure_table(captures.sparkSession, target, read.schema, read.key)
+    if read.schema is not None:
+        ensure_table(captures.sparkSession, target, read.schema, read.key)
     return _start(captures, merge, checkpoint, on_progress, progress_path)
 
 

@@ -4,6 +4,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +143,57 @@ def test_extractors_choose_rows_and_columns(spark, store, target):
     assert counters[:4] == (2, 1, 1, 2)
 
 
+def varied(found, body):
+    url = found.headers["warc-target-uri"]
+    if url.endswith("/a"):
+        return {"url": url, "size": len(body), "note": None, "tags": ["x"]}
+    return {"url": url, "late": b"b", "size": 0.5}
+
+
+def test_columns_can_be_found_in_the_rows(spark, store, target):
+    table, counters = import_domain(
+        spark, store["index"], "C2", "x.com", store["archive"], target, extractor=varied
+    )
+    assert table.dtypes == [
+        ("url", "string"), ("size", "double"), ("note", "string"), ("tags", "array<string>"),
+        ("late", "binary"),
+    ]
+    assert table.orderBy("url").collect() == [
+        ("https://www.x.com/a", 8.0, None, ["x"], None),
+        ("https://x.com/b", 0.5, None, None, b"b"),
+    ]
+    assert counters[:3] == (2, 2, 0)
+
+
+def test_a_declared_schema_can_grow(spark, store, target):
+    def run(**options):
+        return import_domain(
+            spark, store["index"], "C2", "x.com", store["archive"], target,
+            extractor=varied, schema=TITLED, **options,
+        )[0]
+
+    with pytest.raises(PySparkException, match="not in the schema"):
+        run()
+    assert run(grow=True).columns == ["url", "title", "size", "note", "tags", "late"]
+
+
+def test_values_of_several_types_fail(spark, store, target):
+    def mixed(found, body):
+        url = found.headers["warc-target-uri"]
+        return {"url": url, "v": 1 if url.endswith("/a") else "one"}
+
+    with pytest.raises((ValueError, PySparkException)):
+        import_domain(spark, store["index"], "C2", "x.com", store["archive"], target, extractor=mixed)
+
+
+def test_without_schema_and_rows_there_is_no_table(spark, store, target):
+    table, counters = import_domain(
+        spark, store["index"], "C2", "x.com", store["archive"], target, extractor=lambda r, b: None
+    )
+    assert table.columns == [] and counters[:3] == (2, 0, 2)
+    assert not spark.catalog.tableExists(target.name)
+
+
 def test_empty_imports_leave_an_empty_table(spark, store, target):
     table, counters = import_domain(spark, store["index"], "C2", "none.org", store["archive"], target)
     assert table.columns == ["url", "date", "content_type", "text"] and table.count() == 0

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +98,18 @@ def test_an_existing_table_keeps_its_columns_and_types(spark, target):
     assert read_table(spark, target).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_values_take_the_stored_names_and_types(spark, target, monkeypatch, limit):
+    monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
+    upsert(spark, target, rows(spark, [("x", 1), ("y", 2)]), "k")
+    upsert(spark, target, rows(spark, [("y", 3)], "k string, A bigint"), "k")
+    assert read_table(spark, target).dtypes == [("k", "string"), ("a", "int")]
+    assert table(spark, target) == [("x", 1), ("y", 3)]
+    with pytest.raises(PySparkException, match="CAST_OVERFLOW"):
+        upsert(spark, target, rows(spark, [("y", 1 << 40)], "k string, a bigint"), "k")
+    assert table(spark, target) == [("x", 1), ("y", 3)]
+
+
 def test_no_rows_change_nothing(spark, target):
     upsert(spark, target, rows(spark, []), "k")
     assert table(spark, target) == []
