@@ -78,45 +78,49 @@ def _target(spark: SparkSession, table: str, **address) -> Target:
     return Target(f"{table}_{root[-8:]}", root=root, buckets=8, **address)
 
 
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return open_index(spark, crawl_store(spark, sf_dir)["index"])
+
+
 def _index_scan(spark, sf):
     index = scan_index(spark, crawl_store(spark, sf)["index"], NEWEST)
     return index.select("capture_id", "url", "url_host_name", "fetch_status", "crawl", "subset")
 
 
 def _html_captures(spark, sf):
-    return html_captures(ccindex(spark, sf)).select("capture_id", "url", "url_path")
+    return html_captures(_index(spark, sf)).select("capture_id", "url", "url_path")
 
 
 def _host_select(spark, sf):
-    index = ccindex(spark, sf)
+    index = _index(spark, sf)
     hosts = index.groupBy("url_host_name").count()
     busiest = hosts.orderBy(F.desc("count"), "url_host_name").first()["url_host_name"]
     return on_site(index, f"HTTPS://{busiest}/", "host").select("capture_id", "url", "url_host_name")
 
 
 def _domain_select(spark, sf):
-    captures = on_site(ccindex(spark, sf), f" .{DOMAIN.upper()}.")
+    captures = on_site(_index(spark, sf), f" .{DOMAIN.upper()}.")
     return captures.select("capture_id", "url", "url_host_registered_domain")
 
 
 def _regex_select(spark, sf):
-    captures = html_captures(ccindex(spark, sf))
+    captures = html_captures(_index(spark, sf))
     return matching_urls(captures, URL_PATTERNS).select("capture_id", "url")
 
 
 def _scope_select(spark, sf):
     site, pattern = scope_patterns("https://www.example.org/en/", "domain")
-    captures = select_captures(ccindex(spark, sf), site, "domain", pattern)
+    captures = select_captures(_index(spark, sf), site, "domain", pattern)
     return captures.select("capture_id", "url")
 
 
 def _latest_per_url(spark, sf):
-    latest = latest_per_url(html_captures(ccindex(spark, sf)))
+    latest = latest_per_url(html_captures(_index(spark, sf)))
     return latest.select("url", "fetch_epoch", "capture_id")
 
 
 def _latest_topk(spark, sf):
-    captures = select_captures(ccindex(spark, sf), DOMAIN, limit=25)
+    captures = select_captures(_index(spark, sf), DOMAIN, limit=25)
     return captures.select("url", "fetch_epoch", "capture_id")
 
 
@@ -125,7 +129,7 @@ def _custom_select(spark, sf):
 
 
 def _latest_crawl(spark, sf):
-    return latest_crawl(open_index(spark, crawl_store(spark, sf)["index"]))
+    return latest_crawl(_index(spark, sf))
 
 
 def _timestamp14(spark, sf):
@@ -167,7 +171,7 @@ def _charset_of(spark, sf):
 
 def _content_type(spark, sf):
     http = F.regexp_extract("url", "[?]utm_source=(.*)$", 1)
-    return ccindex(spark, sf).select(
+    return _index(spark, sf).select(
         "capture_id", C.content_type(http, F.col("url_path")).alias("content_type")
     )
 
@@ -193,7 +197,7 @@ def _html_text(spark, sf):
 
 def _all_captures(spark, sf, extractor, schema):
     store = crawl_store(spark, sf)
-    pointers = to_pointers(open_index(spark, store["index"]))
+    pointers = to_pointers(_index(spark, sf))
     cores = spark.sparkContext.defaultParallelism
     captures = read_archive(
         pointers, store["archive"], extractor, schema, read_partitions=cores

@@ -42,12 +42,13 @@ def stream_upsert(
     """
 
     def merge(batch: DataFrame, report: Reporter) -> None:
-        received = batch.count()
+        per_key = batch.groupBy(key).agg(F.count("*").alias("rows"))
+        received, imported = per_key.agg(F.sum("rows"), F.count("*")).first()
+        if not received:
+            return
         report("record_matched", matched=received, files_read=received, pending=received)
-        latest = dedupe_last(batch, key, order, first_seen="_first").drop("_first")
-        imported = latest.count()
         report("record_extracted", pending=imported)
-        upsert(batch.sparkSession, target, latest, key)
+        upsert(batch.sparkSession, target, dedupe_last(batch, key, order), key)
         report("batch_merged", imported=imported, pending=0)
 
     ensure_table(rows.sparkSession, target, rows.schema, key)
@@ -102,8 +103,9 @@ def _start(rows, merge, checkpoint, on_progress, progress_path) -> StreamingQuer
             totals.report(event)
 
         merge(batch, Reporter(note))
-        totals.add(events[-1])
-        if progress_path is not None:
+        if events:
+            totals.add(events[-1])
+        if events and progress_path is not None:
             # A batch that runs again replaces its own events.
             rows = batch.sparkSession.createDataFrame(events, _EVENT_SCHEMA)
             rows.coalesce(1).write.mode("overwrite").parquet(f"{progress_path}/batch={batch_id}")
