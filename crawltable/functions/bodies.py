@@ -15,6 +15,9 @@ class _Visible(HTMLParser):
         self.pieces = []
         self.hidden = 0
 
+    def updatepos(self, i, j):
+        return j  # Nobody asks for lines and columns.
+
     def handle_starttag(self, tag, attrs):
         self.hidden += tag in HIDDEN_ELEMENTS
 

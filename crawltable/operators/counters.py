@@ -28,7 +28,7 @@ def read_counters(captures: DataFrame) -> DataFrame:
 
 
 def imported_count(
-    rows: DataFrame, key: str, order: str, batch_size: int = 100
+    rows: DataFrame, key: str, order: str, batch_size: int = 100, folder: str | None = None
 ) -> DataFrame:
     """One row with the number of rows merged when batches of ``batch_size`` rows
     are merged in order of arrival, keeping one row per key within a batch.
@@ -36,6 +36,6 @@ def imported_count(
     A key that comes again in a later batch counts again; null is a key.
     """
     arrived = rows.select(F.col(key).alias("_key"), F.col(order).alias("_order"))
-    numbered = with_arrival_index(arrived, ["_order"])
+    numbered = with_arrival_index(arrived, ["_order"], folder=folder)
     batch = F.floor(F.col("arrival") / batch_size).alias("_batch")
     return numbered.select("_key", batch).distinct().agg(F.count("*").alias("imported"))

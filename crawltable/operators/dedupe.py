@@ -1,6 +1,6 @@
 """One row per key, the last arrival winning."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,13 +10,23 @@ def dedupe_last(
     """Each key's last row in ``order``; null is a key like any other.
 
     ``first_seen`` names an optional column with the key's first position, to sort
-    the result in order of first arrival. The aggregate runs before the shuffle
-    too, so even a key that holds most rows leaves every task once.
+    the result in order of first arrival. Either way tasks give up all but one row
+    of a key before the shuffle, even of a key that holds most rows.
     """
+    if first_seen is None:
+        return top_row(df, key, F.col(order).desc())
     last = F.max_by(F.struct(*(c for c in df.columns if c != key)), order)
-    aggregates = [last.alias("_last")]
-    if first_seen is not None:
-        aggregates.append(F.min(order).alias(first_seen))
-    kept = df.groupBy(key).agg(*aggregates)
+    kept = df.groupBy(key).agg(last.alias("_last"), F.min(order).alias(first_seen))
     columns = [F.col(key) if c == key else F.col(f"_last.`{c}`") for c in df.columns]
-    return kept.select(*columns, *([first_seen] if first_seen else []))
+    return kept.select(*columns, first_seen)
+
+
+def top_row(df: DataFrame, key: str, *order: Column) -> DataFrame:
+    """The first row of each key in ``order``.
+
+    Spark limits the groups below the shuffle. Rows are sorted by a hash before the
+    key, as keys that start alike, such as URLs, are slow to sort.
+    """
+    ranking = Window.partitionBy(F.xxhash64(key), key).orderBy(*order)
+    ranked = df.withColumn("_rank", F.row_number().over(ranking))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")

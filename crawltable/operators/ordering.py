@@ -15,17 +15,19 @@ _ROW_BITS = 33  # monotonically_increasing_id(): partition above, row below
 
 
 def with_arrival_index(
-    df: DataFrame, order: Sequence[str | Column], name: str = "arrival"
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str = "arrival",
+    folder: str | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in ``order``, which should have no ties.
 
     Rows are range partitioned and sorted within partitions; what is known about
-    all partitions together is one count each.
+    all partitions together is one count each. The sorted rows are staged.
     """
     sliced = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = stage(
-        sliced.withColumn("_place", F.monotonically_increasing_id()), "arrival"
-    )
+    sliced = sliced.withColumn("_place", F.monotonically_increasing_id())
+    placed = stage(sliced, "arrival", folder)
     numbered = placed.withColumns(
         {
             "_slice": F.shiftright("_place", _ROW_BITS),

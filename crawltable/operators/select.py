@@ -2,10 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawltable.functions.sites import normalize_host, pattern_list
+from crawltable.operators.dedupe import top_row
 from crawltable.operators.ordering import first_rows
 
 # What a selectable capture looks like.
@@ -42,18 +43,14 @@ def matching_urls(index: DataFrame, url_patterns: str | Sequence[str] | None) ->
 
 
 def latest_per_url(index: DataFrame) -> DataFrame:
-    """Newest capture of each URL; unknown times win, then file and offset decide.
-
-    Spark turns the rank filter into a group limit below the shuffle, so a URL
-    captured very often leaves each task as a single row.
-    """
-    newest_first = Window.partitionBy("url").orderBy(
+    """Newest capture of each URL; unknown times win, then file and offset decide."""
+    return top_row(
+        index,
+        "url",
         F.col("fetch_time").desc_nulls_first(),
         F.col("warc_filename").desc(),
         F.col("warc_record_offset").desc(),
     )
-    ranked = index.withColumn("_rank", F.row_number().over(newest_first))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def select_captures(

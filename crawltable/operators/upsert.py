@@ -6,8 +6,10 @@ the catalog is pointed to once it is complete. So readers never see half a bucke
 and an upsert that is repeated after a failure gives the same table.
 """
 
+import re
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -256,6 +258,24 @@ def _rewrite_buckets(spark, target, updates, key, details):
         spark.sql(f"ALTER TABLE {target.name} ADD IF NOT EXISTS {' '.join(added)}")
 
 
+def remove_superseded(spark: SparkSession, target: Target) -> int:
+    """Delete the bucket folders that later upserts have replaced, and count them.
+
+    Run it when no query that began before the last upsert is still reading.
+    """
+    details = _details(spark, target)
+    current = {unquote(file.rsplit("/", 1)[0]) for file in spark.table(target.name).inputFiles()}
+    current = {re.sub("^file:/+", "/", folder) for folder in current}
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{details['folder']}/*/{BUCKET}=*")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    removed = 0
+    for status in files.globStatus(path):
+        folder = re.sub("^file:/+", "/", status.getPath().toString())
+        if folder not in current:
+            removed += files.delete(status.getPath(), True)
+    return removed
+
+
 def _rewrite_table(spark, target, updates, key, details):
     """For a file table made elsewhere: a new copy that the catalog then points to."""
     if details["partitioned"]:

@@ -32,7 +32,7 @@ from crawltable.sources.archive import (
 )
 from crawltable.sources.cdx import read_cdx, select_cdx
 from crawltable.sources.index import index_location, latest_crawl, open_index, scan_index
-from crawltable.workspace import stage
+from crawltable.workspace import scratch, stage
 
 # Defaults of the import options.
 DEFAULT_TABLE = "captures"
@@ -152,11 +152,13 @@ def import_domain(
         captures = select_captures(index, site, match, url_patterns, limit, ordered=False)
         position = F.col("url")
     report("index_querying", current_file=place)
-    with _heartbeat(report, "index_querying", place):
-        pointers = stage(to_pointers(captures).withColumn("position", position), "pointers")
-    found = pointers.count()
-    report("index_batch_scanned", current_file=place, pending=found)
-    return _import(spark, pointers, archive, target, read, report)
+    pointers = to_pointers(captures).withColumn("position", position)
+    with scratch(spark, "import") as folder:
+        with _heartbeat(report, "index_querying", place):
+            pointers = stage(pointers, "pointers", folder)
+        report("index_batch_scanned", current_file=place, pending=pointers.count())
+        counters = import_pointers(spark, pointers, archive, target, read, report, folder)
+    return _finished(spark, target, report), counters
 
 
 def import_cdx(
@@ -180,7 +182,10 @@ def import_cdx(
     _prepare(spark, target, read, report)
     cdx = read_cdx(spark, path)
     captures = select_cdx(cdx, site, match, url_patterns, limit, ordered=False)
-    return _import(spark, stage(captures, "pointers"), archive, target, read, report)
+    with scratch(spark, "import") as folder:
+        pointers = stage(captures, "pointers", folder)
+        counters = import_pointers(spark, pointers, archive, target, read, report, folder)
+    return _finished(spark, target, report), counters
 
 
 def import_scope(
@@ -251,14 +256,11 @@ def _prepare(spark, target, read, report):
     report("started")
 
 
-def _import(spark, pointers, archive, target, read, report):
-    matched = pointers.count()
-    report("record_matched", matched=matched, files_read=matched, pending=matched)
-    counters = import_pointers(spark, pointers, archive, target, read, report, matched)
+def _finished(spark, target, report):
     report("completed", pending=0)
     if not spark.catalog.tableExists(target.name):
-        return spark.createDataFrame([], T.StructType()), counters
-    return read_table(spark, target), counters
+        return spark.createDataFrame([], T.StructType())
+    return read_table(spark, target)
 
 
 def _read_tasks(spark: SparkSession, matched: int) -> int:
@@ -273,15 +275,17 @@ def import_pointers(
     archive: str,
     target: Target,
     read: ReadOptions,
-    report: "Reporter",
-    matched: int,
+    report: Reporter,
+    folder: str,
 ) -> ImportCounters:
     """Read, extract, deduplicate and upsert staged pointers in one merge.
 
-    Archives are read once, into a staged table that the counters and the upsert
-    then use. Which rows count as imported depends on the batch size; the table
+    Archives are read once, into a staged table in ``folder`` that the counters and
+    the upsert then use. Which rows count as imported depends on the batch size; the table
     does not, since the last arrival wins either way.
     """
+    matched = pointers.count()
+    report("record_matched", matched=matched, files_read=matched, pending=matched)
     captures = stage(
         read_archive(
             pointers, archive, read.extractor, None if read.grow else read.schema, read.key,
@@ -290,6 +294,7 @@ def import_pointers(
             read.concurrency,
         ),
         "archive",
+        folder,
     )
     totals = read_counters(captures).first().asDict()
     last = totals.pop("last") or (None, None)
@@ -305,7 +310,7 @@ def import_pointers(
     # The count and the merge read the same staged rows and can share the cluster.
     with ThreadPoolExecutor(1) as beside:
         counting = beside.submit(
-            lambda: imported_count(rows, read.key, "_arrival", read.batch_size).first()
+            lambda: imported_count(rows, read.key, "_arrival", read.batch_size, folder).first()
         )
         report("record_extracted", *last, pending=matched, **read_so_far)
         updates = dedupe_last(rows, read.key, "_arrival").drop("_arrival")

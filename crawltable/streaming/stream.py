@@ -17,7 +17,7 @@ from crawltable.plans.imports import (
     import_pointers,
     read_options,
 )
-from crawltable.workspace import fresh_path, stage
+from crawltable.workspace import fresh_path, scratch, stage
 
 _EVENT_SCHEMA = (
     "stage string, matched bigint, imported bigint, skipped bigint, files_read bigint, "
@@ -76,10 +76,9 @@ def import_stream(
         pointers = select(batch)
         if "position" not in pointers.columns:
             pointers = pointers.withColumn("position", F.struct("url", "timestamp"))
-        pointers = stage(pointers, "pointers")
-        matched = pointers.count()
-        report("record_matched", matched=matched, files_read=matched, pending=matched)
-        import_pointers(batch.sparkSession, pointers, archive, target, read, report, matched)
+        with scratch(batch.sparkSession, "import") as folder:
+            pointers = stage(pointers, "pointers", folder)
+            import_pointers(batch.sparkSession, pointers, archive, target, read, report, folder)
 
     if read.schema is not None:
         ensure_table(captures.sparkSession, target, read.schema, read.key)

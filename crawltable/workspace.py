@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +33,29 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back, so later jobs never repeat its work.
 
     The files outlive lost executors and pin down values Spark would otherwise
-    compute anew for each action (partition ids, archive reads).
+    compute anew for each action (partition ids, archive reads). They go to
+    ``folder``, if their maker removes that, else they stay like checkpoints do.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, label)
+    path = fresh_path(spark, label) if folder is None else f"{folder}/{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder that is removed at the end."""
+    folder = fresh_path(spark, label)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

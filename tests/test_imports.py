@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawltable import workspace
 from crawltable.operators.upsert import Target, read_table
 from crawltable.plans import imports
 from crawltable.plans.imports import import_cdx, import_domain, import_scope, read_options
@@ -81,6 +82,12 @@ def test_default_import(spark, store, target):
     assert counters[:4] == (2, 2, 0, 2) and counters.requests == 2 and counters.bytes_read > 100
 
 
+def test_staged_data_is_removed(spark, store, target, monkeypatch, tmp_path):
+    monkeypatch.setattr(workspace, "workspace", lambda spark: str(tmp_path / "work"))
+    import_domain(spark, store["index"], "C2", "x.com", store["archive"], target)
+    assert [p for p in (tmp_path / "work").rglob("*.parquet")] == []
+
+
 def test_host_patterns_and_limit(spark, store, target):
     def urls(**options):
         table, _ = import_domain(spark, store["index"], "C2", archive=store["archive"], **options)

@@ -59,6 +59,14 @@ def test_only_touched_buckets_are_rewritten(spark, target):
     assert read_table(spark, target).agg(F.sum("a")).first()[0] == 4950 - 14
 
 
+def test_superseded_buckets_can_be_removed(spark, target):
+    upsert(spark, target, rows(spark, [(str(i), i) for i in range(100)]), "k")
+    assert upserts.remove_superseded(spark, target) == 0
+    upsert(spark, target, rows(spark, [("7", -7)]), "k")
+    assert upserts.remove_superseded(spark, target) == 1
+    assert read_table(spark, target).agg(F.sum("a"), F.count("*")).first() == (4950 - 14, 100)
+
+
 def test_readers_of_the_old_state_are_not_disturbed(spark, target):
     upsert(spark, target, rows(spark, [("x", 1)]), "k")
     old = read_table(spark, target)
@@ -174,11 +182,13 @@ def test_last_row_wins_at_the_place_of_the_first(spark):
     assert kept.orderBy("first").collect() == [("b", 3, 2, 0), ("a", 2, 1, 1), (None, None, 4, 3)]
 
 
-def test_a_hot_key_is_aggregated_before_the_shuffle(spark):
-    data = spark.range(0, 1000, 1, 4).select(F.lit("k").alias("k"), F.col("id").alias("i"))
-    plan = dedupe_last(data, "k", "i")._jdf.queryExecution().executedPlan().toString()
-    before = plan[plan.index("Exchange") :]
-    assert "Aggregate" in before and "partial_max_by" in before
+@pytest.mark.parametrize("first_seen, partial", [(None, "WindowGroupLimit"), ("first", "partial_max_by")])
+def test_a_hot_key_is_reduced_before_the_shuffle(spark, first_seen, partial):
+    data = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") >= 0, "k").alias("k"), F.col("id").alias("i"))
+    kept = dedupe_last(data, "k", "i", first_seen)
+    assert kept.select("k", "i").collect() == [("k", 999)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert partial in plan[plan.index("Exchange") :]
 
 
 @pytest.mark.parametrize("batch_size", [1, 3, 100])
