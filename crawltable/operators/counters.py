@@ -10,25 +10,32 @@ def read_counters(captures: DataFrame) -> DataFrame:
     """One row with totals over the per-pointer rows of ``read_archive``.
 
     Taken from staged rows rather than from accumulators, so tasks that ran twice
-    are not counted twice. Bodies and texts are not read. ``last`` is the URL and file
-    of the last pointer.
+    are not counted twice. Bodies and texts are not read. ``rows`` counts the
+    extracted rows; ``last`` is the URL and file of the last pointer.
     """
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
 
+    total_rows = F.coalesce(F.sum(F.size("rows")), F.lit(0))
     return captures.agg(
         F.count("*").alias("matched"),
         total("skipped").alias("skipped"),
         F.count("*").alias("files_read"),
         total("bytes").alias("bytes_read"),
         total("requests").alias("requests"),
+        total_rows.alias("rows"),
         F.max_by(F.struct("url", "filename"), "position").alias("last"),
     )
 
 
 def imported_count(
-    rows: DataFrame, key: str, order: str, batch_size: int = 100, folder: str | None = None
+    rows: DataFrame,
+    key: str,
+    order: str,
+    batch_size: int = 100,
+    folder: str | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """One row with the number of rows merged when batches of ``batch_size`` rows
     are merged in order of arrival, keeping one row per key within a batch.
@@ -36,6 +43,6 @@ def imported_count(
     A key that comes again in a later batch counts again; null is a key.
     """
     arrived = rows.select(F.col(key).alias("_key"), F.col(order).alias("_order"))
-    numbered = with_arrival_index(arrived, ["_order"], folder=folder)
+    numbered = with_arrival_index(arrived, ["_order"], folder=folder, at_most=at_most)
     batch = F.floor(F.col("arrival") / batch_size).alias("_batch")
     return numbered.select("_key", batch).distinct().agg(F.count("*").alias("imported"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from crawltable.workspace import stage
 
-# Above this many rows a limit is cut by global position instead of being
-# gathered into one task.
+# Above this many rows a limit is cut by global position, and rows are numbered by
+# partition, instead of being gathered into one task.
 GATHERED_LIMIT = 10_000
 
 _ROW_BITS = 33  # monotonically_increasing_id(): partition above, row below
@@ -19,12 +19,16 @@ def with_arrival_index(
     order: Sequence[str | Column],
     name: str = "arrival",
     folder: str | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in ``order``, which should have no ties.
 
     Rows are range partitioned and sorted within partitions; what is known about
-    all partitions together is one count each. The sorted rows are staged.
+    all partitions together is one count each. The sorted rows are staged. Where there
+    are known to be ``at_most`` a few rows, one task numbers them.
     """
+    if at_most is not None and at_most <= GATHERED_LIMIT:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
     sliced = df.repartitionByRange(*order).sortWithinPartitions(*order)
     sliced = sliced.withColumn("_place", F.monotonically_increasing_id())
     placed = stage(sliced, "arrival", folder)

@@ -233,24 +233,29 @@ def _rewrite_buckets(spark, target, updates, key, details):
     touched = sorted(r[BUCKET] for r in sizes)
     if not touched:
         return
-    current = spark.table(target.name).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    partitions = spark.sql(f"SHOW PARTITIONS {target.name}").collect()
+    existing = {int(r[0].removeprefix(f"{BUCKET}=")) for r in partitions}.intersection(touched)
     # Few buckets are split over more tasks, so that all cores have work.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     split = F.pmod(F.hash(key), F.lit(max(1, tasks // len(touched))))
     spread = {BUCKET: key_bucket(key, buckets), "_split": split}
+    stored = spark.table(target.name).where(F.col(BUCKET).isin(sorted(existing)))
+    current = stored.drop(BUCKET)
     small = sum(r["size"] or KEY_OVERHEAD for r in sizes) <= BROADCAST_BYTES
-    complete = set(current.columns) <= set(updates.columns)
-    merge = replace_rows if small and complete else merge_rows
-    merged = merge(current, updates, key, spread).drop("_split")
+    if not existing:
+        merged = updates.withColumns(spread).repartition(*spread)
+    elif small and set(current.columns) <= set(updates.columns):
+        merged = replace_rows(current, updates, key, spread)
+    else:
+        merged = merge_rows(current, updates, key, spread)
     commit = f"{details['folder']}/{uuid.uuid4().hex}"
-    merged.write.partitionBy(BUCKET).parquet(commit)
+    merged.drop("_split").write.partitionBy(BUCKET).parquet(commit)
 
-    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {target.name}").collect()}
     added = []
     for bucket in touched:
         place = f"PARTITION ({BUCKET} = {bucket})"
         folder = _literal(f"{commit}/{BUCKET}={bucket}")
-        if f"{BUCKET}={bucket}" in existing:
+        if bucket in existing:
             spark.sql(f"ALTER TABLE {target.name} {place} SET LOCATION {folder}")
         else:
             added.append(f"{place} LOCATION {folder}")

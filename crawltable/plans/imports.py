@@ -156,8 +156,11 @@ def import_domain(
     with scratch(spark, "import") as folder:
         with _heartbeat(report, "index_querying", place):
             pointers = stage(pointers, "pointers", folder)
-        report("index_batch_scanned", current_file=place, pending=pointers.count())
-        counters = import_pointers(spark, pointers, archive, target, read, report, folder)
+        matched = pointers.count()
+        report("index_batch_scanned", current_file=place, pending=matched)
+        counters = import_pointers(
+            spark, pointers, archive, target, read, report, folder, matched
+        )
     return _finished(spark, target, report), counters
 
 
@@ -277,6 +280,7 @@ def import_pointers(
     read: ReadOptions,
     report: Reporter,
     folder: str,
+    matched: int | None = None,
 ) -> ImportCounters:
     """Read, extract, deduplicate and upsert staged pointers in one merge.
 
@@ -284,7 +288,7 @@ def import_pointers(
     the upsert then use. Which rows count as imported depends on the batch size; the table
     does not, since the last arrival wins either way.
     """
-    matched = pointers.count()
+    matched = pointers.count() if matched is None else matched
     report("record_matched", matched=matched, files_read=matched, pending=matched)
     captures = stage(
         read_archive(
@@ -298,6 +302,7 @@ def import_pointers(
     )
     totals = read_counters(captures).first().asDict()
     last = totals.pop("last") or (None, None)
+    extracted = totals.pop("rows")
     read_so_far = {name: totals[name] for name in ("bytes_read", "requests")}
     if totals["skipped"]:
         report("record_skipped", *last, skipped=totals["skipped"], **read_so_far)
@@ -310,9 +315,11 @@ def import_pointers(
     # The count and the merge read the same staged rows and can share the cluster.
     with ThreadPoolExecutor(1) as beside:
         counting = beside.submit(
-            lambda: imported_count(rows, read.key, "_arrival", read.batch_size, folder).first()
+            lambda: imported_count(
+                rows, read.key, "_arrival", read.batch_size, folder, extracted
+            ).first()
         )
-        report("record_extracted", *last, pending=matched, **read_so_far)
+        report("record_extracted", *last, pending=extracted, **read_so_far)
         updates = dedupe_last(rows, read.key, "_arrival").drop("_arrival")
         upsert(spark, target, updates, read.key)
         imported = counting.result()["imported"]
