@@ -44,7 +44,7 @@ from crawltable.streaming.stream import import_stream, read_progress, stream_ups
 from crawltable.workspace import fresh_path
 from fixtures import oracle as O
 from fixtures.derived import CRAWLS, ccindex, crawl_store, pages
-from fixtures.extractors import TITLED_SCHEMA, titled_page
+from fixtures.extractors import TITLED_SCHEMA, measured_page, titled_page
 
 # Executors need not have this folder on their path.
 cloudpickle.register_pickle_by_value(crawltable)
@@ -242,6 +242,15 @@ def _import_query(spark, sf):
     return table
 
 
+def _import_grow(spark, sf):
+    store = crawl_store(spark, sf)
+    table, _ = import_domain(
+        spark, store["index"], NEWEST, DOMAIN, store["archive"], _target(spark, "pages"),
+        extractor=measured_page,
+    )
+    return table
+
+
 def _import_scope(spark, sf):
     store = crawl_store(spark, sf)
     table, _ = import_scope(
@@ -305,6 +314,7 @@ def _import_stream(spark, sf):
 
 
 LAST_DAY = "2024-01-30"
+WEEKS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
 
 def _upsert(spark, sf):
@@ -325,11 +335,16 @@ def _dedupe_last(spark, sf):
 def _event_drops(spark, sf):
     """The events as files that arrive one after the other."""
     rows = events(spark, sf).drop("value")
+    time = F.col("ts")
+    weeks = [
+        time < WEEKS[0],
+        *((time >= start) & (time < end) for start, end in itertools.pairwise(WEEKS)),
+        time.isNull() | (time >= WEEKS[-1]),
+    ]
     folder = fresh_path(spark, "events")
-    for start, end in itertools.pairwise(["2000-01-01", "2024-01-08", "2024-01-16", "2024-01-24", "2100-01-01"]):
-        drop = rows.where((F.col("ts") >= start) & (F.col("ts") < end)).drop("ts")
-        drop.coalesce(1).write.mode("append").parquet(folder)
-    reader = spark.readStream.schema(drop.schema).option("maxFilesPerTrigger", 1)
+    for week in weeks:
+        rows.where(week).drop("ts").coalesce(1).write.mode("append").parquet(folder)
+    reader = spark.readStream.schema(rows.drop("ts").schema).option("maxFilesPerTrigger", 1)
     return reader.parquet(folder)
 
 
@@ -392,6 +407,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_custom": _extract_custom,
         "import_domain": _import_domain,
         "import_query": _import_query,
+        "import_grow": _import_grow,
         "import_scope": _import_scope,
         "import_counters": _import_counters,
         "imported_count": _imported_count,
@@ -480,6 +496,9 @@ def oracle_sql() -> dict[str, str]:
             columns="",
             captures=O.latest(f"SELECT * FROM ccindex WHERE crawl = '{NEWEST}' AND fetch_status = 200"),
         ),
+        "import_grow": f"""{index} SELECT c.url, strlen(html) AS size,
+              nullif(regexp_extract(html, '<html lang="(en|fr)"', 1), '') AS lang
+            FROM {O.latest(f"{newest_html} AND {in_domain}")} c JOIN pages p ON c.page_id = p.page_id""",
         "import_scope": f"{index}, {O.TEXTS} "
         + O.extracted(
             "(SELECT * FROM "
@@ -510,6 +529,15 @@ def oracle_sql() -> dict[str, str]:
               arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value,
               min(event_id) AS first_event FROM events GROUP BY user_id""",
         "stream_upsert": last_event.format(columns="event_id, user_id, event_type, props", where=""),
+        "progress_events": f"""SELECT batch, stage, matched,
+              CASE WHEN stage = 'batch_merged' THEN users ELSE 0 END AS imported,
+              CASE stage WHEN 'record_matched' THEN matched
+                         WHEN 'record_extracted' THEN users ELSE 0 END AS pending
+            FROM (SELECT {" ".join(f"CASE WHEN ts < '{w}' THEN {n} ELSE" for n, w in enumerate(WEEKS))}
+                         {len(WEEKS)} {"END " * len(WEEKS)}::BIGINT AS batch,
+                         count(*) AS matched, count(DISTINCT user_id) AS users
+                  FROM events GROUP BY 1),
+              unnest(['record_matched', 'record_extracted', 'batch_merged']) AS s(stage)""",
         "schema_evolve": """SELECT event_id, event_type, user_id,
               CASE WHEN event_type = 'purchase' THEN props END AS props FROM events""",
         "target_address": """SELECT user_id, max(event_id) AS event_id, 'crawls__by_user' AS namespace

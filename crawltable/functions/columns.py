@@ -18,13 +18,14 @@ def timestamp14(value: Column, data_type: T.DataType) -> Column:
     Texts with fewer digits are kept and null gives the empty text. Times without
     a zone count as UTC.
     """
-    if isinstance(data_type, T.TimestampType):
-        text = _utc_text(value)
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        text = _utc_text(value) if isinstance(data_type, T.TimestampType) else value.cast("string")
+        stamp = F.translate(F.substring(text, 1, 19), "- :", "")
     else:
         text = value.cast("string")
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    short = F.when(F.length(digits) >= 14, F.substring(digits, 1, 14)).otherwise(text)
-    return F.coalesce(short, F.lit(""))
+        digits = F.regexp_replace(text, "[^0-9]", "")
+        stamp = F.when(F.length(digits) >= 14, F.substring(digits, 1, 14)).otherwise(text)
+    return F.coalesce(stamp, F.lit(""))
 
 
 def url_host(url: Column) -> Column:
@@ -64,29 +65,23 @@ def charset_of(content_type: Column) -> Column:
 def warc_date(text: Column) -> Column:
     """ISO date and time as UTC with a ``Z``; text that is none is kept.
 
-    The fraction is shown only where it is not zero, always with six digits.
+    The fraction is shown only where it is not zero, always with six digits. Each step
+    uses the one before once, and the usual form is its own result.
     """
+    usual = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
     shape = (
         r"^(\d{4})-?(\d{2})-?(\d{2})"
         r"(?:[^0-9](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
         r"(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
     )
-
-    def part(group: int, default: str = "00") -> Column:
-        return F.coalesce(F.nullif(F.regexp_extract(text, shape, group), F.lit("")), F.lit(default))
-
-    zone = F.regexp_replace(part(8, "Z"), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
-    zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
-    iso = F.concat(
-        part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"),
-        part(4), F.lit(":"), part(5), F.lit(":"), part(6), F.lit("."), part(7, "0"), zone,
-    )
-    time = F.when(text.rlike(shape), iso).try_cast("timestamp")
-    utc = _utc_text(time)
-    fraction = F.regexp_extract(utc, r"\.(\d+)$", 1)
-    shown = F.concat(
-        F.replace(F.substring(utc, 1, 19), F.lit(" "), F.lit("T")),
-        F.when(fraction == "", "").otherwise(F.concat(F.lit("."), F.rpad(fraction, 6, "0"))),
-        F.lit("Z"),
+    # Parts that are not given leave a gap, which is filled next.
+    iso = F.regexp_replace(F.when(text.rlike(shape), text), shape, "$1-$2-$3T$4:$5:$6.$7$8")
+    for gap, filled in (("T:", "T00:"), ("::", ":00:"), (":.", ":00.")):
+        iso = F.replace(iso, F.lit(gap), F.lit(filled))
+    iso = F.regexp_replace(iso, r"[.](?=[^0-9]|$)", ".0")
+    iso = F.regexp_replace(iso, r"([.][0-9]+)$", "$1Z")
+    utc = F.replace(_utc_text(iso.try_cast("timestamp")), F.lit(" "), F.lit("T"))
+    padded = F.regexp_replace(F.regexp_replace(utc, r"([.]\d+)$", "$1" + "0" * 5), r"([.]\d{6})\d*$", "$1")
+    return F.coalesce(
+        F.when(text.rlike(usual), text).otherwise(F.concat(padded, F.lit("Z"))), text, F.lit("")
     )
-    return F.coalesce(shown, text, F.lit(""))

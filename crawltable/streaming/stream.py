@@ -163,5 +163,8 @@ class _Lifetime(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        if event.runId == self.run and event.exception is None:
+        if event.runId != self.run:
+            return
+        if event.exception is None:
             self.totals.report(ProgressEvent("completed"))
+        self.spark.streams.removeListener(self)

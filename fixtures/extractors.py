@@ -1,4 +1,4 @@
-"""An extractor as a caller would write one."""
+"""Extractors as a caller would write them."""
 
 import re
 
@@ -23,3 +23,12 @@ def titled_page(record, body):
         "title": title[1],
         "links": markup.count("<a href="),
     }
+
+
+def measured_page(record, body):
+    """Columns that differ from page to page; no schema is declared for them."""
+    row = {"url": record.headers["warc-target-uri"], "size": len(body)}
+    lang = re.search(rb'<html lang="(en|fr)"', body)
+    if lang is not None:
+        row["lang"] = lang[1].decode()
+    return row
