@@ -42,7 +42,7 @@ HEARTBEAT_SECONDS = 5.0
 
 # Where no partition count is given: captures per archive-reading task, and the
 # tasks per core beyond which tasks get larger instead of more.
-READS_PER_TASK = 2_000
+READS_PER_TASK = 1_000
 TASKS_PER_CORE = 25
 
 
@@ -267,9 +267,10 @@ def _finished(spark, target, report):
 
 
 def _read_tasks(spark: SparkSession, matched: int) -> int:
+    """Full rounds of tasks over the cores, but no task without a capture."""
     cores = spark.sparkContext.defaultParallelism
-    wanted = max(cores, -(-matched // READS_PER_TASK))
-    return max(1, min(wanted, matched, cores * TASKS_PER_CORE))
+    rounds = min(-(-matched // (READS_PER_TASK * cores)), TASKS_PER_CORE)
+    return max(1, min(matched, rounds * cores))
 
 
 def import_pointers(
