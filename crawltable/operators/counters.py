@@ -10,21 +10,20 @@ def read_counters(captures: DataFrame) -> DataFrame:
     """One row with totals over the per-pointer rows of ``read_archive``.
 
     Taken from staged rows rather than from accumulators, so tasks that ran twice
-    are not counted twice. Bodies and texts are not read. ``rows`` counts the
-    extracted rows; ``last`` is the URL and file of the last pointer.
+    are not counted twice. Bodies and texts are not read. ``last`` is the URL and
+    file of the last pointer.
     """
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
 
-    total_rows = F.coalesce(F.sum(F.size("rows")), F.lit(0))
     return captures.agg(
         F.count("*").alias("matched"),
         total("skipped").alias("skipped"),
         F.count("*").alias("files_read"),
         total("bytes").alias("bytes_read"),
         total("requests").alias("requests"),
-        total_rows.alias("rows"),
+        total("extracted").alias("extracted"),
         F.max_by(F.struct("url", "filename"), "position").alias("last"),
     )
 

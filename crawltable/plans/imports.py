@@ -106,11 +106,12 @@ def read_options(
 ) -> ReadOptions:
     """Checked options of an import.
 
-    With ``grow`` an extractor may return columns that ``schema`` lacks, and without a
+    Columns of a schema given without an extractor come before the default ones. With ``grow`` an extractor may return columns that ``schema`` lacks, and without a
     schema all columns are found that way; this takes another pass over the rows.
     """
     if extractor is None:
-        return ReadOptions(schema=schema or DEFAULT_SCHEMA, **options).check()
+        read = ReadOptions(**options).check()
+        return read._replace(schema=merge_schema(schema, DEFAULT_SCHEMA, read.key))
     return ReadOptions(extractor, schema, grow or schema is None, **options).check()
 
 
@@ -286,8 +287,8 @@ def import_pointers(
     """Read, extract, deduplicate and upsert staged pointers in one merge.
 
     Archives are read once, into a staged table in ``folder`` that the counters and
-    the upsert then use. Which rows count as imported depends on the batch size; the table
-    does not, since the last arrival wins either way.
+    the upsert then use. Which rows count as imported depends on the batch size; the
+    table does not, since the last arrival wins either way.
     """
     matched = pointers.count() if matched is None else matched
     report("record_matched", matched=matched, files_read=matched, pending=matched)
@@ -303,7 +304,7 @@ def import_pointers(
     )
     totals = read_counters(captures).first().asDict()
     last = totals.pop("last") or (None, None)
-    extracted = totals.pop("rows")
+    extracted = totals.pop("extracted")
     read_so_far = {name: totals[name] for name in ("bytes_read", "requests")}
     if totals["skipped"]:
         report("record_skipped", *last, skipped=totals["skipped"], **read_so_far)
@@ -311,7 +312,8 @@ def import_pointers(
         found = infer_schema(captures)
         if not found.fields:
             return ImportCounters(imported=0, **totals)
-        captures = typed_rows(captures, merge_schema(read.schema, found, read.key))
+        typed = typed_rows(captures, merge_schema(read.schema, found, read.key))
+        captures = stage(typed, "typed", folder)
     rows = archive_rows(captures)
     # The count and the merge read the same staged rows and can share the cluster.
     with ThreadPoolExecutor(1) as beside:

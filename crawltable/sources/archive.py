@@ -21,7 +21,9 @@ from crawltable.sources.index import STORE_REGION, has_credentials
 # Raw bytes read before a batch of rows is handed back to Spark.
 FLUSH_BYTES = 8 << 20
 
-READ_COLUMNS = "bytes bigint, requests bigint, skipped bigint, rows array<{row}>"
+READ_COLUMNS = (
+    "bytes bigint, requests bigint, skipped bigint, extracted bigint, rows array<{row}>"
+)
 SHAPES = "shapes array<struct<name:string,type:string,place:int>>"
 
 
@@ -50,10 +52,10 @@ def read_archive(
 ) -> DataFrame:
     """Read each pointer's bytes and run ``extractor`` on the responses in them.
 
-    Keeps one row per pointer and adds ``bytes``, ``requests``, ``skipped`` and
-    ``rows``, so that counters are not multiplied by the number of responses. Without
-    a schema ``rows`` holds pickled rows and ``shapes`` the columns found in them; see
-    ``infer_schema`` and ``typed_rows``.
+    Keeps one row per pointer and adds ``bytes``, ``requests``, ``skipped``,
+    ``extracted`` and ``rows``, so that counters are not multiplied by the number of
+    responses. Without a schema ``rows`` holds pickled rows and ``shapes`` the columns
+    found in them; see ``infer_schema`` and ``typed_rows``.
 
     Pointers are spread by ranges of file and offset: neighbours are read by the
     same task and an archive that holds most of the captures is split over many.
@@ -84,7 +86,7 @@ def read_archive(
                     skipped += 1
                 else:
                     rows.append(_checked(row, schema, key))
-            results.append((len(data), requests, skipped, rows))
+            results.append((len(data), requests, skipped, len(rows), rows))
             size += len(data)
             if size >= FLUSH_BYTES:
                 yield _attach(batch, start, results)

@@ -51,13 +51,15 @@ def index_location(path: str, crawl: str, subset: str = "warc") -> tuple[str, st
     rather than filtering the root, keeps the driver from listing every crawl.
     """
     path = path.rstrip("/")
-    if "/crawl=" in path:
-        return path[: path.index("/crawl=")], path
-    if path.endswith("/subset=warc"):
-        return path.removesuffix("/subset=warc"), path
+    if "/crawl=" in path or path.endswith("/subset=warc"):
+        return _root(path), path
     return path, f"{path}/crawl={crawl}/subset={subset}"
 
 
+def _root(path: str) -> str:
+    return re.sub(r"(/crawl=.*|/subset=warc)$", "", path)
+
+
 def scan_index(
     spark: SparkSession, path: str, crawl: str, subset: str = "warc"
 ) -> DataFrame:
@@ -68,7 +70,8 @@ def scan_index(
 
 def open_index(spark: SparkSession, path: str) -> DataFrame:
     """The whole index; filter ``crawl`` and ``subset`` or every crawl is read."""
-    return _parquet(spark, path.rstrip("/"), path.rstrip("/"))
+    path = path.rstrip("/")
+    return _parquet(spark, _root(path), path)
 
 
 def _parquet(spark: SparkSession, root: str, folder: str) -> DataFrame:

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawltable import workspace
+from crawltable.operators.counters import read_counters
 from crawltable.operators.upsert import Target, read_table
 from crawltable.plans import imports
 from crawltable.plans.imports import import_cdx, import_domain, import_scope, read_options
+from crawltable.sources.archive import archive_rows, read_archive
 from crawltable.sources.cdx import parse_lines, select_cdx, stream_cdx
 from crawltable.streaming.stream import import_stream, read_progress, stream_upsert
+from crawltable.workspace import stage
 from test_archive import http, record
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -264,8 +267,22 @@ def test_bad_options_fail_before_any_work(spark, store, target, options):
     assert not spark.catalog.tableExists(target.name)
 
 
-def test_read_options():
-    assert read_options().schema.names == ["url", "date", "content_type", "text"]
+def test_schemas():
+    default = ["url", "date", "content_type", "text"]
+    assert read_options().schema.names == default
+    more = T.StructType().add("note", T.StringType()).add("text", T.StringType())
+    assert read_options(schema=more).schema.names == ["note", "text", "url", "date", "content_type"]
+    assert read_options(first_only).grow and not read_options(first_only, TITLED).grow
+
+
+def test_counters_do_not_read_texts(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    schema = T.StructType().add("url", T.StringType()).add("text", T.StringType())
+    pointers = spark.createDataFrame([], "url string, filename string, offset bigint, length bigint, position string")
+    captures = stage(read_archive(pointers, "/tmp", first_only, schema), "captures")
+    rows = archive_rows(captures)
+    for df in (read_counters(captures), rows.select("url", "_arrival")):
+        assert "text" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cdx_stream(spark, store, target, tmp_path):

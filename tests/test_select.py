@@ -147,6 +147,7 @@ def test_index_paths(spark, tmp_path):
     assert scan_index(spark, root + "/", "C2").collect() == [("b", "C2", "warc")]
     assert scan_index(spark, root + "/crawl=C1/subset=warc", "C2").collect() == [("a", "C1", "warc")]
     assert scan_index(spark, root, "C2", "robotstxt").count() == 1
+    assert sorted(open_index(spark, root + "/crawl=C1/").collect()) == [("a", "C1", "warc")]
     assert latest_crawl(open_index(spark, root)).first().crawl == "C2"
 
 
