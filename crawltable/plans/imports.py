@@ -292,9 +292,10 @@ def import_pointers(
     """
     matched = pointers.count() if matched is None else matched
     report("record_matched", matched=matched, files_read=matched, pending=matched)
+    places = pointers.select("url", "filename", "offset", "length", "position")
     captures = stage(
         read_archive(
-            pointers, archive, read.extractor, None if read.grow else read.schema, read.key,
+            places, archive, read.extractor, None if read.grow else read.schema, read.key,
             read.retries, read.retry_delay,
             read.read_partitions or _read_tasks(spark, matched),
             read.concurrency,

@@ -207,21 +207,23 @@ def _in_order(batch, store, pool, concurrency):
         yield ahead.popleft().result()
 
 
+def open_files(base: str) -> tuple[pafs.FileSystem, str]:
+    """File system of a path or URI, and the folder within it."""
+    if re.match(r"s3a?://", base):
+        files = pafs.S3FileSystem(anonymous=not has_credentials(), region=STORE_REGION)
+        folder = base.split("://", 1)[1]
+    else:
+        files, folder = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "/", base))
+    return files, folder.rstrip("/")
+
+
 class ArchiveStore:
     """Ranges of the files under one base path, read again after I/O errors."""
 
     def __init__(self, base: str, retries: int, retry_delay: float):
         self.retries = retries
         self.retry_delay = retry_delay
-        if re.match(r"s3a?://", base):
-            self.folder = base.split("://", 1)[1].rstrip("/")
-            self.files = pafs.S3FileSystem(
-                anonymous=not has_credentials(), region=STORE_REGION
-            )
-        else:
-            path = re.sub(r"^file:/+", "/", base)
-            self.files, self.folder = pafs.FileSystem.from_uri(path)
-            self.folder = self.folder.rstrip("/")
+        self.files, self.folder = open_files(base)
         self.current = (None, None)
 
     def read(self, filename: str, offset: int, length: int) -> tuple[bytes, int]:

@@ -11,11 +11,11 @@ from collections.abc import Iterator
 from datetime import UTC
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawltable.functions.columns import timestamp14, url_host
+from crawltable.sources.archive import open_files
 from crawltable.workspace import fresh_path
 
 CRAWLS = ("2024-05", "2024-10")
@@ -106,7 +106,7 @@ def write_archives(captures: DataFrame, folder: str) -> DataFrame:
     schema = captures.drop("html").schema
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, path = pafs.FileSystem.from_uri(folder.replace("file:", "", 1))
+        files, path = open_files(folder)
         files.create_dir(path)
         name = f"part-{uuid.uuid4().hex}.warc.gz"
         with files.open_output_stream(f"{path}/{name}", compression=None) as out:

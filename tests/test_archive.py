@@ -106,7 +106,11 @@ def test_reads_are_repeated_with_growing_waits(monkeypatch):
     store.files = FailingFiles(4)
     with pytest.raises(OSError):
         store.read("g", 0, 4)
-    assert ArchiveStore("file:/tmp", 0, 0).folder == "/tmp"
+
+
+@pytest.mark.parametrize("base", ["/tmp/", "file:/tmp", "file:///tmp/"])
+def test_local_bases(base):
+    assert archive.open_files(base)[1] == "/tmp"
 
 
 @pytest.fixture
