@@ -149,8 +149,19 @@ def upsert(spark: SparkSession, target: Target, updates: DataFrame, key: str) ->
 def _as_stored(schema: T.StructType, updates: DataFrame) -> DataFrame:
     """Names and types as the table has them; a value that does not fit fails."""
     stored = {f.name.lower(): f for f in schema.fields}
-    fields = [(c, stored[c.lower()]) for c in updates.columns]
-    return updates.select(*(F.col(c).cast(f.dataType).alias(f.name) for c, f in fields))
+    columns = []
+    for given in updates.schema.fields:
+        wanted = stored[given.name.lower()]
+        value = F.col(_quoted(given.name))
+        if given.dataType != wanted.dataType:
+            fitting = value.try_cast(wanted.dataType)
+            unfit = fitting.isNull()
+            if isinstance(given.dataType, T.NumericType) and isinstance(wanted.dataType, T.NumericType):
+                unfit = unfit | (fitting.try_cast(given.dataType) != value)
+            problem = F.raise_error(F.lit(f"a value of {wanted.name} does not fit its type"))
+            value = F.when(value.isNotNull() & unfit, problem).otherwise(fitting)
+        columns.append(value.alias(wanted.name))
+    return updates.select(*columns)
 
 
 def _details(spark: SparkSession, target: Target) -> dict:

@@ -113,8 +113,9 @@ def test_values_take_the_stored_names_and_types(spark, target, monkeypatch, limi
     upsert(spark, target, rows(spark, [("y", 3)], "k string, A bigint"), "k")
     assert read_table(spark, target).dtypes == [("k", "string"), ("a", "int")]
     assert table(spark, target) == [("x", 1), ("y", 3)]
-    with pytest.raises(PySparkException, match="CAST_OVERFLOW"):
-        upsert(spark, target, rows(spark, [("y", 1 << 40)], "k string, a bigint"), "k")
+    for value, kind in ((1 << 40, "bigint"), (1.5, "double"), ("many", "string")):
+        with pytest.raises(PySparkException, match="does not fit"):
+            upsert(spark, target, rows(spark, [("y", value)], f"k string, a {kind}"), "k")
     assert table(spark, target) == [("x", 1), ("y", 3)]
 
 
