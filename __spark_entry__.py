@@ -46,6 +46,15 @@ from fixtures import oracle as O
 from fixtures.derived import CRAWLS, ccindex, crawl_store, pages
 from fixtures.extractors import TITLED_SCHEMA, measured_page, titled_page
 
+# The subpackage llm may be absent; nothing else here needs it.
+try:
+    import corpus_pipeline
+    from crawltable.llm import queries as llm_queries
+except ImportError as absent:
+    if absent.name not in ("corpus_pipeline", "crawltable.llm"):
+        raise
+    llm_queries = None
+
 # Executors need not have this folder on their path.
 cloudpickle.register_pickle_by_value(crawltable)
 cloudpickle.register_pickle_by_value(fixtures)
@@ -422,9 +431,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "progress_events": _progress_events,
         "schema_evolve": _schema_evolve,
         "target_address": _target_address,
+        **(_llm_queries() if llm_queries else {}),
     }
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
     index = O.CCINDEX
     in_domain = f"url_host_registered_domain = '{DOMAIN}'"
@@ -440,7 +454,11 @@ def oracle_sql() -> dict[str, str]:
     imported_cdx = (
         f"{index}, {O.TEXTS} " + O.extracted(O.latest(f"SELECT * {listed}"))
     )
+    llm = llm_queries.oracle_sql() if llm_queries else {}
+    if llm_queries and corpus_pipeline.ORACLE_SQL:
+        llm["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {
+        **llm,
         "index_scan": f"""{index} SELECT capture_id, url, url_host_name, fetch_status, crawl, subset
             FROM ccindex WHERE crawl = '{NEWEST}' AND subset = 'warc'""",
         "html_captures": f"{index} SELECT capture_id, url, url_path FROM html_captures",
