@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ BATCH_BYTES = 4 << 20
 def slices(column: pa.Array, size: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Start and length of consecutive runs of rows of about ``size`` bytes."""
     if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     else:
         sizes = [64] * len(column)
     start, total = 0, 0

@@ -13,7 +13,7 @@ are never cut. The template is ``<|im_start|>role\\ntext<|im_end|>\\n``; ``<|``
 text gets a backslash between its two characters, one more where there are some already,
 which is undone when reading back.
 
-Null texts and roles are empty. Turns with equal numbers are ordered by role and text,
+Null texts and roles are empty. Turns with equal numbers are ordered by a hash of role and text,
 null numbers first; repeated rows are turns like any other; rows with a null
 conversation form one conversation. Other columns are not read.
 """
@@ -138,8 +138,10 @@ def _prefix_sums(turns: DataFrame, vocabulary: str, folder: str) -> DataFrame:
     """Add ``tokens``, ``position`` (0, 1, ...) and ``before``, the tokens of the
     conversation's earlier turns."""
     tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["conv_id", "turn", "role", "text"]
-    ordered = turns.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    # Ranges by a hash of the text: their bounds are sampled, and whole texts should not be.
+    turns = turns.withColumn("hash", F.xxhash64("role", "text"))
+    order = ["conv_id", "turn", "hash"]
+    ordered = turns.repartitionByRange(tasks, *order).sortWithinPartitions(*order, "role", "text")
     schema = "conv_id bigint, role string, text string, tokens bigint, position bigint, before bigint"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -331,8 +331,8 @@ def find_private(
 def sanitise(df: DataFrame, text: str = "text", disclosing: DataFrame | None = None) -> DataFrame:
     """``df`` with sanitised texts; null texts stay null."""
     disclosing = disclosing_terms(df, text) if disclosing is None else disclosing
-    place = df.columns.index(text)
-    n = len(df.columns)
+    names, place = df.columns, df.columns.index(text)
+    n = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,6 +345,6 @@ def sanitise(df: DataFrame, text: str = "text", disclosing: DataFrame | None = N
                 clean.append(whole)
             kept = list(batch.columns[:n])
             kept[place] = pa.array(clean, batch.column(place).type)
-            yield pa.RecordBatch.from_arrays(kept, names=df.columns)
+            yield pa.RecordBatch.from_arrays(kept, names=names)
 
     return _with_terms(df, text, disclosing).mapInArrow(run, df.schema)

@@ -82,13 +82,33 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     return hashed.join(labels, "fingerprint").select(id, "fingerprint", "component_id")
 
 
-def label_fingerprints(hashed: DataFrame, id: str) -> DataFrame:
-    """``component_id`` of each distinct ``fingerprint``, staged."""
+def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, all columns as they were: that of the
+    smallest id (null ids last), then of the smallest hash of its text; of rows that
+    share both, any one."""
+    keys = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("hash"))
+    hashed = stage(fingerprints(keys, "text", ["id", "hash"]), "fingerprints")
+    rows = hashed.groupBy("fingerprint", "id", "hash").agg(F.count("*").alias("n"))
+    labels = label_fingerprints(hashed, "id", "centre")
+    order = F.struct(F.col("id").isNull(), "id", "hash", "n")
+    kept = rows.join(labels, "fingerprint").groupBy("centre").agg(F.min(order).alias("kept"))
+    kept = stage(kept.select("kept.id", "kept.hash", "kept.n"), "kept")
+    same = F.col(f"`{id}`").eqNullSafe(F.col("_kept.id")) & (F.xxhash64(f"`{text}`") == F.col("_kept.hash"))
+    single, several = kept.where("n = 1").alias("_kept"), kept.where("n > 1").alias("_kept")
+    once = df.join(single, same, "left_semi")
+    return once.unionByName(df.join(several, same, "left_semi").dropDuplicates([id, text]))
+
+
+def label_fingerprints(hashed: DataFrame, id: str, label: str = "component_id") -> DataFrame:
+    """``component_id``, or ``centre`` (a fingerprint), of each distinct ``fingerprint``,
+    staged."""
     points = stage(hashed.groupBy("fingerprint").agg(F.min(id).alias("least")), "points")
     linked = components(links(points))
     centre = F.coalesce("component", "fingerprint").alias("centre")
     placed = points.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     placed = stage(placed.select("fingerprint", "least", centre), "placed")
+    if label == "centre":
+        return placed.select("fingerprint", "centre")
     least = placed.groupBy("centre").agg(F.min("least").alias("component_id"))
     least = stage(least, "least")
     return stage(placed.join(least, "centre").select("fingerprint", "component_id"), "labels")

@@ -10,6 +10,7 @@ from crawltable.llm import (
     codewords,
     disclosure,
     graysim,
+    latent,
     paragraphs,
     powers,
     repetition,
@@ -89,10 +90,15 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_windows(turns))
 
 
+def op10_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return latent.find_leaks(_documents(spark, sf_dir), benchmark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality, op2_toxicity, op3_paragraphs, op4_simple8b, op5_packing, op6_codewords,
-        op7_disclosure, op8_simhash, op9_chat,
+        op7_disclosure, op8_simhash, op9_chat, op10_latent,
     )}
 
 

@@ -11,7 +11,7 @@ rows need, each about FILE_VALUES values long, so files and memory stay bounded
 large the table is. Only files that the returned rows name count: what a lost or
 repeated task left behind is never read.
 
-Null texts are empty documents; repeated ids are ordered by text and kept; null ids
+Null texts are empty documents; repeated ids are kept, in the order of a hash of the text; null ids
 come first. Other columns are not read. An empty table gives no file.
 """
 
@@ -198,7 +198,9 @@ def write_tokens(
     path = vocabulary or vocabulary_path()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    ordered = rows.repartitionByRange(partitions, "id", "text").sortWithinPartitions("id", "text")
+    # Ranges by a hash of the text: their bounds are sampled, and whole texts should not be.
+    ordered = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(partitions, "id", "hash")
+    ordered = ordered.sortWithinPartitions("id", "hash", "text")
     ordered = ordered.select("id", "text", F.spark_partition_id().alias("part"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
