@@ -14,26 +14,29 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from crawltable.functions.shapes import joined, settled, shape_of
 from crawltable.sources.index import STORE_REGION, has_credentials
 
 # Raw bytes read before a batch of rows is handed back to Spark.
 FLUSH_BYTES = 8 << 20
 
-READ_COLUMNS = (
-    "bytes bigint, requests bigint, skipped bigint, extracted bigint, rows array<{row}>"
-)
+READ_COUNTERS = "bytes bigint, requests bigint, skipped bigint, extracted bigint, damaged bigint"
 SHAPES = "shapes array<struct<name:string,type:string,place:int>>"
 
 
 @dataclass(frozen=True)
 class ArchiveRecord:
-    """Header blocks of one archive record, with lower-case names."""
+    """Header blocks of one archive record, with lower-case names.
+
+    ``damaged`` tells that the body's compression breaks off; what came before is kept.
+    """
 
     kind: str
     headers: dict[str, str]
     http_headers: dict[str, str] | None = field(default=None)
+    damaged: bool = False
 
 
 Extractor = Callable[[ArchiveRecord, bytes], dict | None]
@@ -53,8 +56,8 @@ def read_archive(
     """Read each pointer's bytes and run ``extractor`` on the responses in them.
 
     Keeps one row per pointer and adds ``bytes``, ``requests``, ``skipped``,
-    ``extracted`` and ``rows``, so that counters are not multiplied by the number of
-    responses. Without a schema ``rows`` holds pickled rows and ``shapes`` the columns
+    ``extracted``, ``damaged`` and ``rows``, so that counters are not multiplied by the
+    number of responses. Without a schema ``rows`` holds pickled rows and ``shapes`` the columns
     found in them; see ``infer_schema`` and ``typed_rows``.
 
     Pointers are spread by ranges of file and offset: neighbours are read by the
@@ -65,9 +68,10 @@ def read_archive(
     # With a number, so that pointers, being small, are not merged into few tasks.
     shuffle_partitions = int(pointers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = pointers.repartitionByRange(read_partitions or shuffle_partitions, *place)
-    row = "binary" if schema is None else schema.simpleString()
-    added = READ_COLUMNS.format(row=row) + (", " + SHAPES if schema is None else "")
-    out = T.StructType(pointers.schema.fields + T.StructType.fromDDL(added).fields)
+    out = T.StructType([*pointers.schema.fields, *T.StructType.fromDDL(READ_COUNTERS)])
+    out = out.add("rows", T.ArrayType(T.BinaryType() if schema is None else schema))
+    if schema is None:
+        out = T.StructType([*out, *T.StructType.fromDDL(SHAPES)])
     out_arrow = to_arrow_schema(out)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,14 +83,15 @@ def read_archive(
     def _read_batch(batch, store, pool):
         results, start, size = [], 0, 0
         for data, requests in _in_order(batch, store, pool, concurrency):
-            rows, skipped = [], 0
+            rows, skipped, damaged = [], 0, 0
             for record, body in responses(data):
+                damaged += record.damaged
                 row = extractor(record, body)
                 if row is None:
                     skipped += 1
                 else:
                     rows.append(_checked(row, schema, key))
-            results.append((len(data), requests, skipped, len(rows), rows))
+            results.append((len(data), requests, skipped, len(rows), damaged, rows))
             size += len(data)
             if size >= FLUSH_BYTES:
                 yield _attach(batch, start, results)
@@ -132,18 +137,16 @@ def infer_schema(captures: DataFrame) -> T.StructType:
     )
     schema = T.StructType()
     for column in columns:
-        schema = schema.add(column["name"], _common_type(column["name"], column["types"]))
+        shapes = map(T._parse_datatype_json_string, column["types"])
+        schema = schema.add(column["name"], _joined(column["name"], shapes))
     return schema
 
 
-def _common_type(name: str, types: list[str]) -> T.DataType:
-    """The one type other than null, or double for whole numbers and fractions."""
-    kinds = {t for t in types if t != T.NullType().json()}
-    if kinds == {T.LongType().json(), T.DoubleType().json()}:
-        return T.DoubleType()
-    if len(kinds) > 1:
-        raise ValueError(f"column {name!r} holds values of several types: {sorted(kinds)}")
-    return T._parse_datatype_json_string(kinds.pop()) if kinds else T.NullType()
+def _joined(name: str, shapes) -> T.DataType:
+    try:
+        return joined(shapes)
+    except TypeError as error:
+        raise ValueError(f"column {name!r} holds values of several types: {error}") from None
 
 
 def typed_rows(captures: DataFrame, schema: T.StructType) -> DataFrame:
@@ -151,7 +154,7 @@ def typed_rows(captures: DataFrame, schema: T.StructType) -> DataFrame:
     kept = captures.drop("shapes")
     out = T.StructType(
         [f for f in kept.schema.fields if f.name != "rows"]
-        + [T.StructField("rows", T.ArrayType(schema))]
+        + [T.StructField("rows", T.ArrayType(settled(schema)))]
     )
     out_arrow = to_arrow_schema(out)
 
@@ -177,8 +180,8 @@ def _shapes(pointers: Sequence[list[dict]]) -> list[list[dict]]:
                 columns.setdefault(name, (n, place, []))[2].append(row[name])
     shapes = [[] for _ in pointers]
     for name, (n, place, values) in columns.items():
-        kind = from_arrow_type(pa.infer_type(values)).json()
-        shapes[n].append({"name": name, "type": kind, "place": place})
+        kind = _joined(name, map(shape_of, values))
+        shapes[n].append({"name": name, "type": kind.json(), "place": place})
     return shapes
 
 
@@ -227,10 +230,18 @@ class ArchiveStore:
         self.current = (None, None)
 
     def read(self, filename: str, offset: int, length: int) -> tuple[bytes, int]:
-        """``(bytes, attempts)``; waits twice as long after each failure."""
+        """``(bytes, attempts)``; waits twice as long after each failure.
+
+        Fewer bytes than asked for are a failure too.
+        """
         for attempt in range(self.retries + 1):
             try:
-                return self.open(filename).read_at(length, offset), attempt + 1
+                data = self.open(filename).read_at(length, offset)
+                if len(data) != length:
+                    raise OSError(
+                        f"{filename}: {len(data)} of {length} bytes at {offset} could be read"
+                    )
+                return data, attempt + 1
             except OSError:
                 self.current = (None, None)
                 if attempt == self.retries:
@@ -247,16 +258,23 @@ class ArchiveStore:
 
 
 def responses(data: bytes) -> Iterator[tuple[ArchiveRecord, bytes]]:
-    """Response records within a range, each with its decoded body."""
+    """Response records within a range, each with its decoded body.
+
+    A range without any record, or with a part of one, fails.
+    """
+    empty = True
     for headers, block in _records(data):
+        empty = False
         if headers.get("warc-type") != "response":
             continue
-        http_headers, body = None, block
+        http_headers, body, damaged = None, block, False
         if headers.get("warc-target-uri", "").startswith(("http:", "https:")):
             head, body = _split_head(block)
             http_headers = _headers(head)
-            body = _plain_body(body, http_headers)
-        yield ArchiveRecord("response", headers, http_headers), body
+            body, damaged = _plain_body(body, http_headers)
+        yield ArchiveRecord("response", headers, http_headers, damaged), body
+    if empty:
+        raise ValueError("range holds no archive record")
 
 
 def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -267,6 +285,8 @@ def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             head, rest = _split_head(text)
             headers = _headers(head)
             size = int(headers.get("content-length", 0))
+            if len(rest) < size:
+                raise ValueError(f"archive record has {len(rest)} of its {size} bytes")
             yield headers, rest[:size]
             text = rest[size:]
 
@@ -279,6 +299,8 @@ def _members(data: bytes) -> Iterator[bytes]:
     while data.startswith(b"\x1f\x8b"):
         member = zlib.decompressobj(wbits=31)
         yield member.decompress(data)
+        if not member.eof:
+            raise ValueError("range ends within a compressed archive record")
         data = member.unused_data
 
 
@@ -302,21 +324,30 @@ def _headers(head: bytes) -> dict[str, str]:
     return headers
 
 
-def _plain_body(body: bytes, headers: dict[str, str]) -> bytes:
+def _plain_body(body: bytes, headers: dict[str, str]) -> tuple[bytes, bool]:
+    """The body without transfer and content coding, and whether the latter breaks off.
+
+    Codings other than gzip and deflate are passed through.
+    """
     if headers.get("transfer-encoding", "").lower() == "chunked":
         body = _dechunked(body)
     encoding = headers.get("content-encoding", "").lower()
-    if encoding in ("", "identity"):
-        return body
-    if encoding not in ("gzip", "x-gzip", "deflate"):
-        raise ValueError(f"content encoding {encoding!r} is not supported")
     # Servers label plain bodies as compressed and disagree on what deflate is.
-    for window in (31,) if "gzip" in encoding else (15, -15):
+    windows = {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(encoding, ())
+    for window in windows:
+        parts, rest = [], body
         try:
-            return zlib.decompressobj(wbits=window).decompress(body)
+            while rest and (not parts or window == 31 and rest.startswith(b"\x1f\x8b")):
+                stream = zlib.decompressobj(wbits=window)
+                parts.append(stream.decompress(rest))
+                if not stream.eof:
+                    return b"".join(parts), True
+                rest = stream.unused_data
+            return b"".join(parts), False
         except zlib.error:
-            continue
-    return body
+            if parts:
+                return b"".join(parts), True
+    return body, False
 
 
 def _dechunked(body: bytes) -> bytes:

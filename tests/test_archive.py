@@ -35,7 +35,6 @@ def test_only_responses_are_kept():
     assert bodies(data) == [b"b", b"d"]
     members = b"".join(gzip.compress(record(http(b), "response")) for b in (b"1", b"2"))
     assert bodies(members) == [b"1", b"2"]
-    assert bodies(b"") == []
 
 
 def test_headers():
@@ -75,11 +74,37 @@ def test_encodings(headers, body):
     assert bodies(record(http(body, *headers))) == [b"hello"]
 
 
-def test_other_encodings_and_other_bytes_fail():
-    with pytest.raises(ValueError, match="br"):
-        bodies(record(http(b"x", "Content-Encoding: br")))
-    with pytest.raises(ValueError, match="archive record"):
-        bodies(b"<html>")
+@pytest.mark.parametrize("coding", ["br", "none", "utf-8", "gzip, gzip"])
+def test_other_encodings_are_passed_through(coding):
+    assert bodies(record(http(b"hello", f"Content-Encoding: {coding}"))) == [b"hello"]
+
+
+def test_all_members_of_a_body_are_unpacked():
+    body = gzip.compress(b"one ") + gzip.compress(b"two")
+    assert bodies(record(http(body, "Content-Encoding: gzip"))) == [b"one two"]
+
+
+def test_cut_bodies_are_kept_and_marked():
+    whole = gzip.compress(b"one two three four " * 50)
+    for body in (whole[:-10], gzip.compress(b"one ") + whole[:-10]):
+        [(found, text)] = responses(record(http(body, "Content-Encoding: gzip")))
+        assert found.damaged and text.startswith(b"one ")
+    [(found, _)] = responses(record(http(whole, "Content-Encoding: gzip")))
+    assert not found.damaged
+
+
+def test_parts_of_records_fail():
+    whole = record(http(b"<p>" + b"a" * 100))
+    for data, problem in [
+        (b"<html>", "archive record"),
+        (b"", "no archive record"),
+        (b"\r\n\r\n", "no archive record"),
+        (whole[:-54], "of its"),
+        (gzip.compress(whole)[:-20], "within a compressed|of its"),
+        (gzip.compress(whole) + gzip.compress(whole)[:30], "within a compressed|of its"),
+    ]:
+        with pytest.raises(ValueError, match=problem):
+            bodies(data)
 
 
 class FailingFiles:
@@ -108,6 +133,22 @@ def test_reads_are_repeated_with_growing_waits(monkeypatch):
         store.read("g", 0, 4)
 
 
+class ShortFiles(FailingFiles):
+    def read_at(self, length, offset):
+        self.failures -= 1
+        return b"x" * (length - (self.failures >= 0))
+
+
+def test_short_reads_are_repeated(monkeypatch):
+    monkeypatch.setattr(archive.time, "sleep", lambda seconds: None)
+    store = ArchiveStore("/tmp", retries=2, retry_delay=0.0)
+    store.files = ShortFiles(2)
+    assert store.read("f", 0, 4) == (b"xxxx", 3)
+    store.files = ShortFiles(3)
+    with pytest.raises(OSError, match="3 of 4 bytes"):
+        store.read("g", 0, 4)
+
+
 @pytest.mark.parametrize("base", ["/tmp/", "file:/tmp", "file:///tmp/"])
 def test_local_bases(base):
     assert archive.open_files(base)[1] == "/tmp"
@@ -185,6 +226,25 @@ def test_a_missing_archive_fails(spark, stored):
         read_archive(lost, base, default_extract, DEFAULT_SCHEMA, retries=1, retry_delay=0.0).collect()
 
 
+@pytest.mark.parametrize("change", [-20, 2000])
+def test_ranges_that_are_cut_or_pass_the_end_fail(spark, stored, change):
+    pointers, base = stored
+    cut = pointers.where("url = 'u2'").withColumn("length", F.col("length") + change)
+    with pytest.raises(PySparkException, match="compressed archive record|of its|could be read"):
+        read_archive(cut, base, default_extract, DEFAULT_SCHEMA, retries=0).collect()
+
+
+def test_names_that_need_quoting(spark, stored):
+    def odd(found, body):
+        return {"og:title": "t", "a.b": len(body)}
+
+    pointers, base = stored
+    schema = T.StructType().add("og:title", T.StringType()).add("a.b", T.LongType())
+    rows = archive_rows(read_archive(pointers, base, odd, schema))
+    assert rows.columns == ["_arrival", "og:title", "a.b"]
+    assert rows.select("`a.b`").agg(F.sum("`a.b`")).first()[0] == 6
+
+
 def test_one_hot_archive_is_read_by_many_tasks(spark, stored):
     pointers, base = stored
     copies = pointers.where("url = 'u2'").withColumn("position", F.explode(F.sequence(F.lit(1), F.lit(800))))
