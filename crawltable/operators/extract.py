@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawltable.functions.bodies import body_text, utc_date
+from crawltable.functions.bodies import body_text, decoded, utc_date, visible_text
+from crawltable.functions.columns import charset_of
 from crawltable.sources.archive import ArchiveRecord
 
 DEFAULT_SCHEMA = T.StructType(
@@ -55,28 +56,22 @@ def html_text(
 ) -> DataFrame:
     """Add the text of ``body``, a text or binary column, read as ``content_type``.
 
-    Only the two columns needed go through Python; the rest stay in the JVM.
+    Only markup and bodies that are still bytes go through Python; charsets and media
+    types are worked out in the JVM.
     """
+    kind = F.coalesce(F.col(content_type), F.lit(""))
+    markup = kind.rlike("(?i)html|xml")
 
     @F.arrow_udf("string")
-    def extract(bodies: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch in bodies:
-            yield pa.array(
-                (
-                    None if page.as_py() is None else body_text(page.as_py(), kind.as_py() or "")
-                    for page, kind in zip(*batch)
-                ),
-                pa.string(),
-            )
-
-    return df.withColumn(text, extract(F.col(body), F.col(content_type)))
-
-
-def fill_cluster(df: DataFrame) -> DataFrame:
-    """Spread rows of a few small files over all cores, ahead of Python work.
-
-    A table with as many files as the cluster has cores is left where it is, so no
-    page body is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    def extract(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in parts:
+            texts = []
+            for page, charset, is_markup in zip(*(column.to_pylist() for column in batch)):
+                plain = page if page is None else decoded(page, charset)
+                texts.append(visible_text(plain) if is_markup and page is not None else plain)
+            yield pa.array(texts, pa.string())
+
+    extracted = extract(F.col(body), charset_of(kind), markup)
+    if isinstance(df.schema[body].dataType, T.StringType):
+        extracted = F.when(markup, extracted).otherwise(F.col(body))
+    return df.withColumn(text, extracted)

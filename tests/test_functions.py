@@ -91,7 +91,7 @@ def test_host_key(spark):
 
 
 PAGES = {
-    "<html><head><style>.x{}</style></head><body>Hello <b>page</b></body></html>": "Hello page",
+    "<!doctype html><style>p { top: 0 }</style><ul><li>one</li> <li> two<i>three</i></ul>": "one two three",
     "<title> A  b </title><p>c&amp;d &eacute;": "A  b c&d é",
     "<script>var t='<p>x</p>';</script>y<!-- z -->": "y",
     "a<noscript>b<p>c": "a",
@@ -141,7 +141,8 @@ def test_an_unknown_charset_fails_the_job(spark):
         html_text(rows, "body", "kind").collect()
 
 
-def test_only_two_columns_go_through_python(spark):
+def test_only_bodies_go_through_python(spark):
     rows = spark.createDataFrame([("<p>a", "text/html", 1)], "body string, kind string, extra int")
     plan = html_text(rows, "body", "kind")._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"ArrowEvalPython \[extract\(body#\d+, kind#\d+\)", plan)
+    assert re.search(r"ArrowEvalPython \[extract\(body#\d+, ", plan) and "extra#" in plan
+    assert not re.search(r"extract\([^)]*extra#", plan)
