@@ -3,7 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawltable.functions.names import named
 from crawltable.operators.ordering import with_arrival_index
+from crawltable.workspace import scratch
 
 
 def read_counters(captures: DataFrame) -> DataFrame:
@@ -28,20 +30,17 @@ def read_counters(captures: DataFrame) -> DataFrame:
     )
 
 
-def imported_count(
-    rows: DataFrame,
-    key: str,
-    order: str,
-    batch_size: int = 100,
-    folder: str | None = None,
-    at_most: int | None = None,
-) -> DataFrame:
+def imported_count(rows: DataFrame, key: str, order: str, batch_size: int = 100) -> DataFrame:
     """One row with the number of rows merged when batches of ``batch_size`` rows
     are merged in order of arrival, keeping one row per key within a batch.
 
-    A key that comes again in a later batch counts again; null is a key.
+    A key that comes again in a later batch counts again; null is a key. The count is
+    taken at once, and what was staged for it is removed.
     """
-    arrived = rows.select(F.col(key).alias("_key"), F.col(order).alias("_order"))
-    numbered = with_arrival_index(arrived, ["_order"], folder=folder, at_most=at_most)
-    batch = F.floor(F.col("arrival") / batch_size).alias("_batch")
-    return numbered.select("_key", batch).distinct().agg(F.count("*").alias("imported"))
+    spark = rows.sparkSession
+    arrived = rows.select(named(key).alias("_key"), named(order).alias("_order"))
+    with scratch(spark, "arrival") as folder:
+        numbered = with_arrival_index(arrived, ["_order"], folder=folder)
+        batch = F.floor(F.col("arrival") / batch_size).alias("_batch")
+        count = numbered.select("_key", batch).distinct().count()
+    return spark.createDataFrame([(count,)], "imported bigint")

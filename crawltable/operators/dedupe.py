@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crawltable.functions.names import named
+
 
 def dedupe_last(
     df: DataFrame, key: str, order: str, first_seen: str | None = None
@@ -14,11 +16,11 @@ def dedupe_last(
     of a key before the shuffle, even of a key that holds most rows.
     """
     if first_seen is None:
-        return top_row(df, key, F.col(order).desc())
-    last = F.max_by(F.struct(*(c for c in df.columns if c != key)), order)
-    kept = df.groupBy(key).agg(last.alias("_last"), F.min(order).alias(first_seen))
-    columns = [F.col(key) if c == key else F.col(f"_last.`{c}`") for c in df.columns]
-    return kept.select(*columns, first_seen)
+        return top_row(df, key, named(order).desc())
+    last = F.max_by(F.struct(*(named(c) for c in df.columns if c != key)), named(order))
+    kept = df.groupBy(named(key)).agg(last.alias("_last"), F.min(named(order)).alias(first_seen))
+    columns = [named(c) if c == key else named("_last", c) for c in df.columns]
+    return kept.select(*columns, named(first_seen))
 
 
 def top_row(df: DataFrame, key: str, *order: Column) -> DataFrame:
@@ -27,6 +29,6 @@ def top_row(df: DataFrame, key: str, *order: Column) -> DataFrame:
     Spark limits the groups below the shuffle. Rows are sorted by a hash before the
     key, as keys that start alike, such as URLs, are slow to sort.
     """
-    ranking = Window.partitionBy(F.xxhash64(key), key).orderBy(*order)
+    ranking = Window.partitionBy(F.xxhash64(named(key)), named(key)).orderBy(*order)
     ranked = df.withColumn("_rank", F.row_number().over(ranking))
     return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from crawltable.workspace import stage
 
-# Above this many rows a limit is cut by global position, and rows are numbered by
-# partition, instead of being gathered into one task.
-GATHERED_LIMIT = 10_000
-
 _ROW_BITS = 33  # monotonically_increasing_id(): partition above, row below
 
 
@@ -18,17 +14,15 @@ def with_arrival_index(
     df: DataFrame,
     order: Sequence[str | Column],
     name: str = "arrival",
-    folder: str | None = None,
-    at_most: int | None = None,
+    *,
+    folder: str,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in ``order``, which should have no ties.
 
     Rows are range partitioned and sorted within partitions; what is known about
-    all partitions together is one count each. The sorted rows are staged. Where there
-    are known to be ``at_most`` a few rows, one task numbers them.
+    all partitions together is one count each. The sorted rows are staged in ``folder``,
+    which the caller removes.
     """
-    if at_most is not None and at_most <= GATHERED_LIMIT:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
     sliced = df.repartitionByRange(*order).sortWithinPartitions(*order)
     sliced = sliced.withColumn("_place", F.monotonically_increasing_id())
     placed = stage(sliced, "arrival", folder)
@@ -53,11 +47,10 @@ def with_arrival_index(
 def first_rows(
     df: DataFrame, order: Sequence[str], limit: int | None, ordered: bool = True
 ) -> DataFrame:
-    """The first ``limit`` rows in ``order``, sorted unless nothing needs them so."""
-    if limit is None:
-        return df.orderBy(*order) if ordered else df
-    if limit <= GATHERED_LIMIT:
+    """The first ``limit`` rows in ``order``, sorted unless nothing needs them so.
+
+    Every task gives up all but its own first ``limit`` rows, whatever the limit is.
+    """
+    if limit is not None:
         return df.orderBy(*order).limit(limit)
-    numbered = with_arrival_index(df, order, "_arrival")
-    first = numbered.where(F.col("_arrival") < limit).drop("_arrival")
-    return first.orderBy(*order) if ordered else first
+    return df.orderBy(*order) if ordered else df

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawltable.functions.names import named, quoted
+from crawltable.functions.shapes import table_schema
+
 BUCKET = "key_bucket"
 MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 
@@ -22,6 +25,9 @@ MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 BROADCAST_BYTES = 32 << 20
 KEY_OVERHEAD = 64
 
+# Bytes of rows per writing task.
+TASK_BYTES = 256 << 20
+
 _KEY_PROPERTY = "crawltable.key"
 _BUCKETS_PROPERTY = "crawltable.buckets"
 
@@ -31,7 +37,8 @@ class Target:
     """Where rows go.
 
     ``root`` holds the data; unset, the database's own folder does. ``buckets`` counts
-    when the table is made: choose it so that a bucket will be some gigabytes.
+    when the table is made: choose it so that a bucket will be some gigabytes;
+    ``rebucket`` changes it later.
     """
 
     table: str
@@ -56,11 +63,7 @@ class Target:
     def name(self) -> str:
         """Quoted table name; a branch is a table of its own beside the main one."""
         table = f"{self.table}__{self.branch}" if self.branch else self.table
-        return ".".join(_quoted(n) for n in (self.database, table) if n)
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+        return ".".join(quoted(n) for n in (self.database, table) if n)
 
 
 def _literal(text: str) -> str:
@@ -82,16 +85,16 @@ def ensure_table(
     known = {name.lower() for name in spark.table(target.name).columns}
     missing = [f for f in schema.fields if f.name.lower() not in known]
     if missing:
-        added = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in missing)
+        added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in missing)
         spark.sql(f"ALTER TABLE {target.name} ADD COLUMNS ({added})")
 
 
 def _create_table(spark, target, schema, key):
     if target.database is not None:
         at = f" LOCATION {_literal(f'{target.root}/{target.database}')}" if target.root else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(target.database)}{at}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(target.database)}{at}")
     columns = ", ".join(
-        f"{_quoted(f.name)} {f.dataType.simpleString()}{' NOT NULL' * (f.name == key)}"
+        f"{quoted(f.name)} {f.dataType.simpleString()}{' NOT NULL' * (f.name == key)}"
         for f in schema.fields
     )
     at = f"LOCATION {_literal(_table_folder(spark, target))}"
@@ -115,26 +118,14 @@ def read_table(spark: SparkSession, target: Target) -> DataFrame:
     return spark.table(target.name).drop(BUCKET)
 
 
-def merge_schema(
-    declared: T.StructType | None, inferred: T.StructType, key: str
-) -> T.StructType:
-    """Declared fields, then new inferred ones; untyped columns become text."""
-    fields = {f.name: f for f in (declared.fields if declared else [])}
-    for f in inferred.fields:
-        kind = T.StringType() if isinstance(f.dataType, T.NullType) else f.dataType
-        fields.setdefault(f.name, T.StructField(f.name, kind, f.nullable and f.name != key))
-    if key not in fields:
-        raise ValueError(f"the rows lack the key column {key!r}")
-    return T.StructType(list(fields.values()))
-
-
 def upsert(spark: SparkSession, target: Target, updates: DataFrame, key: str) -> None:
     """Update the rows of known keys and insert the rest.
 
-    ``updates`` has one row per key (see ``dedupe_last``). Columns it lacks keep
+    ``updates`` has one row per key (see ``dedupe_last``) and gives the same rows when
+    it is computed again; what does not should be staged first. Columns it lacks keep
     their value in updated rows and are null in inserted ones.
     """
-    schema = merge_schema(None, updates.schema, key)
+    schema = table_schema(None, updates.schema, key)
     ensure_table(spark, target, schema, key)
     updates = _as_stored(spark.table(target.name).schema, updates)
     details = _details(spark, target)
@@ -152,7 +143,7 @@ def _as_stored(schema: T.StructType, updates: DataFrame) -> DataFrame:
     columns = []
     for given in updates.schema.fields:
         wanted = stored[given.name.lower()]
-        value = F.col(_quoted(given.name))
+        value = named(given.name)
         if given.dataType != wanted.dataType:
             fitting = value.try_cast(wanted.dataType)
             unfit = fitting.isNull()
@@ -178,8 +169,8 @@ def _details(spark: SparkSession, target: Target) -> dict:
 
 def _merge_into(target: Target, updates: DataFrame, key: str) -> None:
     """For catalogs with row-level operations the table format does the work."""
-    values = {c: F.col(f"updates.{_quoted(c)}") for c in updates.columns}
-    match = F.expr(f"{target.name}.{_quoted(key)} = updates.{_quoted(key)}")
+    values = {c: F.col(f"updates.{quoted(c)}") for c in updates.columns}
+    match = F.expr(f"{target.name}.{quoted(key)} = updates.{quoted(key)}")
     (
         updates.alias("updates")
         .mergeInto(target.name, match)
@@ -192,11 +183,15 @@ def _merge_into(target: Target, updates: DataFrame, key: str) -> None:
 
 
 def key_bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(named(key)), F.lit(buckets)).cast("int")
 
 
 def merge_rows(
-    current: DataFrame, updates: DataFrame, key: str, spread: dict[str, Column]
+    current: DataFrame,
+    updates: DataFrame,
+    key: str,
+    spread: dict[str, Column],
+    tasks: int | None = None,
 ) -> DataFrame:
     """``current`` with the updated rows in place of those of the same key.
 
@@ -206,30 +201,34 @@ def merge_rows(
     """
     old = current.withColumn("_new", F.lit(False))
     new = updates.withColumn("_new", F.lit(True))
-    both = old.unionByName(new, allowMissingColumns=True).withColumns(spread)
+    both = old.unionByName(new, allowMissingColumns=True)
     if spread:
-        both = both.repartition(*spread)
-    newest = Window.partitionBy(*spread, key).orderBy(F.col("_new").desc())
+        both = _spread(both, spread, tasks)
+    newest = Window.partitionBy(*spread, named(key)).orderBy(F.col("_new").desc())
     values = {
-        c: F.when(F.col("_new"), F.lead(c).over(newest)).otherwise(F.col(c))
+        c: F.when(F.col("_new"), F.lead(named(c)).over(newest)).otherwise(named(c))
         for c in current.columns
         if c not in updates.columns
     }
     merged = both.withColumns({**values, "_updated": F.first("_new").over(newest)})
-    return merged.where(F.col("_new") | ~F.col("_updated")).select(*current.columns, *spread)
+    return merged.where(F.col("_new") | ~F.col("_updated")).select(*map(named, current.columns), *spread)
 
 
 def replace_rows(
-    current: DataFrame, updates: DataFrame, key: str, spread: dict[str, Column]
+    current: DataFrame,
+    updates: DataFrame,
+    key: str,
+    spread: dict[str, Column],
+    tasks: int | None = None,
 ) -> DataFrame:
     """The same for few updates that have all columns: the target is not shuffled.
 
     Its rows stay where they are read, which is by bucket, and lose those whose key
     is among the broadcast ones.
     """
-    keys = F.broadcast(updates.select(F.col(key).alias("_key")))
-    kept = current.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
-    new = updates.withColumns(spread).repartition(*spread)
+    keys = F.broadcast(updates.select(named(key).alias("_key")))
+    kept = current.join(keys, named(key).eqNullSafe(F.col("_key")), "left_anti")
+    new = _spread(updates, spread, tasks)
     return kept.withColumns(spread).unionByName(new)
 
 
@@ -238,7 +237,7 @@ def _rewrite_buckets(spark, target, updates, key, details):
     # At most one row per bucket; only the key is read to find them.
     sizes = (
         updates.groupBy(key_bucket(key, buckets).alias(BUCKET))
-        .agg(F.sum(F.octet_length(F.col(key).cast("string")) + KEY_OVERHEAD).alias("size"))
+        .agg(F.sum(F.octet_length(named(key).cast("string")) + KEY_OVERHEAD).alias("size"))
         .collect()
     )
     touched = sorted(r[BUCKET] for r in sizes)
@@ -246,24 +245,55 @@ def _rewrite_buckets(spark, target, updates, key, details):
         return
     partitions = spark.sql(f"SHOW PARTITIONS {target.name}").collect()
     existing = {int(r[0].removeprefix(f"{BUCKET}=")) for r in partitions}.intersection(touched)
-    # Few buckets are split over more tasks, so that all cores have work.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    split = F.pmod(F.hash(key), F.lit(max(1, tasks // len(touched))))
-    spread = {BUCKET: key_bucket(key, buckets), "_split": split}
     stored = spark.table(target.name).where(F.col(BUCKET).isin(sorted(existing)))
     current = stored.drop(BUCKET)
+    # Tasks by the bytes to write, and at least as many as the session has partitions;
+    # few buckets are split over more of them.
+    size = _plan_bytes(updates) + (_file_bytes(stored) if existing else 0)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
+    split = F.pmod(F.hash(named(key)), F.lit(max(1, tasks // len(touched))))
+    spread = {BUCKET: key_bucket(key, buckets), "_split": split}
     small = sum(r["size"] or KEY_OVERHEAD for r in sizes) <= BROADCAST_BYTES
     if not existing:
-        merged = updates.withColumns(spread).repartition(*spread)
+        merged = _spread(updates, spread, tasks)
     elif small and set(current.columns) <= set(updates.columns):
-        merged = replace_rows(current, updates, key, spread)
+        merged = replace_rows(current, updates, key, spread, tasks)
     else:
-        merged = merge_rows(current, updates, key, spread)
+        merged = merge_rows(current, updates, key, spread, tasks)
     commit = f"{details['folder']}/{uuid.uuid4().hex}"
     merged.drop("_split").write.partitionBy(BUCKET).parquet(commit)
+    if _folders(spark, commit) - {f"{BUCKET}={bucket}" for bucket in touched}:
+        raise RuntimeError("the updates changed while they were merged; stage them first")
+    _link(spark, target, commit, touched, existing)
+
+
+def _plan_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size, 0 where it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
+def _file_bytes(stored: DataFrame) -> int:
+    """Size of the files that a table's rows lie in; only their footers are read."""
+    files = stored.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.sum("file_size")).first()[0] or 0
 
+
+def _spread(df: DataFrame, spread: dict[str, Column], tasks: int | None) -> DataFrame:
+    spread_out = df.withColumns(spread)
+    return spread_out.repartition(tasks, *spread) if tasks else spread_out.repartition(*spread)
+
+
+def _folders(spark: SparkSession, folder: str) -> set[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BUCKET}=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return {status.getPath().getName() for status in found}
+
+
+def _link(spark, target, commit, buckets, existing) -> None:
+    """Point the catalog to the new folders; the new buckets go in one statement."""
     added = []
-    for bucket in touched:
+    for bucket in buckets:
         place = f"PARTITION ({BUCKET} = {bucket})"
         folder = _literal(f"{commit}/{BUCKET}={bucket}")
         if bucket in existing:
@@ -274,6 +304,35 @@ def _rewrite_buckets(spark, target, updates, key, details):
         spark.sql(f"ALTER TABLE {target.name} ADD IF NOT EXISTS {' '.join(added)}")
 
 
+def rebucket(spark: SparkSession, target: Target, buckets: int) -> None:
+    """Write the table anew in another number of buckets.
+
+    More buckets make small upserts cheaper: one of k keys rewrites at most k of them.
+    The whole table is read and written once. Between dropping the old buckets from the
+    catalog and adding the new ones readers see no rows; the old files stay until
+    ``remove_superseded``.
+    """
+    if buckets <= 0:
+        raise ValueError("buckets must be greater than zero")
+    details = _details(spark, target)
+    if _BUCKETS_PROPERTY not in details["properties"]:
+        raise ValueError(f"{target.name} has no buckets")
+    rows, key = read_table(spark, target), details["properties"][_KEY_PROPERTY]
+    size = _file_bytes(spark.table(target.name))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
+    split = F.pmod(F.hash(named(key)), F.lit(max(1, tasks // buckets)))
+    commit = f"{details['folder']}/{uuid.uuid4().hex}"
+    spread = {BUCKET: key_bucket(key, buckets), "_split": split}
+    _spread(rows, spread, tasks).drop("_split").write.partitionBy(BUCKET).parquet(commit)
+    old = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target.name}").collect()]
+    if old:
+        places = ", ".join(f"PARTITION ({place.replace('=', ' = ')})" for place in old)
+        spark.sql(f"ALTER TABLE {target.name} DROP IF EXISTS {places}")
+    spark.sql(f"ALTER TABLE {target.name} SET TBLPROPERTIES ('{_BUCKETS_PROPERTY}' = '{buckets}')")
+    new = sorted(int(name.removeprefix(f"{BUCKET}=")) for name in _folders(spark, commit))
+    _link(spark, target, commit, new, set())
+
+
 def remove_superseded(spark: SparkSession, target: Target) -> int:
     """Delete the bucket folders that later upserts have replaced, and count them.
 

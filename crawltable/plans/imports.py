@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawltable.functions.names import named
+from crawltable.functions.shapes import table_schema
 from crawltable.functions.sites import scope_patterns
 from crawltable.operators.counters import imported_count, read_counters
 from crawltable.operators.dedupe import dedupe_last
@@ -19,7 +21,6 @@ from crawltable.operators.select import select_captures
 from crawltable.operators.upsert import (
     Target,
     ensure_table,
-    merge_schema,
     read_table,
     upsert,
 )
@@ -37,13 +38,12 @@ from crawltable.workspace import scratch, stage
 # Defaults of the import options.
 DEFAULT_TABLE = "captures"
 BATCH_SIZE = 100
-SCOPE_LIMIT = 10
 HEARTBEAT_SECONDS = 5.0
 
-# Where no partition count is given: captures per archive-reading task, and the
-# tasks per core beyond which tasks get larger instead of more.
-READS_PER_TASK = 1_000
-TASKS_PER_CORE = 25
+# Where no partition count is given: archive bytes per reading task.
+READ_BYTES = 32 << 20
+# Superseded rows whose places are broadcast; more are left to a shuffle.
+BROADCAST_ROWS = 100_000
 
 
 class ImportCounters(NamedTuple):
@@ -76,7 +76,7 @@ class ReadOptions(NamedTuple):
 
     extractor: Extractor = default_extract
     schema: T.StructType | None = DEFAULT_SCHEMA
-    grow: bool = False
+    grow: bool = True
     key: str = "url"
     batch_size: int = BATCH_SIZE
     read_partitions: int | None = None
@@ -93,7 +93,7 @@ class ReadOptions(NamedTuple):
         for name in ("retries", "retry_delay"):
             if getattr(self, name) < 0:
                 raise ValueError(f"{name} must not be negative")
-        if self.schema is not None and self.key not in self.schema.names:
+        if self.schema is not None and self.key not in self.schema.names and not self.grow:
             raise ValueError(f"the schema lacks the key column {self.key!r}")
         return self
 
@@ -101,17 +101,20 @@ class ReadOptions(NamedTuple):
 def read_options(
     extractor: Extractor | None = None,
     schema: T.StructType | None = None,
-    grow: bool = False,
+    grow: bool = True,
     **options,
 ) -> ReadOptions:
     """Checked options of an import.
 
-    Columns of a schema given without an extractor come before the default ones. With ``grow`` an extractor may return columns that ``schema`` lacks, and without a
-    schema all columns are found that way; this takes another pass over the rows.
+    Columns of a schema given without an extractor come before the default ones. An
+    extractor may return columns that ``schema`` lacks, even the key; they are found in
+    the rows, which takes another pass over them. ``grow=False`` saves that pass and
+    makes other columns than those of ``schema`` an error.
     """
     if extractor is None:
-        read = ReadOptions(**options).check()
-        return read._replace(schema=merge_schema(schema, DEFAULT_SCHEMA, read.key))
+        read = ReadOptions(grow=False, **options)
+        read = read._replace(schema=table_schema(schema, DEFAULT_SCHEMA, read.key or "url"))
+        return read.check()
     return ReadOptions(extractor, schema, grow or schema is None, **options).check()
 
 
@@ -201,13 +204,13 @@ def import_scope(
     *,
     scope: str = "host",
     crawl: str | None = None,
-    limit: int | None = SCOPE_LIMIT,
+    limit: int | None = None,
     **options,
 ) -> tuple[DataFrame, ImportCounters]:
     """Import what lies under ``url``, by default from the newest crawl."""
     site, pattern = scope_patterns(url, scope)
     if crawl is None:
-        crawl = latest_crawl(open_index(spark, index_path)).first()["crawl"]
+        crawl = latest_crawl(spark, index_path).first()["crawl"]
     return import_domain(
         spark, index_path, crawl, site, archive, target,
         match=scope, url_patterns=pattern, limit=limit, **options,
@@ -255,7 +258,7 @@ def _heartbeat(report: Reporter, stage_name: str, place: str) -> Iterator[None]:
 
 def _prepare(spark, target, read, report):
     """With a known schema even an import without rows leaves a table."""
-    if read.schema is not None:
+    if read.schema is not None and read.key in read.schema.names:
         ensure_table(spark, target, read.schema, read.key)
     report("started")
 
@@ -267,11 +270,32 @@ def _finished(spark, target, report):
     return read_table(spark, target)
 
 
-def _read_tasks(spark: SparkSession, matched: int) -> int:
-    """Full rounds of tasks over the cores, but no task without a capture."""
+def _read_tasks(spark: SparkSession, pointers: DataFrame, matched: int) -> int:
+    """Tasks by the bytes to read, so that none gets larger as an import does; all cores
+    have work, but no task is without a capture."""
+    size = pointers.agg(F.sum("length")).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
-    rounds = min(-(-matched // (READS_PER_TASK * cores)), TASKS_PER_CORE)
-    return max(1, min(matched, rounds * cores))
+    return max(1, min(matched, max(cores, -(-size // READ_BYTES))))
+
+
+def last_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The last row of each key, of staged rows.
+
+    Only keys and places are shuffled to find rows that a later one supersedes. Where
+    there are none the rows go on as they are; few are taken out by a broadcast, many
+    by ``dedupe_last``. So texts are rarely shuffled before the merge does it.
+    """
+    keys = rows.select(named(key).alias("_key"), named(order).alias("_order"))
+    last = keys.groupBy("_key").agg(F.max("_order").alias("_last"), F.count("*").alias("_rows"))
+    repeated = last.where("_rows > 1").withColumnRenamed("_key", "_again")
+    superseded = repeated.agg(F.sum(F.col("_rows") - 1)).first()[0] or 0
+    if not superseded:
+        return rows
+    if superseded > BROADCAST_ROWS:
+        return dedupe_last(rows, key, order)
+    late = keys.join(repeated, F.col("_key").eqNullSafe(F.col("_again")))
+    late = late.where(F.col("_order") != F.col("_last")).select(F.col("_order").alias("_late"))
+    return rows.join(F.broadcast(late), named(order) == F.col("_late"), "left_anti")
 
 
 def import_pointers(
@@ -293,16 +317,14 @@ def import_pointers(
     matched = pointers.count() if matched is None else matched
     report("record_matched", matched=matched, files_read=matched, pending=matched)
     places = pointers.select("url", "filename", "offset", "length", "position")
-    captures = stage(
-        read_archive(
-            places, archive, read.extractor, None if read.grow else read.schema, read.key,
-            read.retries, read.retry_delay,
-            read.read_partitions or _read_tasks(spark, matched),
-            read.concurrency,
-        ),
-        "archive",
-        folder,
+    captures = read_archive(
+        places, archive, read.extractor, None if read.grow else read.schema, read.key,
+        read.retries, read.retry_delay,
+        read.read_partitions or _read_tasks(spark, pointers, matched),
+        read.concurrency,
     )
+    with _heartbeat(report, "record_matched", archive):
+        captures = stage(captures, "archive", folder)
     totals = read_counters(captures).first().asDict()
     last = totals.pop("last") or (None, None)
     extracted = totals.pop("extracted")
@@ -313,18 +335,16 @@ def import_pointers(
         found = infer_schema(captures)
         if not found.fields:
             return ImportCounters(imported=0, **totals)
-        typed = typed_rows(captures, merge_schema(read.schema, found, read.key))
+        typed = typed_rows(captures, table_schema(read.schema, found, read.key))
         captures = stage(typed, "typed", folder)
     rows = archive_rows(captures)
     # The count and the merge read the same staged rows and can share the cluster.
     with ThreadPoolExecutor(1) as beside:
         counting = beside.submit(
-            lambda: imported_count(
-                rows, read.key, "_arrival", read.batch_size, folder, extracted
-            ).first()
+            lambda: imported_count(rows, read.key, "_arrival", read.batch_size).first()
         )
         report("record_extracted", *last, pending=extracted, **read_so_far)
-        updates = dedupe_last(rows, read.key, "_arrival").drop("_arrival")
+        updates = last_rows(rows, read.key, "_arrival").drop("_arrival")
         upsert(spark, target, updates, read.key)
         imported = counting.result()["imported"]
     report("batch_merged", *last, imported=imported, pending=0)

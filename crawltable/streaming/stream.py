@@ -3,7 +3,7 @@
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -38,17 +38,22 @@ def stream_upsert(
     """Merge a stream of keyed rows into ``target`` until no file is left.
 
     Within a micro-batch the last row in ``order`` wins, later batches overwrite.
-    A batch that is run again after a failure leaves the same table.
+    A batch that is run again after a failure leaves the same table. Without a
+    ``checkpoint`` of its own each run starts with the first file.
     """
 
     def merge(batch: DataFrame, report: Reporter) -> None:
-        per_key = batch.groupBy(key).agg(F.count("*").alias("rows"))
-        received, imported = per_key.agg(F.sum("rows"), F.count("*")).first()
-        if not received:
-            return
-        report("record_matched", matched=received, files_read=received, pending=received)
-        report("record_extracted", pending=imported)
-        upsert(batch.sparkSession, target, dedupe_last(batch, key, order), key)
+        received = Observation()
+        with scratch(batch.sparkSession, "batch") as folder:
+            seen = batch.observe(received, F.count("*").alias("rows"))
+            # Counted while it is read; only the last row of each key is kept.
+            last = stage(dedupe_last(seen, key, order), "last", folder)
+            matched, imported = received.get["rows"], last.count()
+            if not matched:
+                return
+            report("record_matched", matched=matched, files_read=matched, pending=matched)
+            report("record_extracted", pending=imported)
+            upsert(batch.sparkSession, target, last, key)
         report("batch_merged", imported=imported, pending=0)
 
     ensure_table(rows.sparkSession, target, rows.schema, key)
@@ -80,7 +85,7 @@ def import_stream(
             pointers = stage(pointers, "pointers", folder)
             import_pointers(batch.sparkSession, pointers, archive, target, read, report, folder)
 
-    if read.schema is not None:
+    if read.schema is not None and read.key in read.schema.names:
         ensure_table(captures.sparkSession, target, read.schema, read.key)
     return _start(captures, merge, checkpoint, on_progress, progress_path)
 

@@ -13,6 +13,7 @@ from crawltable.operators.counters import read_counters
 from crawltable.operators.upsert import Target, read_table
 from crawltable.plans import imports
 from crawltable.plans.imports import import_cdx, import_domain, import_scope, read_options
+from crawltable.sources import archive
 from crawltable.sources.archive import archive_rows, read_archive
 from crawltable.sources.cdx import parse_lines, select_cdx, stream_cdx
 from crawltable.streaming.stream import import_stream, read_progress, stream_upsert
@@ -183,8 +184,61 @@ def test_a_declared_schema_can_grow(spark, store, target):
         )[0]
 
     with pytest.raises(PySparkException, match="not in the schema"):
-        run()
-    assert run(grow=True).columns == ["url", "title", "size", "note", "tags", "late"]
+        run(grow=False)
+    assert run().columns == ["url", "title", "size", "note", "tags", "late"]
+
+
+def test_the_key_may_come_from_the_rows(spark, store, target):
+    schema = T.StructType().add("title", T.StringType())
+    table, _ = import_domain(
+        spark, store["index"], "C2", "x.com", store["archive"], target,
+        extractor=first_only, schema=schema,
+    )
+    assert table.select("title", "url").collect() == [("A", "https://www.x.com/a")]
+    with pytest.raises(ValueError, match="key column"):
+        read_options(first_only, schema, grow=False)
+
+
+def nested(found, body):
+    url = found.headers["warc-target-uri"]
+    if url.endswith("/a"):
+        return {"url": url, "links": [], "m": {"t": None}, "og:title": "A", "a.b": 1}
+    return {"url": url, "links": ["x"], "m": {"t": "x", "n": 1}, "a.b": 0.5}
+
+
+@pytest.mark.parametrize("flush", [1, 8 << 20])
+def test_found_types_do_not_depend_on_batches(spark, store, target, monkeypatch, flush):
+    monkeypatch.setattr(archive, "FLUSH_BYTES", flush)
+    table, _ = import_domain(
+        spark, store["index"], "C2", "x.com", store["archive"], target, extractor=nested, read_partitions=1
+    )
+    assert table.dtypes == [
+        ("url", "string"), ("links", "array<string>"), ("m", "struct<n:bigint,t:string>"),
+        ("og:title", "string"), ("a.b", "double"),
+    ]
+    assert table.orderBy("url").collect() == [
+        ("https://www.x.com/a", [], (None, None), "A", 1.0),
+        ("https://x.com/b", ["x"], (1, "x"), None, 0.5),
+    ]
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_last_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(imports, "BROADCAST_ROWS", limit)
+    data = [("a", 1, "x"), ("b", 2, "y"), ("a", 3, "z"), (None, 4, "u"), (None, 5, "v")]
+    rows = spark.createDataFrame(data, "k string, i int, `t.t` string")
+    kept = imports.last_rows(rows, "k", "i")
+    assert sorted(kept.collect(), key=lambda r: r.i) == [("b", 2, "y"), ("a", 3, "z"), (None, 5, "v")]
+    assert imports.last_rows(rows.where("i < 3"), "k", "i").count() == 2
+
+
+def test_reading_tasks_follow_the_bytes(spark):
+    def tasks(n, length):
+        return imports._read_tasks(spark, spark.range(n).select(F.lit(length).alias("length")), n)
+
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks(3, 10) == 3 and tasks(1000, 10) == cores
+    assert tasks(100_000, imports.READ_BYTES) == 100_000
 
 
 def test_values_of_several_types_fail(spark, store, target):
@@ -251,7 +305,8 @@ def test_heartbeats(spark, store, target, monkeypatch):
     import_domain(
         spark, store["index"], "C2", "x.com", store["archive"], target, on_progress=seen.append
     )
-    assert [e.stage for e in seen].count("index_querying") > 1
+    for stage_name in ("index_querying", "record_matched"):
+        assert [e.stage for e in seen].count(stage_name) > 1
 
 
 @pytest.mark.parametrize(
@@ -272,7 +327,8 @@ def test_schemas():
     assert read_options().schema.names == default
     more = T.StructType().add("note", T.StringType()).add("text", T.StringType())
     assert read_options(schema=more).schema.names == ["note", "text", "url", "date", "content_type"]
-    assert read_options(first_only).grow and not read_options(first_only, TITLED).grow
+    assert read_options(first_only, TITLED).grow and not read_options(first_only, TITLED, grow=False).grow
+    assert read_options(first_only, grow=False).grow
 
 
 def test_counters_do_not_read_texts(spark):

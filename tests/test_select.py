@@ -98,16 +98,17 @@ def test_limit_is_taken_after_the_sort(spark):
     assert select_captures(index, "x.com", limit=0).count() == 0
 
 
-def test_large_limits_are_cut_by_position(spark):
+def test_limits_of_any_size_have_one_plan(spark):
     rows = spark.range(0, 60_000, 1, 16).withColumn("k", (F.col("id") * 7919) % 60_000)
-    first = first_rows(rows, ["k"], 25_000)
-    assert first.agg(F.count("*"), F.max("k")).first() == (25_000, 24_999)
-    assert "GlobalLimit" not in first._jdf.queryExecution().toString()
+    for limit in (10_000, 10_001, 25_000):
+        first = first_rows(rows, ["k"], limit)
+        assert "TakeOrderedAndProject" in first._jdf.queryExecution().executedPlan().toString()
+        assert first.agg(F.count("*"), F.max("k")).first() == (limit, limit - 1)
 
 
-def test_arrival_index_is_dense_and_ordered(spark):
+def test_arrival_index_is_dense_and_ordered(spark, tmp_path):
     rows = spark.range(0, 5_000, 1, 16).withColumn("k", (F.col("id") * 31) % 5_000)
-    numbered = with_arrival_index(rows, ["k"])
+    numbered = with_arrival_index(rows, ["k"], folder=str(tmp_path / "arrival"))
     assert numbered.where(F.col("k") != F.col("arrival")).count() == 0
     assert numbered.count() == 5_000
 
@@ -148,12 +149,21 @@ def test_index_paths(spark, tmp_path):
     assert scan_index(spark, root + "/crawl=C1/subset=warc", "C2").collect() == [("a", "C1", "warc")]
     assert scan_index(spark, root, "C2", "robotstxt").count() == 1
     assert sorted(open_index(spark, root + "/crawl=C1/").collect()) == [("a", "C1", "warc")]
-    assert latest_crawl(open_index(spark, root)).first().crawl == "C2"
+    assert latest_crawl(spark, root).first().crawl == "C2"
+    assert latest_crawl(spark, root + "/crawl=C1/").first().crawl == "C2"
 
 
-def test_latest_crawl_of_nothing_fails(spark):
-    with pytest.raises(PySparkException, match="no crawl"):
-        latest_crawl(spark.createDataFrame([], "crawl string")).collect()
+def test_the_latest_crawl_is_found_without_opening_a_file(spark, tmp_path):
+    for crawl in ("2024-05", "2024-10"):
+        folder = tmp_path / f"crawl={crawl}" / "subset=warc"
+        folder.mkdir(parents=True)
+        (folder / "part-0.parquet").write_bytes(b"no parquet")
+    assert latest_crawl(spark, str(tmp_path)).first().crawl == "2024-10"
+
+
+def test_latest_crawl_of_nothing_fails(spark, tmp_path):
+    with pytest.raises(ValueError, match="no crawl"):
+        latest_crawl(spark, str(tmp_path))
 
 
 def test_object_store_options():

@@ -1,8 +1,11 @@
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawltable.functions.shapes import joined, shape_of, table_schema
 from crawltable.operators import upsert as upserts
 from crawltable.operators.counters import imported_count
 from crawltable.operators.dedupe import dedupe_last
@@ -10,8 +13,9 @@ from crawltable.operators.upsert import (
     BUCKET,
     Target,
     ensure_table,
-    merge_schema,
     read_table,
+    rebucket,
+    remove_superseded,
     upsert,
 )
 
@@ -165,16 +169,69 @@ def test_addresses(spark, tmp_path):
     assert spark.sql("SELECT a FROM ns__x.t").collect() == [(1,)]
 
 
-def test_merge_schema():
-    declared = T.StructType([T.StructField("k", T.StringType(), False), T.StructField("a", T.IntegerType())])
-    found = T.StructType().add("a", T.StringType()).add("b", T.NullType()).add("c", T.LongType())
-    merged = merge_schema(declared, found, "k")
+def test_table_schema():
+    declared = T.StructType([T.StructField("k", T.StringType()), T.StructField("a", T.IntegerType())])
+    found = (
+        T.StructType().add("a", T.StringType()).add("b", T.NullType())
+        .add("c", T.ArrayType(T.NullType())).add("d", T.LongType())
+    )
+    merged = table_schema(declared, found, "k")
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in merged] == [
-        ("k", "string", False), ("a", "int", True), ("b", "string", True), ("c", "bigint", True),
+        ("k", "string", False), ("a", "int", True), ("b", "string", True),
+        ("c", "array<string>", True), ("d", "bigint", True),
     ]
-    assert merge_schema(None, T.StructType().add("k", T.LongType()), "k")["k"].nullable is False
+    assert table_schema(None, T.StructType().add("k", T.LongType()), "k")["k"].nullable is False
     with pytest.raises(ValueError):
-        merge_schema(None, found, "k")
+        table_schema(None, found, "k")
+
+
+VALUES = st.recursive(
+    st.none() | st.integers(-9, 9) | st.floats(0, 1),
+    lambda inner: st.lists(inner, max_size=2) | st.dictionaries(st.sampled_from("ab"), inner, max_size=2),
+    max_leaves=4,
+)
+
+
+@given(st.lists(VALUES, max_size=5), st.integers(0, 5))
+def test_joined_shapes_do_not_depend_on_order_or_batches(values, cut):
+    def outcome(shapes):
+        try:
+            return joined(shapes)
+        except TypeError:
+            return None
+
+    shapes = []
+    for value in values:
+        try:
+            shapes.append(shape_of(value))
+        except TypeError:
+            return
+    whole = outcome(shapes)
+    assert outcome(reversed(shapes)) == whole
+    parts = [outcome(shapes[:cut]), outcome(shapes[cut:])]
+    assert whole is None or outcome(parts) == whole
+
+
+def test_names_that_need_quoting(spark, target):
+    columns = "k string, `a.b` int, `og:title` string"
+    upsert(spark, target, spark.createDataFrame([("x", 1, "t"), ("y", 2, "u")], columns), "k")
+    upsert(spark, target, spark.createDataFrame([("x", 3)], "k string, `a.b` int"), "k")
+    assert table(spark, target) == [("x", 3, "t"), ("y", 2, "u")]
+    data = spark.createDataFrame([("x", 1, 5), ("x", 2, 6)], "`k.k` string, `a.b` int, i int")
+    for first_seen in (None, "first"):
+        assert dedupe_last(data, "k.k", "i", first_seen).select("`a.b`").collect() == [(2,)]
+
+
+def test_more_buckets_make_small_upserts_touch_less(spark, target):
+    upsert(spark, target, spark.range(500).selectExpr("id AS k", "id AS v"), "k")
+    rebucket(spark, target, 64)
+    before = set(spark.table(target.name).inputFiles())
+    upsert(spark, target, spark.createDataFrame([(7, -1), (8, -2)], "k bigint, v bigint"), "k")
+    after = set(spark.table(target.name).inputFiles())
+    assert len(before & after) > len(before) * 0.9
+    assert read_table(spark, target).agg(F.count("*"), F.min("v")).first() == (500, -2)
+    remove_superseded(spark, target)
+    assert read_table(spark, target).count() == 500
 
 
 def test_last_row_wins_at_the_place_of_the_first(spark):
