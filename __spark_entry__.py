@@ -23,7 +23,6 @@ from crawltable.operators.extract import (
     DEFAULT_SCHEMA,
     RAW_SCHEMA,
     default_extract,
-    fill_cluster,
     html_text,
     raw_extract,
 )
@@ -66,9 +65,9 @@ CUSTOM_SQL = f"""
   SELECT c.url, c.fetch_time, c.content_mime_detected, c.warc_filename,
          c.warc_record_offset, c.warc_record_length
   FROM ccindex c JOIN (SELECT url_host_name, max(fetch_time) AS newest FROM ccindex
-                       WHERE subset = 'warc' GROUP BY url_host_name) h
+                       WHERE crawl = '{NEWEST}' AND subset = 'warc' GROUP BY url_host_name) h
     ON c.url_host_name = h.url_host_name AND c.fetch_time = h.newest
-  WHERE c.subset = 'warc';
+  WHERE c.crawl = '{NEWEST}' AND c.subset = 'warc';
 """
 
 
@@ -134,11 +133,14 @@ def _latest_topk(spark, sf):
 
 
 def _custom_select(spark, sf):
-    return to_pointers(select_with_query(ccindex(spark, sf), CUSTOM_SQL))
+    pointers = to_pointers(select_with_query(_index(spark, sf), CUSTOM_SQL))
+    # Names and places in archives are new in every run.
+    placed = (F.length("filename") > 0) & (F.col("offset") >= 0) & (F.col("length") > 0)
+    return pointers.select("url", "timestamp", "mime", placed.alias("placed"))
 
 
 def _latest_crawl(spark, sf):
-    return latest_crawl(_index(spark, sf))
+    return latest_crawl(spark, crawl_store(spark, sf)["index"])
 
 
 def _timestamp14(spark, sf):
@@ -200,10 +202,21 @@ def _warc_date(spark, sf):
 
 
 def _html_text(spark, sf):
-    rows = fill_cluster(pages(spark, sf)).withColumn("content_type", F.lit("text/html"))
+    rows = pages(spark, sf).withColumn("content_type", F.lit("text/html"))
     return html_text(rows, "html", "content_type").select("page_id", "url", "text")
 
 
+def _decode_body(spark, sf):
+    """The same from bytes of another charset than utf-8."""
+    rows = pages(spark, sf).select(
+        "page_id",
+        "url",
+        F.encode("html", "UTF-16LE").alias("body"),
+        F.lit("text/html; Charset=utf-16-le").alias("content_type"),
+    )
+    return html_text(rows, "body", "content_type").select("page_id", "url", "text")
+
+
 def _all_captures(spark, sf, extractor, schema):
     store = crawl_store(spark, sf)
     pointers = to_pointers(_index(spark, sf))
@@ -276,7 +289,10 @@ def _import_counters(spark, sf):
         extractor=titled_page, schema=TITLED_SCHEMA,
     )
     row = counters._asdict()
-    del row["bytes_read"]
+    captures = select_captures(scan_index(spark, store["index"], NEWEST), DOMAIN, ordered=False)
+    wanted = captures.agg(F.sum("warc_record_length")).first()[0]
+    # Sizes of archives depend on their compression, so SQL cannot tell them.
+    row["all_bytes_read"] = int(row.pop("bytes_read") == wanted)
     return spark.createDataFrame([tuple(row.values())], ", ".join(f"{n} bigint" for n in row))
 
 
@@ -323,6 +339,7 @@ def _import_stream(spark, sf):
 
 
 LAST_DAY = "2024-01-30"
+FILES_PER_WEEK = 4
 WEEKS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
 
@@ -352,9 +369,9 @@ def _event_drops(spark, sf):
     ]
     folder = fresh_path(spark, "events")
     for week in weeks:
-        rows.where(week).drop("ts").coalesce(1).write.mode("append").parquet(folder)
-    reader = spark.readStream.schema(rows.drop("ts").schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(folder)
+        rows.where(week).drop("ts").repartition(FILES_PER_WEEK).write.mode("append").parquet(folder)
+    reader = spark.readStream.schema(rows.drop("ts").schema)
+    return reader.option("maxFilesPerTrigger", FILES_PER_WEEK).parquet(folder)
 
 
 def _stream_upsert(spark, sf):
@@ -411,6 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "content_type": _content_type,
         "warc_date": _warc_date,
         "html_text": _html_text,
+        "decode_body": _decode_body,
         "warc_read": _warc_read,
         "extract_default": _extract_default,
         "extract_custom": _extract_custom,
@@ -454,6 +472,8 @@ def oracle_sql() -> dict[str, str]:
     imported_cdx = (
         f"{index}, {O.TEXTS} " + O.extracted(O.latest(f"SELECT * {listed}"))
     )
+    page_texts = f"""WITH {O.TEXTS} SELECT page_id, url, text FROM texts
+        JOIN (SELECT page_id AS id, url FROM pages) ON id = page_id"""
     llm = llm_queries.oracle_sql() if llm_queries else {}
     if llm_queries and corpus_pipeline.ORACLE_SQL:
         llm["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -476,10 +496,10 @@ def oracle_sql() -> dict[str, str]:
         "latest_topk": f"""{index} SELECT url, fetch_epoch, capture_id
             FROM {O.latest(f"SELECT * FROM html_captures WHERE {in_domain}")} ORDER BY url LIMIT 25""",
         "custom_select": f"""{index} SELECT c.url, {O.TIME14} AS timestamp,
-              content_mime_detected AS mime, warc_filename AS filename,
-              warc_record_offset AS "offset", warc_record_length AS length
-            FROM ccindex c JOIN (SELECT url_host_name, max(fetch_epoch) AS newest FROM ccindex
-                                 GROUP BY url_host_name) h
+              content_mime_detected AS mime, true AS placed
+            FROM (SELECT * FROM ccindex WHERE crawl = '{NEWEST}') c
+            JOIN (SELECT url_host_name, max(fetch_epoch) AS newest FROM ccindex
+                  WHERE crawl = '{NEWEST}' GROUP BY url_host_name) h
               ON c.url_host_name = h.url_host_name AND c.fetch_epoch = h.newest""",
         "latest_crawl": f"{index} SELECT max(crawl) AS crawl FROM ccindex",
         "timestamp14": """SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS of_time,
@@ -500,8 +520,8 @@ def oracle_sql() -> dict[str, str]:
               strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS shifted,
               strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS compact,
               strftime(ts, '%Y-%m-%dT00:00:00Z') AS day, props AS kept FROM events""",
-        "html_text": f"""WITH {O.TEXTS} SELECT page_id, url, text FROM texts
-            JOIN (SELECT page_id AS id, url FROM pages) ON id = page_id""",
+        "html_text": page_texts,
+        "decode_body": page_texts,
         "warc_read": f"""{index} SELECT c.url, {O.ISO_TIME} AS date, {O.CONTENT_TYPE} AS content_type,
               CASE WHEN c.page_id IS NULL THEN {O.ROBOTS} ELSE html END AS html
             FROM ccindex c LEFT JOIN pages p ON c.page_id = p.page_id""",
@@ -519,13 +539,14 @@ def oracle_sql() -> dict[str, str]:
             FROM {O.latest(f"{newest_html} AND {in_domain}")} c JOIN pages p ON c.page_id = p.page_id""",
         "import_scope": f"{index}, {O.TEXTS} "
         + O.extracted(
-            "(SELECT * FROM "
-            + O.latest(f"{newest_html} AND url_host_registered_domain = 'example.com'")
-            + " ORDER BY url LIMIT 10)"
+            O.latest(
+                f"{newest_html} AND url_host_registered_domain = 'example.com' "
+                "AND regexp_matches(url, '^https?://([^/]+[.])?example[.]com(/.*)?$')"
+            )
         ),
         "import_counters": f"""{index} SELECT count(*) AS matched,
               count(*) FILTER (titled) AS imported, count(*) FILTER (NOT titled) AS skipped,
-              count(*) AS files_read, count(*) AS requests
+              count(*) AS files_read, count(*) AS requests, 1::BIGINT AS all_bytes_read
             FROM (SELECT regexp_matches(html, '<title>(.*?)</title>') AS titled
                   FROM {O.latest(f"{newest_html} AND {in_domain}")} c
                   JOIN pages p ON c.page_id = p.page_id)""",

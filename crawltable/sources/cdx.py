@@ -11,6 +11,8 @@ from crawltable.functions.sites import normalize_host, pattern_list
 from crawltable.operators.ordering import first_rows
 
 _POSITION = "struct<page:bigint,file:string,block:bigint,line:bigint>"
+# Endings of page files, which may hold digits that are no page number.
+_ENDINGS = r"(?i)([.](gz|bz2|zst|zstd|xz|lz4|snappy|deflate|json|jsonl|ndjson|cdx|cdxj|txt))+$"
 _SCHEMA = (
     "url string, timestamp string, mime string, filename string, offset bigint, "
     f"length bigint, status string, position {_POSITION}"
@@ -50,7 +52,8 @@ def cdx_lines(text: DataFrame) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    numbers = F.regexp_extract_all(F.col("name"), F.lit(r"(\d+)"))
+    stem = F.regexp_replace("name", _ENDINGS, "")
+    numbers = F.regexp_extract_all(stem, F.lit(r"(\d+)"))
     position = F.struct(
         F.try_element_at(numbers, F.lit(-1)).try_cast("bigint").alias("page"),
         "file",

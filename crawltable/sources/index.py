@@ -3,9 +3,9 @@
 import os
 import re
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # The region of the public bucket and the environment variables
 # whose presence means requests can be signed.
@@ -83,18 +83,20 @@ def _hadoop(path: str) -> str:
     return re.sub(r"^s3://", "s3a://", path)
 
 
-def latest_crawl(index: DataFrame) -> DataFrame:
+def latest_crawl(spark: SparkSession, path: str) -> DataFrame:
     """One row with the newest crawl id; fails where there is none.
 
-    Ids start with year and week, so the greatest text is the newest crawl. Only
-    the partition column is read.
+    Ids start with year and week, so the greatest text is the newest crawl. The
+    ``crawl=`` folders are listed; no data file is opened.
     """
-    newest = F.max("crawl")
-    return index.agg(
-        F.when(
-            F.coalesce(newest, F.lit("")) == "",
-            F.raise_error(F.lit("the index holds no crawl")).cast("string"),
-        )
-        .otherwise(newest)
-        .alias("crawl")
-    )
+    folder = _hadoop(_root(path.rstrip("/")))
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/crawl=*")
+    conf = spark._jsc.hadoopConfiguration()
+    for name, value in object_store_options(folder).items():
+        conf.set(name, value)
+    found = pattern.getFileSystem(conf).globStatus(pattern) or []
+    names = (unquote(status.getPath().getName()).removeprefix("crawl=") for status in found)
+    crawls = [name for name in names if name and name != "__HIVE_DEFAULT_PARTITION__"]
+    if not crawls:
+        raise ValueError(f"the index holds no crawl: {path}")
+    return spark.createDataFrame([(max(crawls),)], "crawl string")

@@ -19,6 +19,7 @@ from crawltable.sources.archive import open_files
 from crawltable.workspace import fresh_path
 
 CRAWLS = ("2024-05", "2024-10")
+CDX_PAGES = 12
 ROBOTS_BODY = "User-agent: *\nDisallow: /private"
 
 _prepared: dict[tuple[str, str], dict[str, str]] = {}
@@ -173,5 +174,5 @@ def write_cdx(index: DataFrame, folder: str) -> None:
             F.col("warc_record_length").cast("string").alias("length"),
         )
     )
-    lines = index.repartitionByRange("url", "fetch_time").sortWithinPartitions("url", "fetch_time")
+    lines = index.repartitionByRange(CDX_PAGES, "url", "fetch_time").sortWithinPartitions("url", "fetch_time")
     lines.select(F.concat(line, F.lit("\n")).alias("value")).write.text(folder)

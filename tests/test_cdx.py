@@ -1,3 +1,5 @@
+import bz2
+import gzip
 import json
 
 import pytest
@@ -63,6 +65,14 @@ def test_pages_are_taken_by_number_and_missing_ones_count_as_empty(spark, tmp_pa
     assert select_cdx(cdx, "x.com", limit=0).count() == 0
 
 
+@pytest.mark.parametrize("ending, pack", [("jsonl.bz2", bz2.compress), ("json.gz", gzip.compress)])
+def test_endings_are_no_page_numbers(spark, tmp_path, ending, pack):
+    for n in (2, 10, 9):
+        (tmp_path / f"page-{n}.{ending}").write_bytes(pack(line(f"https://x.com/{n}").encode()))
+    captures = select_cdx(read_cdx(spark, str(tmp_path)), "x.com", limit=3)
+    assert [r.url for r in captures.collect()] == [f"https://x.com/{n}" for n in (2, 9, 10)]
+
+
 def test_no_page_at_all_is_empty(spark, tmp_path):
     cdx = read_cdx(spark, str(tmp_path / "none"))
     assert select_cdx(cdx, "x.com").count() == 0
