@@ -29,6 +29,14 @@ def slices(column: pa.Array, size: int = BATCH_BYTES) -> Iterator[tuple[int, int
         yield start, len(sizes) - start
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that is no column of ``df`` yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_texts(
     df: DataFrame,
     make: Callable[[], Callable[[list[str | None]], dict[str, object]]],

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawltable.llm.arrow import slices
+from crawltable.llm.arrow import free_name, slices
 from crawltable.workspace import scratch, stage
 
 MIN_CONTEXTS = 3
@@ -291,10 +291,11 @@ def sanitised(text: str, spans: list[Span], removed: set[str]) -> str:
 
 
 def _with_terms(df: DataFrame, text: str, disclosing: DataFrame) -> DataFrame:
-    keyed = disclosing.select(
-        F.col("text_hash").alias("_hash"), F.col("terms").alias("_terms"), F.col("removed").alias("_removed")
-    )
-    return df.join(keyed, F.xxhash64(f"`{text}`") == F.col("_hash"), "left").drop("_hash")
+    """``df`` with two more columns at its end, the terms of its texts."""
+    names = [free_name(df, n) for n in ("text_hash", "terms", "removed")]
+    keyed = disclosing.select("text_hash", "terms", "removed").toDF(*names)
+    joined = df.join(keyed, F.xxhash64(f"`{text}`") == F.col(names[0]), "left")
+    return joined.drop(names[0])
 
 
 PRIVATE = """n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string,

@@ -1,0 +1,139 @@
+"""Trained operators: held-out accuracy on the tables, and their parts by brute force."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from crawltable.llm import codewords, queries, toxicity
+from crawltable.llm.chars import Texts
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_languages_of_held_out_documents(spark):
+    found = queries.op6_codewords(spark, SF_DIR)
+    truth = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    rows = found.join(truth, "doc_id").collect()
+    assert len(rows) == truth.count()
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 100 and all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+
+
+def test_toxicity_of_held_out_documents(spark):
+    found = queries.op2_toxicity(spark, SF_DIR)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    assert found.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    rows = found.join(labels, "doc_id").where("held_out").collect()
+    flagged = [r for r in rows if r.predicted]
+    toxic = [r for r in rows if r.toxic]
+    assert sum(r.toxic for r in flagged) >= 0.85 * len(flagged)
+    assert sum(r.predicted for r in toxic) >= 0.7 * len(toxic)
+    assert all((r.score >= 0.7) == r.predicted and 0 <= r.score <= 1 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def languages(spark):
+    rows = [(n, k, t * 8) for n, (k, t) in enumerate([("de", "der und die das "), ("en", "the and of it ")] * 30)]
+    rows += [(1000, None, "nothing"), (None, "fr", "le la les"), (1001, "en", None)]
+    return spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+
+
+def test_odd_rows_have_a_language(languages, odd, odd_rows, empty):
+    model = codewords.learn(languages)
+    assert model.languages == ["de", "en"]
+    rows = codewords.identify(odd.drop("score"), model, keep=["doc_id"]).collect()
+    assert len(rows) == len(odd_rows)
+    for r in rows:
+        assert (r.lang_pred == "und") == (r.doc_id in (1, 2, 3, 6) or (r.doc_id is None and r.score == 0))
+        assert r.lang_pred == "und" or r.lang_pred in model.languages
+    assert codewords.identify(empty.drop("score"), model).count() == 0
+    assert codewords.learn(languages.where("false")) is None
+    none = codewords.identify(odd.drop("score"), None, keep=["doc_id"]).collect()
+    assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
+
+
+def test_one_language_and_many(spark):
+    one = spark.createDataFrame([(1, "xx", "abc abc")], "doc_id bigint, lang string, text string")
+    model = codewords.learn(one)
+    assert {r.lang_pred for r in codewords.identify(one.drop("lang"), model).collect()} == {"xx"}
+    for n in (2, 3, 5, 6, 40):
+        codes = codewords.codewords(n)
+        assert codes.shape[0] == n and len({tuple(c) for c in codes.tolist()}) == n
+        apart = [(codes[i] != codes[j]).sum() for i in range(n) for j in range(i)]
+        assert min(apart) >= max(1, codes.shape[1] // 4)
+    many = [(n * 9 + k, f"l{k}", chr(97 + k) * 30 + " ") for n in range(5) for k in range(9)]
+    df = spark.createDataFrame(many, "doc_id bigint, lang string, text string")
+    rows = codewords.identify(df, codewords.learn(df), keep=["doc_id", "lang"]).collect()
+    assert all(r.lang == r.lang_pred for r in rows)
+
+
+def test_margins_are_means_over_ngrams(languages):
+    model = codewords.learn(languages)
+    texts = ["Der Hund", "", "die", "x1y"]
+    margin, totals = codewords.margins(texts, model)
+    for n, text in enumerate(texts):
+        alone, total = codewords.margins([text], model)
+        assert np.allclose(alone[0], margin[n]) and total[0] == totals[n]
+    assert totals.tolist()[1] == 0
+
+
+@pytest.fixture(scope="module")
+def insults(spark):
+    rows, labels = [], []
+    for n in range(400):
+        bad = n % 4 == 0
+        words = ["You blockhead%d." % (n % 3)] if bad else []
+        rows.append((n, " ".join([f"Fine day {n % 7}. All is well"] * 3 + words + ["More text here!"])))
+        labels.append((n, int(bad)))
+    labels += [(None, 1), (3, None), (5000, 1)]
+    return (
+        spark.createDataFrame(rows, "doc_id bigint, text string"),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int"),
+    )
+
+
+def test_offending_sentences_are_found(insults):
+    documents, labels = insults
+    model = toxicity.learn(documents, labels)
+    rows = toxicity.score(documents, model, keep=["doc_id", "text"]).collect()
+    for r in rows:
+        assert r.predicted == (r.doc_id % 4 == 0)
+        spans = [r.text[s.start : s.end] for s in r.offending]
+        assert spans == (["You blockhead%d" % (r.doc_id % 3)] if r.predicted else []) or (
+            r.predicted and len(spans) == 1 and "blockhead" in spans[0]
+        )
+
+
+def test_scores_are_the_noisy_or_of_sentences(insults):
+    model = toxicity.learn(*insults)
+    texts = ["You blockhead1. Fine.", "Fine.", "", "a\nb\nblockhead2 here\n"]
+    scores = toxicity.score_texts(texts, model)["score"]
+    for n, text in enumerate(texts):
+        parts = [p for p in text.replace("\n", ".").split(".") if p.strip()]
+        alone = toxicity.score_texts(parts, model)["score"] if parts else np.zeros(0)
+        assert np.isclose(scores[n], 1 - np.prod(1 - alone))
+    owner, _, _, _ = toxicity.sentence_features(Texts(texts))
+    assert owner.tolist() == [0, 0, 1, 3, 3, 3]
+
+
+def test_odd_rows_have_a_score(insults, odd, odd_rows, empty, spark):
+    model = toxicity.learn(*insults)
+    rows = toxicity.score(odd.drop("score"), model, keep=["doc_id"]).collect()
+    assert len(rows) == len(odd_rows)
+    assert all(r.score == 0 for r in rows if r.doc_id in (1, 2, 3, 6)) and all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.score(empty.drop("score"), model).count() == 0
+    documents, labels = insults
+    assert toxicity.learn(documents, labels.where("toxic = 0")) is None
+    assert toxicity.learn(documents.where("false"), labels) is None
+    none = toxicity.score(odd.drop("score"), None, keep=["doc_id"]).select("score", "predicted").distinct()
+    assert none.collect() == [(0.0, 0)]
+
+
+def test_held_out_rows(spark):
+    import zlib
+
+    rows = spark.range(-5, 50).select(F.col("id").alias("doc_id"), codewords.held_out("id", 3, 1).alias("h"))
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows.collect())
+    null = spark.sql("SELECT CAST(NULL AS BIGINT) AS id").select(codewords.held_out("id", 3, 1))
+    assert null.first()[0] is True
