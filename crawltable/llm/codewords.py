@@ -48,10 +48,11 @@ class Model:
 
 def codewords(n: int, seed: int = 6) -> np.ndarray:
     """All different splits for up to five languages, else the best of random codes."""
+    if n == 1:
+        return np.ones((1, 1), int)
     if n <= 5:
-        rows = np.array(list(product((1, -1), repeat=max(n - 1, 0)))[1:])
-        rows = rows.reshape(-1, max(n - 1, 0))
-        return np.column_stack([np.ones(len(rows), int), rows]).T[:n]
+        rows = np.array(list(product((1, -1), repeat=n - 1))[1:])
+        return np.column_stack([np.ones(len(rows), int), rows]).T
     random, bits = np.random.default_rng(seed), int(np.ceil(10 * np.log2(n)))
     best, distance = None, -1
     for _ in range(50):
@@ -78,10 +79,10 @@ def ngram_features(laid: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     codes = np.where(letters, lower_table()[laid.codes], 32).astype(np.uint32)
     rolling = RollingHash(codes)
     sums = np.concatenate(([0], np.cumsum(letters)))
-    owner = np.repeat(np.arange(len(laid.texts)), laid.ends - laid.starts + 1)[: len(codes)]
+    owner = np.repeat(np.arange(len(laid.texts)), laid.ends - laid.starts + 1)
+    owner[laid.ends] = -1  # the newlines between texts are in no n-gram
     for n in NGRAMS:
         start = np.arange(max(0, len(codes) - n + 1))
-        # The newline between texts may end an n-gram as a space would.
         inside = (sums[start + n] > sums[start]) & (owner[start] == owner[start + n - 1])
         start = start[inside]
         yield (rolling.spans(start, start + n) >> np.uint64(50)).astype(np.int64), owner[start]
