@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawltable.llm.arrow import map_texts
+from crawltable.llm.arrow import free_name, map_texts
 from crawltable.llm.chars import expand
 from crawltable.llm.components import components
 from crawltable.workspace import stage
@@ -37,7 +37,7 @@ SLICE_POINTS = 250_000
 # Members of a leaf, and children of a node.
 LEAF, FANOUT = 16, 8
 # Pairs of a search and a node looked at together.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 17
 
 
 def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -92,11 +92,13 @@ def keep_one(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     labels = label_fingerprints(hashed, "id", "centre")
     order = F.struct(F.col("id").isNull(), "id", "hash", "n")
     kept = rows.join(labels, "fingerprint").groupBy("centre").agg(F.min(order).alias("kept"))
-    kept = stage(kept.select("kept.id", "kept.hash", "kept.n"), "kept")
-    same = F.col(f"`{id}`").eqNullSafe(F.col("_kept.id")) & (F.xxhash64(f"`{text}`") == F.col("_kept.hash"))
-    single, several = kept.where("n = 1").alias("_kept"), kept.where("n > 1").alias("_kept")
-    once = df.join(single, same, "left_semi")
-    return once.unionByName(df.join(several, same, "left_semi").dropDuplicates([id, text]))
+    names = [free_name(df, n) for n in ("kept_id", "kept_hash", "kept_n")]
+    kept = stage(kept.select("kept.id", "kept.hash", "kept.n").toDF(*names), "kept")
+    same = F.col(f"`{id}`").eqNullSafe(F.col(names[0]))
+    same &= F.xxhash64(f"`{text}`") == F.col(names[1])
+    once = df.join(kept.where(F.col(names[2]) == 1), same, "left_semi")
+    several = df.join(kept.where(F.col(names[2]) > 1), same, "left_semi")
+    return once.unionByName(several.dropDuplicates([id, text]))
 
 
 def label_fingerprints(hashed: DataFrame, id: str, label: str = "component_id") -> DataFrame:
