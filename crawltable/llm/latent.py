@@ -281,7 +281,8 @@ def build_index(
     df: DataFrame, texts: list[str], text: str = "text", rank: int = RANK,
     cosine: float = COSINE, copied: float = COPIED, paraphrased: float = PARAPHRASED,
 ) -> Index | None:
-    """Index of the items ``texts``, its statistics taken from all texts of ``df``."""
+    """Index of the items ``texts``, its statistics taken from all texts of ``df``; None
+    where there is no item or no text with a word."""
     items, pieces, owners = [], [], []
     found = Passages(texts)
     for n in range(len(texts)):
@@ -300,6 +301,8 @@ def build_index(
     own = Passages(pieces)
     hashes = np.unique(np.concatenate([h for h, _ in own.terms()]))
     counts, total = _frequencies(df, text, hashes)
+    if not total:
+        return None
     # Terms in more than half of the passages weigh nothing.
     weights = np.log((total + 1) / (2.0 * (counts + 0.5)))
     terms = Terms(hashes, np.maximum(weights, 0).astype(np.float32))
@@ -366,6 +369,9 @@ class Searcher:
             [(word_masks(part), len(part)) for part in (words, answer)]
             for _, words, answer in index.items
         ]
+        self.counted = [
+            np.unique(np.array(words, np.uint64), return_counts=True) for _, words, _ in index.items
+        ]
 
     def search(self, texts: Sequence[str]) -> list[tuple]:
         """text number, item number, cosine, common words, words of the item, and place
@@ -410,13 +416,25 @@ class Searcher:
         reach = int(np.ceil(REACH * n))
         first = max(low, window - n)
         last = min(high, window + 2 * PASSAGE_WORDS + n)
-        words = found.words[first:last].tolist()
-        best = None
-        for start in range(0, max(1, len(words) - reach + 1 + n // 4), max(1, n // 8)):
-            part = words[start : start + reach]
-            common = _common(masks, n, part)
-            if best is None or common > best[0]:
-                best = (common, first + start, first + start + len(part))
+        # A window cannot have more words in common than it has words of the item, each as
+        # often as the item at most: only windows that may reach the limit are compared.
+        known, counts = self.counted[item]
+        place = np.searchsorted(known, words := found.words[first:last])
+        place[place == len(known)] = 0
+        hit = known[place] == words
+        sums = np.concatenate(([0], np.cumsum(hit)))
+        starts = np.arange(0, max(1, len(words) - reach + 1 + n // 4), max(1, n // 8))
+        ends = np.minimum(starts + reach, len(words))
+        needed = paraphrased * n
+        best = (0, first, first)
+        for k in np.flatnonzero(sums[ends] - sums[starts] >= needed).tolist():
+            start, end = int(starts[k]), int(ends[k])
+            inside = place[start:end][hit[start:end]]
+            if np.minimum(np.bincount(inside, minlength=len(counts)), counts).sum() < needed:
+                continue
+            common = _common(masks, n, words[start:end].tolist())
+            if common > best[0]:
+                best = (common, first + start, first + end)
         common, start, end = best
         if common >= copied * n:
             return best
