@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 
 from crawltable.llm.arrow import slices
 from crawltable.llm.tokens import END_ID, tokenizer, vocabulary_path
-from crawltable.workspace import fresh_path
+from crawltable.workspace import fresh_path, stage
 
 LONGEST = 2048
+# Rows of 20 bytes, one per task and length, up to which they are broadcast to number the
+# sequences; more of them are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 PIECES = """doc_id bigint, start bigint, doc_tokens bigint, ids binary,
   length bigint, part int, place bigint"""
@@ -101,6 +104,9 @@ def read_packed(spark, folder: str) -> DataFrame:
     starts = starts.join(F.broadcast(lengths), "length").select(
         "length", "part", (F.col("base") + F.col("before")).alias("first")
     )
+    starts = stage(starts, "starts")
+    if starts.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     return pieces.join(starts, ["length", "part"]).select(
         "doc_id", "start", "length", "doc_tokens", "ids",
         (F.col("first") + F.col("place")).alias("sequence_id"),
