@@ -5,14 +5,18 @@ lower case). Equal paragraphs are one unit, told by 128 hash bits of their words
 get bands of minima over their five-word shingles; the bands are tuned for a recall.
 Units that share a band are candidates:
 
-* each is compared with the least unit of its bucket, and what matches is linked;
+* shingles that no other candidate has cannot be common to a pair. Their number bounds
+  the similarity a unit can reach; units and pairs that stay below the limit are done;
+* each remaining unit is compared with the unit of its bucket that has the fewest such
+  shingles (the one nearest to what the copies have in common), and matches are linked;
 * components of these links settle most buckets as a whole;
 * in a bucket that still has several components, the units outside its largest one are
-  compared with all units of other components.
+  compared with all units of other components that the bound leaves.
 
-So every candidate pair is either compared or already in one component: none is lost,
-and a bucket of copies of one passage costs one comparison per unit, not per pair. All
-comparisons are exact Jaccard similarities of the shingle sets.
+So every candidate pair is compared, ruled out by the bound or already in one component:
+none is lost, and a bucket of copies of one passage costs about one comparison per unit,
+not per pair. Comparisons are exact Jaccard similarities of the shingle sets, a shingle
+being told by 64 hash bits.
 
 Of each component the occurrence with the smallest id and place is kept, the others are
 removals. Null and empty texts have no paragraph. Repeated rows are occurrences like any
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawltable.llm.arrow import slices
+from crawltable.llm.arrow import free_name, slices
 from crawltable.llm.chars import RollingHash, Texts, chunks, expand, mixed
 from crawltable.llm.components import components
 from crawltable.workspace import scratch, stage
@@ -99,15 +103,15 @@ def repeated_paragraphs(
 
 def remove_repeated(df: DataFrame, repeated: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` without the removed paragraphs; rows with null ids are left as they are."""
+    number, cut = free_name(df, "cut_id"), free_name(df, "cut")
     cuts = repeated.where("removed AND doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.collect_set("paragraph").alias("_cut")
+        F.collect_set("paragraph").alias(cut)
     )
-    cuts = cuts.withColumnRenamed("doc_id", "_id")
     lines = F.split(F.col(f"`{text}`"), "\n")
-    kept = F.filter(lines, lambda line, n: ~F.array_contains(F.col("_cut"), n))
-    joined = df.join(cuts, F.col(f"`{id}`") == F.col("_id"), "left")
-    cut = F.when(F.col("_cut").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn(text, cut).select(*(F.col(f"`{c}`") for c in df.columns))
+    kept = F.filter(lines, lambda line, n: ~F.array_contains(F.col(cut), n))
+    joined = df.join(cuts.withColumnRenamed("doc_id", number), F.col(f"`{id}`") == F.col(number), "left")
+    left = F.when(F.col(cut).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn(text, left).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def _paragraphs(df, id, text, min_words, bands, rows) -> DataFrame:
@@ -179,52 +183,102 @@ def _linked_units(placed, units, names, similarity, folder) -> DataFrame:
     """Edges a, b between units: every pair that shares a band and is similar enough is
     an edge or is joined by others."""
     banded = units.select("unit", F.explode(F.array(*names)).alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.min("unit").alias("leader"), F.count("*").alias("n"))
-    buckets = stage(buckets.where("n > 1").drop("n"), "buckets", folder)
-    members = stage(banded.join(buckets, "bucket"), "members", folder)
-    pairs = members.where("unit <> leader").select(F.col("unit").alias("a"), F.col("leader").alias("b"))
-    pairs = stage(pairs.distinct(), "pairs", folder)
-    texts = placed.select("row", "text")
-    edges = stage(_similar(pairs, texts, similarity), "edges", folder)
+    crowded = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    members = stage(banded.join(stage(crowded, "crowded", folder), "bucket"), "members", folder)
+    sets = stage(_shingle_sets(placed, members.select("unit").distinct()), "sets", folder)
+    able = stage(_able(sets, similarity, folder), "able", folder)
+    members = stage(members.join(able, "unit"), "able_members", folder)
+
+    central = F.struct(F.col("shared") / F.col("size"), -F.col("unit"))
+    first = F.max_by(F.struct("unit", "size", "shared"), central)
+    leaders = members.groupBy("bucket").agg(first.alias("leader"), F.count("*").alias("n"))
+    leaders = stage(leaders.where("n > 1").select("bucket", "leader"), "leaders", folder)
+    pairs = members.join(leaders, "bucket").where("unit <> leader.unit")
+    pairs = pairs.where(_may_reach(similarity, "size", "shared", "leader.size", "leader.shared"))
+    pairs = pairs.select(F.col("unit").alias("a"), F.col("leader.unit").alias("b")).distinct()
+    edges = stage(_similar(stage(pairs, "pairs", folder), sets, similarity), "edges", folder)
 
     parts = components(edges).withColumnRenamed("node", "unit")
-    split = members.join(parts, "unit", "left").select(
-        "bucket", "unit", F.coalesce("component", "unit").alias("component")
-    )
+    split = members.join(parts, "unit", "left").withColumn("component", F.coalesce("component", "unit"))
     split = stage(split, "split", folder)
-    sizes = split.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(
+    counts = split.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")
     )
     main = stage(main.where("parts > 1").drop("parts"), "main", folder)
-    open_ = stage(split.join(main, "bucket"), "open", folder)
-    few = open_.where("component <> main").select(
-        "bucket", F.col("unit").alias("one"), F.col("component").alias("part")
-    )
-    rest = open_.join(few, "bucket").where("component <> part").select(
+    unsettled = stage(split.join(main, "bucket"), "unsettled", folder)
+    few = unsettled.where("component <> main").select(
+        "bucket", F.col("unit").alias("one"), F.col("component").alias("part"),
+        F.col("size").alias("size_1"), F.col("shared").alias("shared_1"),
+    )
+    meets = (unsettled.bucket == few.bucket) & (F.col("component") != F.col("part"))
+    meets &= _may_reach(similarity, "size", "shared", "size_1", "shared_1")
+    rest = unsettled.join(few, meets).select(
         F.greatest("unit", "one").alias("a"), F.least("unit", "one").alias("b")
     )
-    rest = stage(rest.distinct().join(pairs, ["a", "b"], "left_anti"), "rest", folder)
-    return edges.unionByName(_similar(rest, texts, similarity))
+    rest = stage(rest.distinct(), "rest", folder)
+    return edges.unionByName(_similar(rest, sets, similarity))
+
 
+def _shingle_sets(placed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Sorted hashes of the shingles of each chosen unit, as bytes, and their number."""
+    texts = placed.select("row", "text").join(chosen, F.col("row") == F.col("unit"))
 
-def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for text in batch.column(1).to_pylist():
+                laid = Texts([text])
+                codes = laid.codes + np.where((laid.codes >= 65) & (laid.codes <= 90), 32, 0).astype(np.uint32)
+                words = RollingHash(codes).spans(*laid.words())
+                at = np.arange(len(words) - SHINGLE_WORDS + 1)
+                sets.append(np.unique(RollingHash(words).spans(at, at + SHINGLE_WORDS)).view(np.int64))
+            sizes = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(sets, pa.list_(pa.int64()))],
+                names=["unit", "size", "shingles"],
+            )
+
+    return texts.select("unit", "text").mapInArrow(run, "unit bigint, size int, shingles array<bigint>")
+
+
+def _able(sets: DataFrame, similarity: float, folder: str) -> DataFrame:
+    """Units that may be similar enough to another one, with the number of their shingles
+    that are in another one at all."""
+    exploded = sets.select("unit", "size", F.explode("shingles").alias("shingle"))
+    common = exploded.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    common = stage(common, "common", folder)
+    shared = exploded.join(common, "shingle").groupBy("unit", "size").agg(F.count("*").alias("shared"))
+    return shared.where(F.col("shared") >= similarity * F.col("size"))
+
+
+def _may_reach(similarity: float, size_a: str, shared_a: str, size_b: str, shared_b: str):
+    """Whether the shared shingles suffice for the similarity, were they all common."""
+    common = F.least(F.col(shared_a), F.col(shared_b))
+    return common >= similarity * (F.col(size_a) + F.col(size_b) - common)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs a, b whose shingle sets have a Jaccard similarity of at least that."""
-    one = texts.select(F.col("row").alias("a"), F.col("text").alias("one"))
-    two = texts.select(F.col("row").alias("b"), F.col("text").alias("two"))
+    one = sets.select(F.col("unit").alias("a"), F.col("shingles").alias("one"))
+    two = sets.select(F.col("unit").alias("b"), F.col("shingles").alias("two"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
         for batch in batches:
-            good = []
-            for b, first, second in zip(*(batch.column(n).to_pylist() for n in (1, 2, 3))):
-                if b != last:
-                    last, kept = b, shingle_set(second)
-                own = shingle_set(first)
-                common = len(own & kept)
-                good.append(common >= similarity * (len(own) + len(kept) - common))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            places, values = [], []
+            for n in (2, 3):
+                lists = batch.column(n)
+                places.append(lists.offsets.to_numpy() - lists.offsets[0].as_py())
+                values.append(lists.flatten().to_numpy())
+            good = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
+                own, other = (v[p[k] : p[k + 1]] for v, p in zip(values, places))
+                merged = np.concatenate((own, other))
+                merged.sort()
+                common = int((merged[1:] == merged[:-1]).sum())
+                good[k] = common >= similarity * (len(merged) - common)
+            yield batch.select([0, 1]).filter(pa.array(good))
 
     return both.mapInArrow(run, "a bigint, b bigint")
 
