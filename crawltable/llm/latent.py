@@ -22,6 +22,7 @@ words are never found. Repeated rows are judged alike. Other columns are not rea
 ``find_leaks`` and are kept by ``drop_leaks``. An empty benchmark finds nothing.
 """
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -369,6 +370,7 @@ class Searcher:
             [(word_masks(part), len(part)) for part in (words, answer)]
             for _, words, answer in index.items
         ]
+        self.often = [Counter(words) for _, words, _ in index.items]
         self.counted = [
             np.unique(np.array(words, np.uint64), return_counts=True) for _, words, _ in index.items
         ]
@@ -418,14 +420,18 @@ class Searcher:
         last = min(high, window + 2 * PASSAGE_WORDS + n)
         # A window cannot have more words in common than it has words of the item, each as
         # often as the item at most: only windows that may reach the limit are compared.
+        needed = paraphrased * n
+        words = found.words[first:last]
+        present = self.often[item].keys() & words.tolist()
+        if sum(map(self.often[item].__getitem__, present)) < needed:
+            return None  # nor has any window in it
         known, counts = self.counted[item]
-        place = np.searchsorted(known, words := found.words[first:last])
+        place = np.searchsorted(known, words)
         place[place == len(known)] = 0
         hit = known[place] == words
         sums = np.concatenate(([0], np.cumsum(hit)))
         starts = np.arange(0, max(1, len(words) - reach + 1 + n // 4), max(1, n // 8))
         ends = np.minimum(starts + reach, len(words))
-        needed = paraphrased * n
         best = (0, first, first)
         for k in np.flatnonzero(sums[ends] - sums[starts] >= needed).tolist():
             start, end = int(starts[k]), int(ends[k])
