@@ -225,19 +225,20 @@ def _shingle_sets(placed: DataFrame, chosen: DataFrame) -> DataFrame:
     texts = placed.select("row", "text").join(chosen, F.col("row") == F.col("unit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = []
-            for text in batch.column(1).to_pylist():
-                laid = Texts([text])
-                codes = laid.codes + np.where((laid.codes >= 65) & (laid.codes <= 90), 32, 0).astype(np.uint32)
-                words = RollingHash(codes).spans(*laid.words())
-                at = np.arange(len(words) - SHINGLE_WORDS + 1)
-                sets.append(np.unique(RollingHash(words).spans(at, at + SHINGLE_WORDS)).view(np.int64))
-            sizes = [len(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(sets, pa.list_(pa.int64()))],
-                names=["unit", "size", "shingles"],
-            )
+        for whole in batches:
+            for start, length in slices(whole.column(1)):
+                batch, sets = whole.slice(start, length), []
+                for text in batch.column(1).to_pylist():
+                    laid = Texts([text])
+                    codes = laid.codes + np.where((laid.codes >= 65) & (laid.codes <= 90), 32, 0).astype(np.uint32)
+                    words = RollingHash(codes).spans(*laid.words())
+                    at = np.arange(len(words) - SHINGLE_WORDS + 1)
+                    sets.append(np.unique(RollingHash(words).spans(at, at + SHINGLE_WORDS)).view(np.int64))
+                sizes = [len(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(sizes, pa.int32()), pa.array(sets, pa.list_(pa.int64()))],
+                    names=["unit", "size", "shingles"],
+                )
 
     return texts.select("unit", "text").mapInArrow(run, "unit bigint, size int, shingles array<bigint>")
 
