@@ -10,12 +10,13 @@ information content of the entity,
 
 1 if the term implies the entity and 0 if they are independent. A term that meets an
 entity in ``min_contexts`` different lines (copies of a line count once there) and
-discloses it by ``generalise`` or more becomes a span wherever it stands in a text that
-holds the entity; from ``remove`` on it is taken out of the sanitised text, below that
-replaced by a general word.
+discloses it by ``generalise`` or more becomes a span wherever it stands, in texts
+without the entity as well, which it would give away there; from ``remove`` on it is taken
+out of the sanitised text, below that replaced by a general word.
 
 All counts are over all lines. Only terms that may qualify are counted corpus-wide; a
-bitmap of fixed size preselects them in the scan, the exact terms come from a join.
+bitmap of fixed size preselects them in the scan, the exact terms come from a join. The
+texts that hold a disclosing term are found in the same way.
 Null texts are empty. Repeated rows and null ids keep a row each. Other columns are not
 read by ``find_private`` and are kept by ``sanitise``.
 """
@@ -129,21 +130,21 @@ def _term_hash(term: str) -> int:
     return int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-MEETINGS = "text_hash bigint, entity string, context bigint, terms array<string>, n_lines bigint"
+MEETINGS = "entity string, context bigint, terms array<string>, n_lines bigint"
 
 
 def _meetings(df: DataFrame, text: str) -> DataFrame:
     """A row for each entity and line with the line's terms, and rows that count lines."""
-    source = df.select(F.col(f"`{text}`"), F.xxhash64(f"`{text}`")).where(F.col(f"`{text}`").isNotNull())
+    source = df.select(F.col(f"`{text}`")).where(F.col(f"`{text}`").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
-            ("text_hash", pa.int64()), ("entity", pa.string()), ("context", pa.int64()),
+            ("entity", pa.string()), ("context", pa.int64()),
             ("terms", pa.list_(pa.string())), ("n_lines", pa.int64()),
         ])
         for batch in batches:
             lines, out = 0, []
-            for whole, key in zip(*(c.to_pylist() for c in batch.columns)):
+            for whole in batch.column(0).to_pylist():
                 lines += whole.count("\n") + 1
                 spans = base_spans(whole)
                 if not spans:
@@ -151,8 +152,8 @@ def _meetings(df: DataFrame, text: str) -> DataFrame:
                 for entities, rest in _by_line(whole, spans):
                     context = _term_hash(" ".join(rest.split()))
                     terms = sorted(_terms(rest))
-                    out += [(key, entity, context, terms, None) for entity in entities]
-            out.append((None, None, None, None, lines))
+                    out += [(entity, context, terms, None) for entity in entities]
+            out.append((None, None, None, lines))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema
             )
@@ -185,7 +186,7 @@ def disclosing_terms(
     remove: float = REMOVE,
 ) -> DataFrame:
     """``text_hash`` (xxhash64 of a text) and the ``terms`` to generalise and to
-    ``removed``, for each text with an entity that some term discloses. Staged."""
+    ``removed``, for each text that holds a term that discloses some entity. Staged."""
     spark = df.sparkSession
     with scratch(spark, "disclosure") as folder:
         met = stage(_meetings(df, text), "met", folder)
@@ -204,9 +205,9 @@ def disclosing_terms(
         content = F.log(total / F.col("n_entity"))
         mutual = F.log(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
         scored = scored.withColumn("disclosure", F.when(content > 0, mutual / content))
-        scored = stage(scored.where(F.col("disclosure") >= generalise), "scored", folder)
-        holders = entities.select("text_hash", "entity").distinct().join(scored, "entity")
-        found = holders.groupBy("text_hash", "term").agg(F.max("disclosure").alias("disclosure"))
+        scored = scored.where(F.col("disclosure") >= generalise).groupBy("term")
+        scored = stage(scored.agg(F.max("disclosure").alias("disclosure")), "scored", folder)
+        found = _holders(df, text, scored, folder).join(scored, "term")
         gone = F.col("disclosure") >= remove
         found = found.groupBy("text_hash").agg(
             F.collect_list(F.when(~gone, F.col("term"))).alias("terms"),
@@ -215,9 +216,8 @@ def disclosing_terms(
         return stage(found, "disclosing")
 
 
-def _term_counts(df: DataFrame, text: str, terms: DataFrame, folder: str) -> DataFrame:
-    """``n_term``, the number of lines that hold each of ``terms``."""
-    spark = df.sparkSession
+def _bitmap(terms: DataFrame, label: str, folder: str) -> tuple[DataFrame, np.ndarray]:
+    """``term`` and its ``hash``, staged, and which hashes there are, modulo BITMAP_BITS."""
     hashed = terms.mapInArrow(
         lambda batches: (
             pa.RecordBatch.from_arrays(
@@ -228,11 +228,51 @@ def _term_counts(df: DataFrame, text: str, terms: DataFrame, folder: str) -> Dat
         ),
         "term string, hash bigint",
     )
-    hashed = stage(hashed, "terms", folder)
+    hashed = stage(hashed, label, folder)
     # At most BITMAP_BITS numbers reach the driver, whatever the number of terms is.
     places = hashed.select(F.pmod("hash", F.lit(BITMAP_BITS)).cast("int").alias("place")).distinct()
     bitmap = np.zeros(BITMAP_BITS, bool)
     bitmap[places.toArrow().column(0).to_numpy()] = True
+    return hashed, bitmap
+
+
+def _holders(df: DataFrame, text: str, terms: DataFrame, folder: str) -> DataFrame:
+    """``text_hash`` and ``term`` for the distinct texts that hold some of ``terms``."""
+    spark = df.sparkSession
+    hashed, bitmap = _bitmap(terms.select("term"), "disclosing_terms", folder)
+    if not bitmap.any():
+        return hashed.select(F.col("hash").alias("text_hash"), "term")
+    wanted = spark.sparkContext.broadcast(np.packbits(bitmap))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(wanted.value).astype(bool)
+        known: dict[str, bool] = {}
+        for batch in batches:
+            for start, length in slices(batch.column(0)):
+                keys, held = [], []
+                some = batch.slice(start, length)
+                for whole, key in zip(*(c.to_pylist() for c in some.columns)):
+                    for term in _terms(whole):
+                        if term not in known:
+                            if len(known) > 1_000_000:
+                                known.clear()
+                            known[term] = bool(bits[_term_hash(term) % BITMAP_BITS])
+                        if known[term]:
+                            keys.append(key)
+                            held.append(term)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(held, pa.string())], names=["text_hash", "term"]
+                )
+
+    source = df.select(F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`")).where("text IS NOT NULL")
+    met = source.mapInArrow(run, "text_hash bigint, term string")
+    return met.join(hashed.select("term"), "term", "left_semi").distinct()
+
+
+def _term_counts(df: DataFrame, text: str, terms: DataFrame, folder: str) -> DataFrame:
+    """``n_term``, the number of lines that hold each of ``terms``."""
+    spark = df.sparkSession
+    hashed, bitmap = _bitmap(terms, "terms", folder)
     wanted = spark.sparkContext.broadcast(np.packbits(bitmap))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

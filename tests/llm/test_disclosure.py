@@ -149,3 +149,18 @@ def test_overlapping_spans_become_one():
     text = "call +1 (425) 555-0735 or 10.0.0.1 now"
     assert disclosure.sanitised(text, base_spans(text), set()) == "call [PHONE] or [IP] now"
     assert disclosure.sanitised("abcdef", [(0, 0, 4), (2, 1, 6)], set()) == "[EMAIL]"
+
+
+def test_terms_are_masked_in_texts_without_the_entity(spark):
+    """Half of the lines with Rumpel have the address, whose disclosure is over 0.8."""
+    pairs = [(n, f"write to ann@x.org says Rumpel near {words} today") for n, words in enumerate(HOLDERS)]
+    pairs += [(10 + n, f"{words} and Rumpel,\nwithout the address") for n, words in enumerate(HOLDERS)]
+    pairs += [(100 + n, f"line {n} of the rest\nand Rumpelt") for n in range(5000)] + [(None, None)]
+    df = spark.createDataFrame(pairs * 2, "doc_id bigint, text string")
+    score = plain_disclosure(pairs * 2)["ann@x.org", "rumpel"]
+    assert disclosure.GENERALISE <= score < disclosure.REMOVE
+    clean = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert clean[12] == "kappa lambda and [TERM],\nwithout the address"
+    assert clean[100] == "line 0 of the rest\nand Rumpelt"
+    spans = {r.doc_id: (r.n_terms, r.spans) for r in find_private(df).collect()}
+    assert spans[12] == (1, "term:17:23") and spans[100] == (0, "") and spans[None] == (0, "")
