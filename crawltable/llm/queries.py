@@ -17,6 +17,7 @@ from crawltable.llm import (
     repetition,
     simple8b,
     toxicity,
+    wordtable,
 )
 
 
@@ -96,10 +97,22 @@ def op10_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.find_leaks(_documents(spark, sf_dir), benchmark)
 
 
+def op13_wordtable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = wordtable.encode(_documents(spark, sf_dir), keep=["doc_id"])
+    decoded = wordtable.decode(encoded)
+    decimal = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality, op2_toxicity, op3_paragraphs, op4_simple8b, op5_packing, op6_codewords,
-        op7_disclosure, op8_simhash, op9_chat, op10_latent,
+        op7_disclosure, op8_simhash, op9_chat, op10_latent, op13_wordtable,
     )}
 
 

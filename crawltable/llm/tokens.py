@@ -1,5 +1,6 @@
 """Token ids of whole texts, each distinct word being tokenized once per task."""
 
+import json
 import os
 import re
 import unicodedata
@@ -52,13 +53,41 @@ def byte_characters() -> list[str]:
     return [chr(b if b in visible else next(hidden)) for b in range(0x100)]
 
 
+# How the known vocabulary prepares a text and divides it into words.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+DIVISION = {
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+
+
+def divides_words(rules: dict) -> bool:
+    """Whether a vocabulary file divides texts as ``plain`` and ``pieces`` do."""
+    normalizer, division = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
+    steps = division.get("pretokenizers") or [{}]
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and steps[0] == DIVISION
+        and [step.get("type") for step in steps[1:]] == ["ByteLevel"]
+        and not steps[1].get("add_prefix_space")
+        and not steps[1].get("use_regex")
+    )
+
+
 class WordTokenizer:
     """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
     The vocabulary divides a text into runs of letters, single digits and runs of
     other characters and encodes each by itself, so the ids of a word can be reused.
     Texts with special tokens or with characters of unsure class go through the
-    tokenizer as a whole.
+    tokenizer as a whole, and so do all texts where the vocabulary divides them in
+    another way.
     """
 
     def __init__(self, path: str):
@@ -66,6 +95,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.divides = divides_words(json.load(file))
         special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.classes = character_classes()
@@ -82,17 +113,21 @@ class WordTokenizer:
         found = []
         texts = [text or "" for text in texts]
         for part in chunks(texts):
+            if not self.divides:
+                whole = self.whole.encode_batch(texts[part], add_special_tokens=False)
+                found += [np.array(one.ids, np.uint32) for one in whole]
+                continue
             found += self._encode_chunk(texts[part])
         return found
 
     def _encode_chunk(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED_WORDS:
             self._forget()
-        laid = Texts([self._plain(text) for text in texts])
+        laid = Texts([plain(text) for text in texts])
         classes = self.classes[laid.codes]
         odd = laid.count(classes == UNSURE) > 0
         odd |= np.fromiter((bool(self.special.search(text)) for text in texts), bool, len(texts))
-        start, end = _pieces(laid.codes, classes)
+        start, end = pieces(laid.codes, classes)
         hashes = RollingHash(laid.codes).spans(start, end)
         order = np.argsort(hashes)
         sorted_hashes = hashes[order]
@@ -113,11 +148,6 @@ class WordTokenizer:
             parts[n] = np.array(whole, np.uint32)
         return parts
 
-    def _plain(self, text: str) -> str:
-        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        return text.lower()
-
     def _learn(self, distinct, first, start, end, laid) -> None:
         """Tokenize the words that are new; ``first`` holds an occurrence of each."""
         new = ~np.isin(distinct, self.known, assume_unique=True)
@@ -143,7 +173,13 @@ class WordTokenizer:
         self.sizes = np.concatenate((self.sizes, sizes))[order]
 
 
-def _pieces(codes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def plain(text: str) -> str:
+    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return text.lower()
+
+
+def pieces(codes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the words: letters, one digit, other characters, contractions."""
     n = len(codes)
     if not n:
