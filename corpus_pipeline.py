@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import crawltable
-from crawltable.llm import disclosure, latent, nearcopies, powers, repetition
+from crawltable.llm import disclosure, graysim, latent, powers, repetition
 from crawltable.workspace import stage
 
 # Executors need not have this folder on their path.
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 of five-word shingles."""
-    return nearcopies.keep_one(docs)
+    """One document of each group that SimHash links: three-word shingles, two bits."""
+    return graysim.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
-    ("near-dedup", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontamination),
     ("pii", private),
     ("packing", packing),
