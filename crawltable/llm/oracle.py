@@ -57,3 +57,56 @@ def quality(rules: Rules = Rules()) -> str:
                100 * dup_line_chars > {rules.max_dup_line_chars} * word_chars
                OR 100 * n_symbols > {rules.max_symbols} * n_words OR {limits}) AS kept
       FROM base"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def ranked() -> str:
+    return f"""
+      WITH words AS (SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}') AS ws
+                     FROM documents),
+      docs AS (SELECT doc_id, ws, len(ws) AS n FROM words WHERE len(ws) > 0),
+      total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS size FROM docs),
+      held AS (SELECT doc_id, n, term, count(*) AS tf
+               FROM (SELECT doc_id, n, unnest(ws) AS term FROM docs) GROUP BY ALL),
+      asked AS (SELECT item_id, term, count(*) AS times
+                FROM (SELECT item_id, unnest(regexp_extract_all(
+                        translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark) GROUP BY ALL),
+      weights AS (SELECT term, docs, size,
+                         floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                  FROM held, total WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+      parts AS (SELECT doc_id, term,
+                       w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // size))) AS part
+                FROM held JOIN weights USING (term)),
+      scores AS (SELECT item_id, doc_id, sum(times * part)::BIGINT AS score
+                 FROM asked JOIN parts USING (term) GROUP BY ALL),
+      ranked AS (SELECT item_id, doc_id, score, row_number() OVER (
+                          PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+                 FROM scores WHERE score > 0)
+      SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+def negatives() -> str:
+    return """
+      WITH given AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+               list_dot_product(a.v, r.v)::BIGINT AS score
+        FROM given a JOIN given r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+      positives AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+      found AS (
+        SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+      SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+      FROM found WHERE rank <= 3"""

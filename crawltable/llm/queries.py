@@ -11,10 +11,12 @@ from crawltable.llm import (
     disclosure,
     graysim,
     latent,
+    lexical,
     oracle,
     paragraphs,
     powers,
     repetition,
+    segments,
     simple8b,
     toxicity,
     wordtable,
@@ -97,6 +99,17 @@ def op10_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.find_leaks(_documents(spark, sf_dir), benchmark)
 
 
+def op11_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return segments.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.search(_documents(spark, sf_dir), benchmark)
+
+
 def op13_wordtable(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = wordtable.encode(_documents(spark, sf_dir), keep=["doc_id"])
     decoded = wordtable.decode(encoded)
@@ -112,11 +125,15 @@ def op13_wordtable(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality, op2_toxicity, op3_paragraphs, op4_simple8b, op5_packing, op6_codewords,
-        op7_disclosure, op8_simhash, op9_chat, op10_latent, op13_wordtable,
+        op7_disclosure, op8_simhash, op9_chat, op10_latent, op11_segments, op12_shared, op13_wordtable,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
     """The others need tokenizers, trained models, hash functions or graphs that DuckDB
     lacks; tests/llm compares them with brute force."""
-    return {"op1_quality": oracle.quality()}
+    return {
+        "op1_quality": oracle.quality(),
+        "op11_segments": oracle.negatives(),
+        "op12_shared": oracle.ranked(),
+    }

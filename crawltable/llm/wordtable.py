@@ -4,10 +4,12 @@ A vocabulary divides a text into words that it encodes one by one. So the words
 texts are found first (each task hands on a word once), every distinct word is encoded
 once, and the ids are joined back to the places where the words stand.
 
-The join has two sides. Frequent words, ``head_words`` of them at most, are broadcast and
-looked up where the texts are read. The places of other words stay open, are exploded,
-joined with the rest of the table by a shuffle and put back into their text. What is rare
-has few places, so no key is hot, and nothing broadcast grows with the corpus.
+The join has two sides, and texts are not shuffled by either. Frequent words, ``head_words``
+of them at most, are broadcast. Every partition of the texts asks for the other words it
+holds, once each; a shuffle joins these with the rest of the table, and the answer lies in
+the shared folder where the partition is read again. What is rare is asked for by few
+partitions, so no key is hot, and nothing broadcast grows with the corpus. Should a
+partition hold other texts when it is read again, words without an answer are encoded anew.
 
 Words are looked up by a 64-bit hash. Words that share one are found when the table is
 made, by a second number made of their characters; texts with one are encoded as a whole.
@@ -25,20 +27,21 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from crawltable.llm.arrow import free_name, slices
+from crawltable.llm.arrow import slices
 from crawltable.llm.chars import (
-    RollingHash,
     Texts,
     chunks,
     expand,
     kept_in_process,
-    mixed,
     sizes_to_offsets,
+    span_hashes,
 )
 from crawltable.llm.tokens import (
     UNSURE,
@@ -49,7 +52,8 @@ from crawltable.llm.tokens import (
     plain,
     vocabulary_path,
 )
-from crawltable.workspace import stage
+from crawltable.sources.archive import open_files
+from crawltable.workspace import fresh_path, stage
 
 # Words broadcast at most, of some 30 bytes each.
 HEAD_WORDS = 1 << 20
@@ -137,9 +141,8 @@ class Splitter:
         return Words(hashes, checks, np.bincount(owner, minlength=len(texts)), word)
 
     def _hashed(self, codes, start, end) -> tuple[np.ndarray, np.ndarray]:
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(mixed(codes.astype(np.uint64) ^ np.uint64(0xA5A5A5A5A5A5)), out=sums[1:])
-        return RollingHash(codes).spans(start, end) & self.mask, sums[end] - sums[start]
+        hashes, checks = span_hashes(codes, start, end)
+        return hashes & self.mask, checks
 
     def _listed(self, text: str) -> list[str]:
         words = []
@@ -253,17 +256,30 @@ class _Counts:
 
 
 class Table:
-    """The broadcast part of a word table: sorted hashes and the ids of each."""
+    """Hashes of words, sorted, and the ids of each."""
 
-    def __init__(self, rows: pa.Table, shared: np.ndarray):
-        hashes = rows.column("hash").to_numpy().view(np.uint64)
-        ids = rows.column("ids").combine_chunks()
-        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-        values = pc.list_flatten(ids).to_numpy(zero_copy_only=False).astype(np.int32)
+    def __init__(self, hashes: np.ndarray, lists: pa.ListArray):
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(hashes)
-        self.hashes, self.sizes, self.ids = hashes[order], sizes[order], values
+        self.hashes, self.sizes = hashes[order], sizes[order]
         self.places = (np.cumsum(sizes) - sizes)[order]
-        self.shared = np.sort(shared.view(np.uint64))
+        self.ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> "Table":
+        lists = rows.column("ids").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        return cls(rows.column("hash").to_numpy().view(np.uint64), lists)
+
+    def joined(self, other: "Table") -> "Table":
+        both = Table.__new__(Table)
+        hashes = np.concatenate((self.hashes, other.hashes))
+        order = np.argsort(hashes)
+        both.hashes = hashes[order]
+        both.sizes = np.concatenate((self.sizes, other.sizes))[order]
+        both.places = np.concatenate((self.places, other.places + len(self.ids)))[order]
+        both.ids = np.concatenate((self.ids, other.ids))
+        return both
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the table, and whether the word is there at all."""
@@ -272,9 +288,6 @@ class Table:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
-    def doubtful(self, hashes: np.ndarray) -> np.ndarray:
-        return np.isin(hashes, self.shared) if len(self.shared) else np.zeros(len(hashes), bool)
-
 
 def encode(
     df: DataFrame,
@@ -306,72 +319,99 @@ def encode(
         if held > head_words:
             break
         least = row["level"]
-    table = Table(words.where(level >= least).select("hash", "ids").toArrow(), shared)
-    table = spark.sparkContext.broadcast(table)
+    head = Table.of(words.where(level >= least).select("hash", "ids").toArrow())
+    head = spark.sparkContext.broadcast((head, np.sort(shared.view(np.uint64))))
+    answers = None
+    if held > head_words:
+        answers = fresh_path(spark, "answers")
+        asked = _asked(df, text, path, bits, head)
+        rest = words.where(level < least).select("hash", F.col("ids").alias("own"))
+        answered = asked.join(rest, "hash").select("part", "hash", F.col("own").alias("ids"))
+        answered.repartition("part").write.partitionBy("part").parquet(answers)
     keep = df.columns if keep is None else keep
-    if held <= head_words:
-        return _looked_up(df, text, ids, keep, path, bits, table, False)
-    # Rows are numbered, and staged as they are read again to put the rest in.
-    row, holes = (free_name(df, n) for n in ("row", "holes"))
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
-    found = _looked_up(numbered, text, ids, [*keep, row], path, bits, table, True, holes)
-    found = stage(found, "looked-up")
-    complete = found.where(f"size(`{holes}`) = 0").select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{ids}`"))
-    open_rows = found.where(f"size(`{holes}`) > 0")
-    places = open_rows.select(F.col(f"`{row}`").alias("row"), F.posexplode(f"`{holes}`").alias("at", "hash"))
-    rest = words.where(level < least).select("hash", F.col("ids").alias("own"))
-    filled = places.join(rest, "hash").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "own"))).alias("own"))
-    filled = filled.select(F.col("row").alias(row), F.col("own.own").alias("own"))
-    own = free_name(df, "own")
-    both = open_rows.join(filled.withColumnRenamed("own", own), row, "left")
-    return complete.unionByName(_put_in(both, ids, keep, own))
-
-
-def _looked_up(df, text, ids, keep, path, bits, table, open_ends, holes="holes") -> DataFrame:
-    """Ids of the words that are in ``table``; with ``open_ends`` a -1 stands for every
-    other word, and ``holes`` has the hashes of those."""
+    return _looked_up(df, text, ids, keep, path, bits, head, answers)
+
+
+def _asked(df: DataFrame, text: str, path: str, bits: int, head) -> DataFrame:
+    """Hashes of the words of each partition that are not broadcast, once each (more often
+    where there are very many)."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, (table, _) = splitter(path, bits), head.value
+        part, held = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column(1)[0].as_py()
+            for start, length in slices(batch.column(0)):
+                texts = [t or "" for t in batch.column(0).slice(start, length).to_pylist()]
+                for some in chunks(texts):
+                    hashes = np.unique(own.split(texts[some]).hashes)
+                    held = np.union1d(held, hashes[~table.find(hashes)[1]])
+                    if len(held) > HELD_WORDS:
+                        yield rows(part, held)
+                        held = held[:0]
+        if len(held):
+            yield rows(part, held)
+
+    def rows(part, hashes):
+        columns = [pa.array(np.full(len(hashes), part, np.int32)), pa.array(hashes.view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "hash"])
+
+    return _parts(df, [], text).mapInArrow(ask, "part int, hash bigint")
+
+
+def _parts(df: DataFrame, keep: list[str], text: str) -> DataFrame:
+    columns = [F.col(f"`{c}`") for c in keep]
+    return df.select(*columns, F.col(f"`{text}`").alias("_text"), F.spark_partition_id().alias("_part"))
+
+
+def _answers(folder: str, part: int) -> Table:
+    files, base = open_files(folder)
+    found = files.get_file_info(pafs.FileSelector(f"{base}/part={part}", allow_not_found=True))
+    paths = [i.path for i in found if i.base_name.endswith(".parquet")]
+    tables = [pq.read_table(p, filesystem=files, partitioning=None, columns=["hash", "ids"]) for p in paths]
+    kind = pa.schema([("hash", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    return Table.of(pa.concat_tables([t.cast(kind) for t in tables] or [kind.empty_table()]))
+
+
+def _looked_up(df, text, ids, keep, path, bits, head, answers) -> DataFrame:
     out = T.StructType([*(df.schema[c] for c in keep), T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    if open_ends:
-        out = out.add(holes, T.ArrayType(T.LongType()))
     arrow = to_arrow_schema(out)
     width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, words = splitter(path, bits), table.value
+        own, (table, shared) = splitter(path, bits), head.value
+        loaded = None
         for batch in batches:
+            if answers is not None and batch.num_rows and loaded != (part := batch.column(width + 1)[0].as_py()):
+                table, loaded = head.value[0].joined(_answers(answers, part)), part
             for start, length in slices(batch.column(width)):
                 some = batch.slice(start, length)
                 texts = [t or "" for t in some.column(width).to_pylist()]
                 for part in chunks(texts):
                     rows = some.slice(part.start, part.stop - part.start)
                     arrays = [rows.column(n).cast(arrow.field(n).type) for n in range(width)]
-                    arrays += _ids(own, words, texts[part])[: len(arrow) - width]
-                    arrays = [a.cast(f.type) for a, f in zip(arrays, arrow)]
+                    arrays.append(_ids(own, table, shared, texts[part]).cast(arrow.field(width).type))
                     yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    columns = [F.col(f"`{c}`") for c in keep]
-    return df.select(*columns, F.col(f"`{text}`").alias("_text")).mapInArrow(run, out)
+    return _parts(df, keep, text).mapInArrow(run, out)
 
 
-def _ids(own: Splitter, table: Table, texts: list[str]) -> list[pa.Array]:
+def _ids(own: Splitter, table: Table, shared: np.ndarray, texts: list[str]) -> pa.ListArray:
     found = own.split(texts)
     owner = np.repeat(np.arange(len(texts)), found.sizes)
     at, known = table.find(found.hashes)
-    doubtful = np.unique(owner[table.doubtful(found.hashes)])
-    whole = np.zeros(len(texts), bool)
-    whole[doubtful] = True
-    if not len(table.hashes):
-        sizes, values = np.ones(len(at), np.int64), np.full(len(at), -1, np.int32)
-    else:
-        sizes = np.where(known, table.sizes[at], 1)
-        values = np.append(table.ids, np.int32(-1))
-        values = values[expand(np.where(known, table.places[at], len(table.ids)), sizes)]
+    doubtful = np.unique(owner[np.isin(found.hashes, shared)]) if len(shared) else owner[:0]
+    missing = ~known
+    missing[np.isin(owner, doubtful)] = False
+    if missing.any():
+        hashes, first = np.unique(found.hashes[missing], return_index=True)
+        words = [own.encode(found.word(n)) for n in np.flatnonzero(missing)[first].tolist()]
+        table = table.joined(Table(hashes, pa.array(words, pa.list_(pa.int32()))))
+        at, known = table.find(found.hashes)
+    sizes, places = (np.where(known, v[at], 0) if len(v) else at for v in (table.sizes, table.places))
+    values = table.ids[expand(places, sizes)]
     lengths = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
-    missing = ~known & ~whole[owner]
-    holes = pa.ListArray.from_arrays(
-        pa.array(sizes_to_offsets(np.bincount(owner[missing], minlength=len(texts))), pa.int32()),
-        pa.array(found.hashes[missing].view(np.int64)),
-    )
     if len(doubtful):
         parts = np.split(values, np.cumsum(lengths)[:-1])
         for n in doubtful.tolist():
@@ -379,38 +419,7 @@ def _ids(own: Splitter, table: Table, texts: list[str]) -> list[pa.Array]:
             parts[n] = np.array(encoded, np.int32)
             lengths[n] = len(encoded)
         values = np.concatenate(parts)
-    offsets = pa.array(sizes_to_offsets(lengths), pa.int32())
-    return [pa.ListArray.from_arrays(offsets, pa.array(values)), holes]
-
-
-def _put_in(rows: DataFrame, ids: str, keep: list[str], own: str) -> DataFrame:
-    """Ids with those of ``own`` in place of each -1, in order."""
-    out = T.StructType([*(rows.schema[c] for c in keep), rows.schema[ids]])
-    arrow = to_arrow_schema(out)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known, more = batch.column(len(keep)), batch.column(len(keep) + 1)
-            filled = []
-            for n in range(batch.num_rows):
-                values = known[n].values.to_numpy()
-                lists = more[n].values
-                holes = np.flatnonzero(values == -1)
-                if lists is None or len(lists) != len(holes):
-                    raise RuntimeError("the texts changed while they were encoded; stage them first")
-                sizes = pc.list_value_length(lists).to_numpy()
-                counts = np.ones(len(values), np.int64)
-                counts[holes] = sizes
-                wide = np.repeat(values, counts)
-                wide[wide == -1] = pc.list_flatten(lists).to_numpy()
-                filled.append(pa.array(wide))
-            sizes = np.array([len(f) for f in filled], np.int64)
-            column = pa.ListArray.from_arrays(pa.array(sizes_to_offsets(sizes), pa.int32()), pa.concat_arrays(filled))
-            arrays = [batch.column(n).cast(arrow.field(n).type) for n in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*arrays, column.cast(arrow.field(len(keep)).type)], schema=arrow)
-
-    columns = [F.col(f"`{c}`") for c in (*keep, ids, own)]
-    return rows.select(*columns).where(f"`{ids}` IS NOT NULL").mapInArrow(run, out)
+    return pa.ListArray.from_arrays(pa.array(sizes_to_offsets(lengths), pa.int32()), pa.array(values))
 
 
 def pieces_table(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:

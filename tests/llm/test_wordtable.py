@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from crawltable.llm import queries, wordtable
@@ -43,6 +44,14 @@ def test_ids(documents, tricky, library, head_words, bits):
     assert by_text(found) == whole(library, [r.text for r in rows.collect()])
 
 
+def test_partitions_may_change(documents, library, monkeypatch):
+    """Words that nobody asked for are encoded where they stand."""
+    monkeypatch.setattr(wordtable, "_parts", lambda df, keep, text, kept=wordtable._parts: kept(df, keep, text).withColumn(
+        "_part", F.col("_part") + (len(keep) > 0).real))
+    found = wordtable.encode(documents.repartition(3), head_words=100, keep=["text"]).collect()
+    assert by_text(found) == whole(library, [r.text for r in documents.collect()])
+
+
 def test_distinct_words_are_encoded_once(documents, library):
     words = wordtable.distinct_words(documents.repartition(5)).collect()
     assert len({w.word for w in words}) == len(words) == len({w.hash for w in words})
