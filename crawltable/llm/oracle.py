@@ -76,7 +76,7 @@ def ranked() -> str:
                         translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark) GROUP BY ALL),
       weights AS (SELECT term, docs, size,
                          floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
-                  FROM held, total WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+                  FROM held, total WHERE term IN (SELECT term FROM asked) GROUP BY term, docs, size),
       parts AS (SELECT doc_id, term,
                        w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // size))) AS part
                 FROM held JOIN weights USING (term)),
