@@ -26,6 +26,7 @@ from crawltable.operators.extract import (
     html_text,
     raw_extract,
 )
+from crawltable.operators.lateral import register_extractor
 from crawltable.operators.pointers import select_with_query, to_pointers
 from crawltable.operators.select import (
     html_captures,
@@ -39,7 +40,13 @@ from crawltable.plans.imports import import_cdx, import_domain, import_scope
 from crawltable.sources.archive import archive_rows, read_archive
 from crawltable.sources.cdx import parse_lines, read_cdx, select_cdx, stream_cdx
 from crawltable.sources.index import latest_crawl, open_index, scan_index
-from crawltable.streaming.stream import import_stream, read_progress, stream_upsert
+from crawltable.sources.records import scan_records
+from crawltable.streaming.stream import (
+    import_cdx_stream,
+    import_stream,
+    read_progress,
+    stream_upsert,
+)
 from crawltable.workspace import fresh_path
 from fixtures import oracle as O
 from fixtures.derived import CRAWLS, ccindex, crawl_store, pages
@@ -247,6 +254,27 @@ def _extract_custom(spark, sf):
     return rows.select("url", "title", "links")
 
 
+def _extract_lateral(spark, sf):
+    """The same in SQL, row by row of the index."""
+    store = crawl_store(spark, sf)
+    register_extractor(spark, "titled_pages", titled_page, TITLED_SCHEMA, store["archive"])
+    _index(spark, sf).createOrReplaceTempView("ccindex")
+    return spark.sql("""
+      SELECT t.url, t.title, t.links
+      FROM (SELECT * FROM ccindex DISTRIBUTE BY warc_filename SORT BY warc_filename, warc_record_offset) c,
+        LATERAL titled_pages(c.warc_filename, c.warc_record_offset, c.warc_record_length) t""")
+
+
+def _record_scan(spark, sf):
+    """Headers of the responses under one scheme; no body is unpacked."""
+    store = crawl_store(spark, sf)
+    pointers = fresh_path(spark, "pointers")
+    to_pointers(_index(spark, sf)).write.parquet(pointers)
+    records = scan_records(spark, pointers, store["archive"], ["url", "uri", "date", "content_type"])
+    records = records.where(F.col("url").startswith("https://"))
+    return records.select(F.col("uri").alias("url"), "date", "content_type")
+
+
 def _import_domain(spark, sf):
     store = crawl_store(spark, sf)
     target = _target(spark, "pages")
@@ -338,6 +366,14 @@ def _import_stream(spark, sf):
     return read_table(spark, target)
 
 
+def _import_rows(spark, sf):
+    store = crawl_store(spark, sf)
+    target = _target(spark, "pages")
+    stream = import_cdx_stream(spark, store["cdx"], DOMAIN, store["archive"], target, batch_size=1000)
+    stream.awaitTermination()
+    return read_table(spark, target)
+
+
 LAST_DAY = "2024-01-30"
 FILES_PER_WEEK = 4
 WEEKS = ["2024-01-08", "2024-01-16", "2024-01-24"]
@@ -432,6 +468,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "warc_read": _warc_read,
         "extract_default": _extract_default,
         "extract_custom": _extract_custom,
+        "extract_lateral": _extract_lateral,
+        "record_scan": _record_scan,
         "import_domain": _import_domain,
         "import_query": _import_query,
         "import_grow": _import_grow,
@@ -443,6 +481,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cdx_limit": _cdx_limit,
         "import_cdx": _import_cdx,
         "import_stream": _import_stream,
+        "import_rows": _import_rows,
         "upsert": _upsert,
         "dedupe_last": _dedupe_last,
         "stream_upsert": _stream_upsert,
@@ -527,6 +566,9 @@ def oracle_sql() -> dict[str, str]:
             FROM ccindex c LEFT JOIN pages p ON c.page_id = p.page_id""",
         "extract_default": f"{index}, {O.TEXTS} {O.extracted('ccindex')}",
         "extract_custom": f"{index} {titles.format(columns='', captures='ccindex')}",
+        "extract_lateral": f"{index} {titles.format(columns='', captures='ccindex')}",
+        "record_scan": f"""{index} SELECT url, {O.ISO_TIME} AS date, {O.CONTENT_TYPE} AS content_type
+            FROM ccindex WHERE starts_with(url, 'https://')""",
         "import_domain": f"{index}, {O.TEXTS} "
         + O.extracted(O.latest(f"{newest_html} AND {in_domain}")),
         "import_query": f"{index} "
@@ -560,6 +602,7 @@ def oracle_sql() -> dict[str, str]:
               content_mime_detected AS mime {listed} ORDER BY url, fetch_epoch LIMIT 40""",
         "import_cdx": imported_cdx,
         "import_stream": imported_cdx,
+        "import_rows": imported_cdx,
         "upsert": f"""SELECT l.user_id, l.event_id, l.event_type, b.props
             FROM ({last_event.format(columns="*", where="")}) l LEFT JOIN
               ({last_event.format(columns="*", where=f"WHERE ts < '{LAST_DAY}'")}) b

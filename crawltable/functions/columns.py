@@ -4,6 +4,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The characters that Python's str.strip() takes for white space.
+WHITE_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, rf"\A{WHITE_SPACE}+|{WHITE_SPACE}+\z", "")
+
 
 def _utc_text(time: Column) -> Column:
     """``2024-01-02 03:04:05[.6]`` in UTC, whatever the session zone is."""
@@ -37,8 +44,8 @@ def url_host(url: Column) -> Column:
 
 def host_key(site: Column) -> Column:
     """Column form of ``normalize_host``; a row without a host fails."""
-    rest = F.regexp_replace(F.trim(site), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//", "")
-    host = F.lower(F.btrim(F.trim(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.lit(".")))
+    rest = F.regexp_replace(stripped(site), r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//", "")
+    host = F.lower(F.btrim(stripped(F.regexp_extract(rest, r"\A([^/?#]*)", 1)), F.lit(".")))
     return F.when(host != "", host).otherwise(F.raise_error(F.lit("site without a host")))
 
 
@@ -48,10 +55,13 @@ def content_type(http_value: Column, record_value: Column) -> Column:
 
 
 def charset_of(content_type: Column) -> Column:
-    """First non-blank ``charset`` parameter, URL-decoded; ``utf-8`` without one."""
+    """First non-blank ``charset`` parameter, URL-decoded; ``utf-8`` without one.
+
+    A per cent sign that begins no escape stands for itself.
+    """
 
     def decoded(text: Column) -> Column:
-        return F.trim(F.coalesce(F.try_url_decode(text), F.replace(text, F.lit("+"), F.lit(" "))))
+        return stripped(F.url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")))
 
     def charset(parameter: Column) -> Column:
         name = F.substring_index(parameter, "=", 1)

@@ -6,11 +6,10 @@ from collections.abc import Sequence
 
 def normalize_host(site: str) -> str:
     """Lower-case host of a URL or bare name; port and user part are kept."""
-    # From the first character that is neither a space nor a dot to the last one.
-    bare = re.search(r"[^\s.](?:.*[^\s.])?", split_site(site)[0], re.DOTALL)
-    if bare is None:
+    host = split_site(site)[0].strip().strip(".").lower()
+    if not host:
         raise ValueError(f"no host in {site!r}")
-    return bare[0].lower()
+    return host
 
 
 def split_site(site: str) -> tuple[str, str]:

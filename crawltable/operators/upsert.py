@@ -4,6 +4,10 @@ A target is a Parquet table partitioned by a hash bucket of its key. An upsert
 reads and rewrites only the buckets its keys fall into, each in a new folder that
 the catalog is pointed to once it is complete. So readers never see half a bucket,
 and an upsert that is repeated after a failure gives the same table.
+
+Updates of one source may come out of order, as the micro-batches of a stream do. Then
+the place of each row within its source is kept beside it, in a column that readers do
+not see, and an update is ignored where the table has a later row of the same source.
 """
 
 import re
@@ -16,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawltable.functions.names import named, quoted
+from crawltable.functions.places import sortable
 from crawltable.functions.shapes import table_schema
 
 BUCKET = "key_bucket"
+ORDER = "key_order"
 MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 
 # Keys up to this size are broadcast, each counted with its share of a hash table.
@@ -28,6 +34,7 @@ KEY_OVERHEAD = 64
 # Bytes of rows per writing task.
 TASK_BYTES = 256 << 20
 
+_ORDER_TYPE = T.StructType().add("source", T.StringType()).add("place", T.StringType())
 _KEY_PROPERTY = "crawltable.key"
 _BUCKETS_PROPERTY = "crawltable.buckets"
 
@@ -114,20 +121,38 @@ def _table_folder(spark: SparkSession, target: Target) -> str:
 
 
 def read_table(spark: SparkSession, target: Target) -> DataFrame:
-    """The target's rows, without the bucket column."""
-    return spark.table(target.name).drop(BUCKET)
+    """The target's rows, without the columns for its own use."""
+    return spark.table(target.name).drop(BUCKET, ORDER)
 
 
-def upsert(spark: SparkSession, target: Target, updates: DataFrame, key: str) -> None:
+def upsert(
+    spark: SparkSession,
+    target: Target,
+    updates: DataFrame,
+    key: str,
+    place: str | None = None,
+    source: str = "",
+) -> None:
     """Update the rows of known keys and insert the rest.
 
     ``updates`` has one row per key (see ``dedupe_last``) and gives the same rows when
     it is computed again; what does not should be staged first. Columns it lacks keep
     their value in updated rows and are null in inserted ones.
+
+    ``place`` names a column by which the rows of a ``source`` are ordered, whatever
+    upsert they come with: a row does not replace a later one of its source. It is stored
+    as other columns are, unless its name begins with an underscore. A row of another
+    source, or one stored without a place, is replaced in any case.
     """
-    schema = table_schema(None, updates.schema, key)
+    stored = [c for c in updates.columns if c != place or not c.startswith("_")]
+    schema = table_schema(None, updates.select(*map(named, stored)).schema, key)
+    if place is not None:
+        schema = T.StructType([*schema.fields, T.StructField(ORDER, _ORDER_TYPE)])
+        own = F.struct(F.lit(source).alias("source"), sortable(named(place), updates.schema[place].dataType).alias("place"))
+        updates = updates.withColumn(ORDER, own.cast(_ORDER_TYPE))
+        stored.append(ORDER)
     ensure_table(spark, target, schema, key)
-    updates = _as_stored(spark.table(target.name).schema, updates)
+    updates = _as_stored(spark.table(target.name).schema, updates.select(*map(named, stored)))
     details = _details(spark, target)
     if details["provider"] in MERGE_PROVIDERS:
         _merge_into(target, updates, key)
@@ -144,7 +169,7 @@ def _as_stored(schema: T.StructType, updates: DataFrame) -> DataFrame:
     for given in updates.schema.fields:
         wanted = stored[given.name.lower()]
         value = named(given.name)
-        if given.dataType != wanted.dataType:
+        if given.dataType != wanted.dataType and wanted.name != ORDER:
             fitting = value.try_cast(wanted.dataType)
             unfit = fitting.isNull()
             if isinstance(given.dataType, T.NumericType) and isinstance(wanted.dataType, T.NumericType):
@@ -171,10 +196,13 @@ def _merge_into(target: Target, updates: DataFrame, key: str) -> None:
     """For catalogs with row-level operations the table format does the work."""
     values = {c: F.col(f"updates.{quoted(c)}") for c in updates.columns}
     match = F.expr(f"{target.name}.{quoted(key)} = updates.{quoted(key)}")
+    newer = None
+    if ORDER in updates.columns:
+        newer = ~_later(F.col(f"{target.name}.{ORDER}"), F.col(f"updates.{ORDER}"))
     (
         updates.alias("updates")
         .mergeInto(target.name, match)
-        .whenMatched()
+        .whenMatched(newer)
         .update(values)
         .whenNotMatched()
         .insert(values)
@@ -182,6 +210,12 @@ def _merge_into(target: Target, updates: DataFrame, key: str) -> None:
     )
 
 
+def _later(old: Column, new: Column) -> Column:
+    """Whether a stored row comes after an update of its source."""
+    later = (old["source"] == new["source"]) & (old["place"] > new["place"])
+    return F.coalesce(later, F.lit(False))
+
+
 def key_bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(named(key)), F.lit(buckets)).cast("int")
 
@@ -197,7 +231,8 @@ def merge_rows(
 
     One window over both sides instead of a join: an update, if there is one, comes
     first among the rows of its key. ``spread`` gives columns the key determines, by
-    which the rows are to be partitioned; they are part of the result.
+    which the rows are to be partitioned; they are part of the result. An update that
+    comes before the current row in the order of their source is left out.
     """
     old = current.withColumn("_new", F.lit(False))
     new = updates.withColumn("_new", F.lit(True))
@@ -210,8 +245,14 @@ def merge_rows(
         for c in current.columns
         if c not in updates.columns
     }
-    merged = both.withColumns({**values, "_updated": F.first("_new").over(newest)})
-    return merged.where(F.col("_new") | ~F.col("_updated")).select(*map(named, current.columns), *spread)
+    late = F.lit(False)
+    if ORDER in updates.columns:
+        # The update is the first of the one or two rows, the current one the last.
+        ends = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        late = _later(F.last(ORDER).over(ends), F.first(ORDER).over(ends))
+    merged = both.withColumns({**values, "_updated": F.first("_new").over(newest), "_late": late})
+    kept = F.when(F.col("_updated") & ~F.col("_late"), F.col("_new")).otherwise(~F.col("_new"))
+    return merged.where(kept).select(*map(named, current.columns), *spread)
 
 
 def replace_rows(
@@ -224,10 +265,19 @@ def replace_rows(
     """The same for few updates that have all columns: the target is not shuffled.
 
     Its rows stay where they are read, which is by bucket, and lose those whose key
-    is among the broadcast ones.
+    is among the broadcast ones, but for rows that come after their update.
     """
-    keys = F.broadcast(updates.select(named(key).alias("_key")))
-    kept = current.join(keys, named(key).eqNullSafe(F.col("_key")), "left_anti")
+    ordered = ORDER in updates.columns
+    place = [F.col(ORDER).alias("_order")] if ordered else []
+    keys = F.broadcast(updates.select(named(key).alias("_key"), *place))
+    same = named(key).eqNullSafe(F.col("_key"))
+    if ordered:
+        late = _later(F.col(ORDER), F.col("_order"))
+        # Of the current rows only keys and places are read for this, at most one per update.
+        early = current.join(keys, same & late).select("_key")
+        same &= ~late
+        updates = updates.join(F.broadcast(early), named(key).eqNullSafe(F.col("_key")), "left_anti")
+    kept = current.join(keys, same, "left_anti")
     new = _spread(updates, spread, tasks)
     return kept.withColumns(spread).unionByName(new)
 
@@ -235,11 +285,10 @@ def replace_rows(
 def _rewrite_buckets(spark, target, updates, key, details):
     buckets = int(details["properties"][_BUCKETS_PROPERTY])
     # At most one row per bucket; only the key is read to find them.
-    sizes = (
-        updates.groupBy(key_bucket(key, buckets).alias(BUCKET))
-        .agg(F.sum(F.octet_length(named(key).cast("string")) + KEY_OVERHEAD).alias("size"))
-        .collect()
-    )
+    size = F.octet_length(named(key).cast("string")) + KEY_OVERHEAD
+    if ORDER in updates.columns:
+        size += F.octet_length(F.col(ORDER)["place"])
+    sizes = updates.groupBy(key_bucket(key, buckets).alias(BUCKET)).agg(F.sum(size).alias("size")).collect()
     touched = sorted(r[BUCKET] for r in sizes)
     if not touched:
         return
@@ -249,7 +298,7 @@ def _rewrite_buckets(spark, target, updates, key, details):
     current = stored.drop(BUCKET)
     # Tasks by the bytes to write, and at least as many as the session has partitions;
     # few buckets are split over more of them.
-    size = _plan_bytes(updates) + (_file_bytes(stored) if existing else 0)
+    size = _plan_bytes(updates) + (_plan_bytes(stored) if existing else 0)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
     split = F.pmod(F.hash(named(key)), F.lit(max(1, tasks // len(touched))))
     spread = {BUCKET: key_bucket(key, buckets), "_split": split}
@@ -273,12 +322,6 @@ def _plan_bytes(df: DataFrame) -> int:
     return size if size < 1 << 60 else 0
 
 
-def _file_bytes(stored: DataFrame) -> int:
-    """Size of the files that a table's rows lie in; only their footers are read."""
-    files = stored.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.sum("file_size")).first()[0] or 0
-
-
 def _spread(df: DataFrame, spread: dict[str, Column], tasks: int | None) -> DataFrame:
     spread_out = df.withColumns(spread)
     return spread_out.repartition(tasks, *spread) if tasks else spread_out.repartition(*spread)
@@ -317,8 +360,8 @@ def rebucket(spark: SparkSession, target: Target, buckets: int) -> None:
     details = _details(spark, target)
     if _BUCKETS_PROPERTY not in details["properties"]:
         raise ValueError(f"{target.name} has no buckets")
-    rows, key = read_table(spark, target), details["properties"][_KEY_PROPERTY]
-    size = _file_bytes(spark.table(target.name))
+    rows, key = spark.table(target.name).drop(BUCKET), details["properties"][_KEY_PROPERTY]
+    size = _plan_bytes(spark.table(target.name))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
     split = F.pmod(F.hash(named(key)), F.lit(max(1, tasks // buckets)))
     commit = f"{details['folder']}/{uuid.uuid4().hex}"

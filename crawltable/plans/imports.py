@@ -6,14 +6,15 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.accumulators import Accumulator
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawltable.functions.names import named
 from crawltable.functions.shapes import table_schema
 from crawltable.functions.sites import scope_patterns
-from crawltable.operators.counters import imported_count, read_counters
+from crawltable.operators.counters import Arrivals, imported_count, read_counters
 from crawltable.operators.dedupe import dedupe_last
 from crawltable.operators.extract import DEFAULT_SCHEMA, default_extract
 from crawltable.operators.pointers import is_given, select_with_query, to_pointers
@@ -26,6 +27,7 @@ from crawltable.operators.upsert import (
 )
 from crawltable.sources.archive import (
     Extractor,
+    Tally,
     archive_rows,
     infer_schema,
     read_archive,
@@ -159,12 +161,9 @@ def import_domain(
     pointers = to_pointers(captures).withColumn("position", position)
     with scratch(spark, "import") as folder:
         with _heartbeat(report, "index_querying", place):
-            pointers = stage(pointers, "pointers", folder)
-        matched = pointers.count()
-        report("index_batch_scanned", current_file=place, pending=matched)
-        counters = import_pointers(
-            spark, pointers, archive, target, read, report, folder, matched
-        )
+            pointers, size = stage_pointers(pointers, folder)
+        report("index_batch_scanned", current_file=place, pending=size.matched)
+        counters = import_pointers(spark, pointers, size, archive, target, read, report, folder)
     return _finished(spark, target, report), counters
 
 
@@ -190,8 +189,8 @@ def import_cdx(
     cdx = read_cdx(spark, path)
     captures = select_cdx(cdx, site, match, url_patterns, limit, ordered=False)
     with scratch(spark, "import") as folder:
-        pointers = stage(captures, "pointers", folder)
-        counters = import_pointers(spark, pointers, archive, target, read, report, folder)
+        pointers, size = stage_pointers(captures, folder)
+        counters = import_pointers(spark, pointers, size, archive, target, read, report, folder)
     return _finished(spark, target, report), counters
 
 
@@ -239,13 +238,21 @@ class Reporter:
 
 
 @contextmanager
-def _heartbeat(report: Reporter, stage_name: str, place: str) -> Iterator[None]:
-    """Repeat an event every few seconds while Spark is at work."""
+def _heartbeat(
+    report: Reporter, stage_name: str, place: str, tally: Accumulator | None = None
+) -> Iterator[None]:
+    """Repeat an event every few seconds while Spark is at work; once tasks have ended,
+    with what their ``tally`` says."""
     done = threading.Event()
 
     def beat() -> None:
         while not done.wait(HEARTBEAT_SECONDS):
-            report(stage_name, current_file=place)
+            counted = dict(zip(Tally.names, tally.value)) if tally is not None else {}
+            if any(counted.values()):
+                extracted = counted.pop("extracted")
+                report("record_extracted", current_file=place, pending=extracted, **counted)
+            else:
+                report(stage_name, current_file=place)
 
     thread = threading.Thread(target=beat, daemon=True)
     thread.start()
@@ -270,12 +277,26 @@ def _finished(spark, target, report):
     return read_table(spark, target)
 
 
-def _read_tasks(spark: SparkSession, pointers: DataFrame, matched: int) -> int:
+class PointerSize(NamedTuple):
+    """Number of pointers and of the bytes they point to."""
+
+    matched: int
+    length: int
+
+
+def stage_pointers(pointers: DataFrame, folder: str) -> tuple[DataFrame, PointerSize]:
+    """Write pointers once, and measure them meanwhile."""
+    written = Observation()
+    seen = pointers.observe(written, F.count("*").alias("matched"), F.sum("length").alias("length"))
+    pointers = stage(seen, "pointers", folder)
+    return pointers, PointerSize(written.get["matched"], written.get["length"] or 0)
+
+
+def _read_tasks(spark: SparkSession, size: PointerSize) -> int:
     """Tasks by the bytes to read, so that none gets larger as an import does; all cores
     have work, but no task is without a capture."""
-    size = pointers.agg(F.sum("length")).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
-    return max(1, min(matched, max(cores, -(-size // READ_BYTES))))
+    return max(1, min(size.matched, max(cores, -(-size.length // READ_BYTES))))
 
 
 def last_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -301,36 +322,43 @@ def last_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
 def import_pointers(
     spark: SparkSession,
     pointers: DataFrame,
+    size: PointerSize,
     archive: str,
     target: Target,
     read: ReadOptions,
     report: Reporter,
     folder: str,
-    matched: int | None = None,
+    source: str | None = None,
+    arrivals: Arrivals | None = None,
 ) -> ImportCounters:
     """Read, extract, deduplicate and upsert staged pointers in one merge.
 
     Archives are read once, into a staged table in ``folder`` that the counters and
     the upsert then use. Which rows count as imported depends on the batch size; the
-    table does not, since the last arrival wins either way.
+    table does not, since the last arrival wins either way. Pointers that are a part of a
+    ``source`` leave later rows of it as they are, and are counted by its ``arrivals``;
+    without these ``imported`` stays 0.
     """
-    matched = pointers.count() if matched is None else matched
+    matched = size.matched
     report("record_matched", matched=matched, files_read=matched, pending=matched)
     places = pointers.select("url", "filename", "offset", "length", "position")
+    tally = None
+    if report.on_progress is not None:
+        tally = spark.sparkContext.accumulator(Tally().zero(None), Tally())
     captures = read_archive(
         places, archive, read.extractor, None if read.grow else read.schema, read.key,
         read.retries, read.retry_delay,
-        read.read_partitions or _read_tasks(spark, pointers, matched),
-        read.concurrency,
+        read.read_partitions or _read_tasks(spark, size),
+        read.concurrency, tally,
     )
-    with _heartbeat(report, "record_matched", archive):
+    with _heartbeat(report, "record_matched", archive, tally):
         captures = stage(captures, "archive", folder)
     totals = read_counters(captures).first().asDict()
     last = totals.pop("last") or (None, None)
     extracted = totals.pop("extracted")
-    read_so_far = {name: totals[name] for name in ("bytes_read", "requests")}
+    read_so_far = {name: totals[name] for name in ("files_read", "bytes_read", "requests", "skipped")}
     if totals["skipped"]:
-        report("record_skipped", *last, skipped=totals["skipped"], **read_so_far)
+        report("record_skipped", *last, **read_so_far)
     if read.grow:
         found = infer_schema(captures)
         if not found.fields:
@@ -338,14 +366,23 @@ def import_pointers(
         typed = typed_rows(captures, table_schema(read.schema, found, read.key))
         captures = stage(typed, "typed", folder)
     rows = archive_rows(captures)
+
+    def imported() -> int:
+        if arrivals is not None:
+            return arrivals.count(rows, read.key, "_arrival", read.batch_size)
+        if source is not None:
+            return 0
+        return imported_count(rows, read.key, "_arrival", read.batch_size).first()["imported"]
+
     # The count and the merge read the same staged rows and can share the cluster.
     with ThreadPoolExecutor(1) as beside:
-        counting = beside.submit(
-            lambda: imported_count(rows, read.key, "_arrival", read.batch_size).first()
-        )
+        counting = beside.submit(imported)
         report("record_extracted", *last, pending=extracted, **read_so_far)
-        updates = last_rows(rows, read.key, "_arrival").drop("_arrival")
-        upsert(spark, target, updates, read.key)
-        imported = counting.result()["imported"]
-    report("batch_merged", *last, imported=imported, pending=0)
-    return ImportCounters(imported=imported, **totals)
+        updates = last_rows(rows, read.key, "_arrival")
+        if source is None:
+            upsert(spark, target, updates.drop("_arrival"), read.key)
+        else:
+            upsert(spark, target, updates, read.key, "_arrival", source)
+        merged = counting.result()
+    report("batch_merged", *last, imported=merged, pending=0)
+    return ImportCounters(imported=merged, **totals)

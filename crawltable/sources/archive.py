@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark.accumulators import Accumulator, AccumulatorParam
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,11 @@ from crawltable.sources.index import STORE_REGION, has_credentials
 # Raw bytes read before a batch of rows is handed back to Spark.
 FLUSH_BYTES = 8 << 20
 
+# Bytes of the reads of a task that are outstanding at a time; a longer one comes alone.
+AHEAD_BYTES = 64 << 20
+# Ranges that overlap or adjoin share a read of up to this size.
+SHARED_BYTES = 8 << 20
+
 READ_COUNTERS = "bytes bigint, requests bigint, skipped bigint, extracted bigint, damaged bigint"
 SHAPES = "shapes array<struct<name:string,type:string,place:int>>"
 
@@ -42,6 +48,19 @@ class ArchiveRecord:
 Extractor = Callable[[ArchiveRecord, bytes], dict | None]
 
 
+class Tally(AccumulatorParam):
+    """Numbers of pointers read, bytes, requests, skipped and extracted rows, while a stage
+    runs: they move whenever a task ends, and count tasks that run again once more."""
+
+    names = ("files_read", "bytes_read", "requests", "skipped", "extracted")
+
+    def zero(self, value):
+        return (0,) * len(self.names)
+
+    def addInPlace(self, one, other):
+        return tuple(map(sum, zip(one, other)))
+
+
 def read_archive(
     pointers: DataFrame,
     base: str,
@@ -52,6 +71,7 @@ def read_archive(
     retry_delay: float = 1.0,
     read_partitions: int | None = None,
     concurrency: int = 16,
+    tally: Accumulator | None = None,
 ) -> DataFrame:
     """Read each pointer's bytes and run ``extractor`` on the responses in them.
 
@@ -62,7 +82,10 @@ def read_archive(
 
     Pointers are spread by ranges of file and offset: neighbours are read by the
     same task and an archive that holds most of the captures is split over many.
-    Up to ``concurrency`` reads of a task are outstanding.
+    Up to ``concurrency`` reads of a task are outstanding, and no more than AHEAD_BYTES.
+    Ranges that overlap or adjoin are read at once; ``requests`` are the attempts at the
+    read that a pointer's bytes came with, whether or not others share it. ``tally`` (see ``Tally``) tells
+    how far they are before all are through.
     """
     place = ["filename", "offset"] + [c for c in pointers.columns if c == "position"]
     # With a number, so that pointers, being small, are not merged into few tasks.
@@ -90,7 +113,7 @@ def read_archive(
                 if row is None:
                     skipped += 1
                 else:
-                    rows.append(_checked(row, schema, key))
+                    rows.append(checked_row(row, schema, key))
             results.append((len(data), requests, skipped, len(rows), damaged, rows))
             size += len(data)
             if size >= FLUSH_BYTES:
@@ -101,6 +124,8 @@ def read_archive(
 
     def _attach(batch, start, results):
         *counters, rows = zip(*results)
+        if tally is not None:
+            tally.add((len(results), *(sum(c) for c in counters[:4])))
         added = [*counters, rows]
         if schema is None:
             added = [*counters, [[pickle.dumps(row) for row in r] for r in rows], _shapes(rows)]
@@ -189,7 +214,7 @@ def _place(captures: DataFrame) -> list[str]:
     return [c for c in ("position", "filename", "offset") if c in captures.columns]
 
 
-def _checked(row: dict, schema: T.StructType | None, key: str | None) -> dict:
+def checked_row(row: dict, schema: T.StructType | None, key: str | None) -> dict:
     if key is not None and key not in row:
         raise ValueError(f"extracted row without the key column {key!r}")
     unknown = row.keys() - set(schema.names) if schema is not None else ()
@@ -200,14 +225,39 @@ def _checked(row: dict, schema: T.StructType | None, key: str | None) -> dict:
 
 def _in_order(batch, store, pool, concurrency):
     """Read ahead, giving results in pointer order."""
-    ahead = deque()
+    ahead, held = deque(), 0
     ranges = zip(*(batch.column(n).to_pylist() for n in ("filename", "offset", "length")))
-    for place in ranges:
-        ahead.append(pool.submit(store.read, *place))
-        if len(ahead) >= concurrency:
-            yield ahead.popleft().result()
+    for filename, start, end, members in shared_reads(ranges):
+        while ahead and (len(ahead) >= concurrency or held + end - start > AHEAD_BYTES):
+            held -= yield from _parts(*ahead.popleft())
+        ahead.append((pool.submit(store.read, filename, start, end - start), start, members))
+        held += end - start
     while ahead:
-        yield ahead.popleft().result()
+        yield from _parts(*ahead.popleft())
+
+
+def _parts(reading, start, members):
+    data, requests = reading.result()
+    for offset, length in members:
+        own = data if length == len(data) else data[offset - start : offset - start + length]
+        yield own, requests
+    return len(data)
+
+
+def shared_reads(ranges):
+    """Runs of ranges, each with the file and bytes to read for all of them."""
+    filename, start, end, members = None, 0, 0, []
+    for name, offset, length in ranges:
+        after = max(end, offset + length)
+        if members and name == filename and start <= offset <= end and after - start <= SHARED_BYTES:
+            end = after
+        else:
+            if members:
+                yield filename, start, end, members
+            filename, start, end, members = name, offset, offset + length, []
+        members.append((offset, length))
+    if members:
+        yield filename, start, end, members
 
 
 def open_files(base: str) -> tuple[pafs.FileSystem, str]:
@@ -262,17 +312,30 @@ def responses(data: bytes) -> Iterator[tuple[ArchiveRecord, bytes]]:
 
     A range without any record, or with a part of one, fails.
     """
+    for headers, http_headers, body in _responses(data):
+        damaged = False
+        if http_headers is not None:
+            body, damaged = _plain_body(body, http_headers)
+        yield ArchiveRecord("response", headers, http_headers, damaged), body
+
+
+def heads(data: bytes) -> Iterator[tuple[ArchiveRecord, None]]:
+    """The same without bodies, whose codings are left as they are."""
+    for headers, http_headers, _ in _responses(data):
+        yield ArchiveRecord("response", headers, http_headers), None
+
+
+def _responses(data: bytes) -> Iterator[tuple[dict, dict | None, bytes]]:
     empty = True
     for headers, block in _records(data):
         empty = False
         if headers.get("warc-type") != "response":
             continue
-        http_headers, body, damaged = None, block, False
         if headers.get("warc-target-uri", "").startswith(("http:", "https:")):
             head, body = _split_head(block)
-            http_headers = _headers(head)
-            body, damaged = _plain_body(body, http_headers)
-        yield ArchiveRecord("response", headers, http_headers, damaged), body
+            yield headers, _headers(head), body
+        else:
+            yield headers, None, block
     if empty:
         raise ValueError("range holds no archive record")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from crawltable.functions.columns import url_host
 from crawltable.functions.sites import normalize_host, pattern_list
 from crawltable.operators.ordering import first_rows
+from crawltable.sources.lines import CaptureLines
 
 _POSITION = "struct<page:bigint,file:string,block:bigint,line:bigint>"
 # Endings of page files, which may hold digits that are no page number.
@@ -34,8 +35,18 @@ def read_cdx(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return parse_lines(cdx_lines(text))
 
 
-def stream_cdx(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of the lines of new pages; ``parse_lines`` reads its micro-batches."""
+def stream_cdx(
+    spark: SparkSession, path: str, max_files: int | None = None, max_rows: int | None = None
+) -> DataFrame:
+    """Stream of the lines of new pages; ``parse_lines`` reads its micro-batches.
+
+    A micro-batch has up to ``max_files`` pages, or ``max_rows`` lines that are not blank,
+    of any pages. A stream by rows has no end of its own; ``import_stream`` ends it once
+    nothing is left.
+    """
+    if max_rows is not None:
+        spark.dataSource.register(CaptureLines)
+        return spark.readStream.format(CaptureLines.name()).option("path", path).option("max_rows", max_rows).load()
     reader = spark.readStream.option("ignoreMissingFiles", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -59,7 +70,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         "file",
         "block",
         # Grows with the lines of a block, and a block is read by one task.
-        F.monotonically_increasing_id().alias("line"),
+        (F.col("number") if "number" in lines.columns else F.monotonically_increasing_id()).alias("line"),
     )
     lines = lines.select("line", position.alias("position"))
     parsed = lines.where(F.col("line") != "").select(

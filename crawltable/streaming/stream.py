@@ -1,22 +1,31 @@
 """Incremental imports: each micro-batch of new files is one merge."""
 
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import Future
+from typing import NamedTuple
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from crawltable.operators.counters import Arrivals
 from crawltable.operators.dedupe import dedupe_last
 from crawltable.operators.pointers import to_pointers
 from crawltable.operators.upsert import Target, ensure_table, upsert
 from crawltable.plans.imports import (
+    BATCH_SIZE,
     OnProgress,
     ProgressEvent,
     Reporter,
     import_pointers,
     read_options,
+    stage_pointers,
 )
+from crawltable.sources.cdx import parse_lines, select_cdx, stream_cdx
+from crawltable.sources.lines import LINE_COLUMNS
 from crawltable.workspace import fresh_path, scratch, stage
 
 _EVENT_SCHEMA = (
@@ -37,12 +46,14 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge a stream of keyed rows into ``target`` until no file is left.
 
-    Within a micro-batch the last row in ``order`` wins, later batches overwrite.
+    The last row of a key in ``order`` wins, whatever micro-batch it comes with. A row
+    that is already in the table, or was put there by another stream, is replaced.
     A batch that is run again after a failure leaves the same table. Without a
-    ``checkpoint`` of its own each run starts with the first file.
+    ``checkpoint`` of its own each run starts with the first file, as another stream.
     """
 
-    def merge(batch: DataFrame, report: Reporter) -> None:
+    def merge(batch: DataFrame, part: _Part) -> None:
+        report = part.report
         received = Observation()
         with scratch(batch.sparkSession, "batch") as folder:
             seen = batch.observe(received, F.count("*").alias("rows"))
@@ -53,7 +64,7 @@ def stream_upsert(
                 return
             report("record_matched", matched=matched, files_read=matched, pending=matched)
             report("record_extracted", pending=imported)
-            upsert(batch.sparkSession, target, last, key)
+            upsert(batch.sparkSession, target, last, key, order, part.source)
         report("batch_merged", imported=imported, pending=0)
 
     ensure_table(rows.sparkSession, target, rows.schema, key)
@@ -73,31 +84,74 @@ def import_stream(
 ) -> StreamingQuery:
     """Import a stream of captures: index files, or CDX lines from ``stream_cdx``.
 
-    ``select`` turns a micro-batch into pointers, filtering as it likes.
+    ``select`` turns a micro-batch into pointers, filtering as it likes. Of the captures
+    of a key the last one by ``position`` is kept (without one: by URL and time), in
+    whatever order Spark takes up the files, as if all were imported at once. Rows count
+    as imported (see ``imported_count``) over the whole stream, if progress is asked for.
+    The stream ends when it has no more to give.
     """
     read = read_options(**options)
+    counted = on_progress is not None or progress_path is not None
 
-    def merge(batch: DataFrame, report: Reporter) -> None:
+    def merge(batch: DataFrame, part: _Part) -> None:
         pointers = select(batch)
         if "position" not in pointers.columns:
             pointers = pointers.withColumn("position", F.struct("url", "timestamp"))
         with scratch(batch.sparkSession, "import") as folder:
-            pointers = stage(pointers, "pointers", folder)
-            import_pointers(batch.sparkSession, pointers, archive, target, read, report, folder)
+            pointers, size = stage_pointers(pointers, folder)
+            if size.matched:
+                import_pointers(
+                    batch.sparkSession, pointers, size, archive, target, read, part.report, folder,
+                    part.source, Arrivals(f"{part.folder}/arrivals", part.number) if counted else None,
+                )
 
     if read.schema is not None and read.key in read.schema.names:
         ensure_table(captures.sparkSession, target, read.schema, read.key)
     return _start(captures, merge, checkpoint, on_progress, progress_path)
 
 
+def import_cdx_stream(
+    spark: SparkSession,
+    path: str,
+    site: str,
+    archive: str,
+    target: Target,
+    *,
+    match: str = "domain",
+    url_patterns: str | Sequence[str] | None = None,
+    batch_size: int = BATCH_SIZE,
+    **options,
+) -> StreamingQuery:
+    """Import the captures that JSON-lines pages list for a host or domain, ``batch_size``
+    lines at a time; a stream with the same ``checkpoint`` goes on at the next line."""
+
+    def select(lines: DataFrame) -> DataFrame:
+        return select_cdx(parse_lines(lines), site, match, url_patterns, ordered=False)
+
+    lines = stream_cdx(spark, path, max_rows=batch_size)
+    return import_stream(lines, archive, target, select=select, batch_size=batch_size, **options)
+
+
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """Events written by a stream, with the number of their micro-batch."""
     return spark.read.schema(f"{_EVENT_SCHEMA}, batch bigint").parquet(path)
 
 
+class _Part(NamedTuple):
+    """One micro-batch: its number, its stream, the stream's own folder and its events."""
+
+    number: int
+    source: str
+    folder: str
+    report: Reporter
+
+
 def _start(rows, merge, checkpoint, on_progress, progress_path) -> StreamingQuery:
     spark = rows.sparkSession
     totals = _Totals(on_progress)
+    folder = (checkpoint or fresh_path(spark, "stream")).rstrip("/")
+    # The stream's id, which its checkpoint keeps, is known once it has been started.
+    started: Future[str] = Future()
 
     def run(batch: DataFrame, batch_id: int) -> None:
         events: list[ProgressEvent] = []
@@ -106,7 +160,8 @@ def _start(rows, merge, checkpoint, on_progress, progress_path) -> StreamingQuer
             events.append(event)
             totals.report(event)
 
-        merge(batch, Reporter(note))
+        wanted = note if on_progress is not None or progress_path is not None else None
+        merge(batch, _Part(batch_id, started.result(), folder, Reporter(wanted)))
         if events:
             totals.add(events[-1])
         if events and progress_path is not None:
@@ -117,13 +172,28 @@ def _start(rows, merge, checkpoint, on_progress, progress_path) -> StreamingQuer
     name = f"import-{uuid.uuid4().hex}"
     if on_progress is not None:
         spark.streams.addListener(_Lifetime(spark, name, totals))
-    return (
-        rows.writeStream.queryName(name)
-        .foreachBatch(run)
-        .option("checkpointLocation", checkpoint or fresh_path(spark, "stream"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.queryName(name).foreachBatch(run).option("checkpointLocation", folder)
+    # Python sources give one batch only if asked for what is there now.
+    endless = set(rows.columns) >= set(LINE_COLUMNS)
+    trigger = {"processingTime": "0 seconds"} if endless else {"availableNow": True}
+    try:
+        query = writer.trigger(**trigger).start()
+    except BaseException as error:
+        started.set_exception(error)
+        raise
+    started.set_result(query.id)
+    if endless:
+        threading.Thread(target=_drain, args=(query,), daemon=True).start()
+    return query
+
+
+def _drain(query: StreamingQuery) -> None:
+    """Stop a stream when nothing is left; if it fails, it tells so itself."""
+    try:
+        query.processAllAvailable()
+        query.stop()
+    except StreamingQueryException:
+        pass
 
 
 class _Totals:

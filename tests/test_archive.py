@@ -1,6 +1,7 @@
 import gzip
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -252,3 +253,46 @@ def test_one_hot_archive_is_read_by_many_tasks(spark, stored):
     sizes = captures.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(sizes) == 8
     assert max(r["count"] for r in sizes) < 300
+
+
+def test_ranges_that_touch_share_a_read(monkeypatch):
+    monkeypatch.setattr(archive, "SHARED_BYTES", 100)
+    ranges = [("a", 0, 10), ("a", 10, 5), ("a", 12, 20), ("a", 40, 60), ("b", 100, 10), ("b", 110, 95), ("b", 205, 5), ("b", 0, 3)]
+    assert list(archive.shared_reads(ranges)) == [
+        ("a", 0, 32, [(0, 10), (10, 5), (12, 20)]), ("a", 40, 100, [(40, 60)]), ("b", 100, 110, [(100, 10)]),
+        ("b", 110, 210, [(110, 95), (205, 5)]), ("b", 0, 3, [(0, 3)]),
+    ]
+    assert list(archive.shared_reads([])) == []
+
+
+def test_reads_ahead_are_bounded_by_bytes(monkeypatch):
+    """Long ranges come alone, short ones together, and every range gets its own bytes."""
+    monkeypatch.setattr(archive, "AHEAD_BYTES", 100)
+    held, most = set(), 0
+
+    class Store:
+        def read(self, filename, offset, length):
+            held.add(offset)
+            return bytes(i % 251 for i in range(offset, offset + length)), 1
+
+    class Pool:
+        def submit(self, read, *place):
+            nonlocal most
+            submitted.append(place[2])
+            most = max(most, sum(submitted))
+            return Reading(read, place)
+
+    class Reading:
+        def __init__(self, read, place):
+            self.read, self.place = read, place
+
+        def result(self):
+            submitted.remove(self.place[2])
+            return self.read(*self.place)
+
+    submitted = []
+    ranges = [(n * 1000, 90 if n % 3 else 30) for n in range(12)] + [(50_000, 500), (60_000, 10), (60_010, 10)]
+    batch = pa.RecordBatch.from_pylist([{"filename": "f", "offset": o, "length": n} for o, n in ranges])
+    found = list(archive._in_order(batch, Store(), Pool(), 4))
+    assert [d for d, _ in found] == [bytes(i % 251 for i in range(o, o + n)) for o, n in ranges]
+    assert most == 500 and not submitted

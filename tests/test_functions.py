@@ -1,4 +1,5 @@
 
+import random
 import re
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawltable.functions import columns as C
 from crawltable.functions.bodies import body_text, charset_name, utc_date, visible_text
+from crawltable.functions.sites import normalize_host, split_site
 from crawltable.operators.extract import html_text
 
 
@@ -146,3 +148,42 @@ def test_only_bodies_go_through_python(spark):
     plan = html_text(rows, "body", "kind")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"ArrowEvalPython \[extract\(body#\d+, ", plan) and "extra#" in plan
     assert not re.search(r"extract\([^)]*extra#", plan)
+
+
+def both_forms(spark, values, column, plain):
+    def attempt(value):
+        try:
+            return plain(value)
+        except ValueError:
+            return None
+
+    rows = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, v string")
+    rows = rows.orderBy("n").select(column(F.col("v")).alias("found")).collect()
+    assert [r.found for r in rows] == [attempt(v) for v in values]
+
+
+def random_texts(parts, n, seed):
+    pick = random.Random(seed)
+    return ["".join(pick.choices(parts, k=pick.randint(0, 9))) for _ in range(n)]
+
+
+def test_both_forms_of_charset_agree(spark):
+    parts = [
+        "charset", "Charset", "=", "=", ";", "&", " ", "\t", "\n", "\xa0", "\u2003", "latin-1", "utf-16", "a", "+",
+        "%", "%2", "%zz", "%20", "%63harset", "%C3%A9", "%3D", "%3b", "é", "\x1f", "text/html",
+    ]
+    values = random_texts(parts, 3000, 1) + ["text/html;\tcharset=latin-1", "charset=\tutf-16", "charset=a%20b%zz", "charset=%"]
+    assert charset_name(values[-4]) == "latin-1" and charset_name(values[-2]) == "a b%zz"
+    both_forms(spark, values, C.charset_of, charset_name)
+
+
+def test_both_forms_of_host_agree(spark):
+    parts = ["a.com", "WWW.", ".", " ", "\t", "\n", "\x0b", "\xa0", "\u3000", "/", "//", "?", "#", "http:", ":80", "u@", "é", "x"]
+    values = random_texts(parts, 3000, 2) + [". a.com .", "\ta.com\n", "..a.com.."]
+    known = {". a.com .": " a.com ", "\ta.com\n": "a.com", "..a.com..": "a.com"}
+    for value, host in known.items():
+        assert normalize_host(value) == host
+    fit = [v for v in values if re.search(r"[^\s./?#]", re.sub(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//", "", v.strip()))]
+    fit = [v for v in fit if split_site(v)[0].strip().strip(".")]
+    assert len(fit) > 1500
+    both_forms(spark, fit, C.host_key, normalize_host)

@@ -234,7 +234,7 @@ def test_last_rows(spark, monkeypatch, limit):
 
 def test_reading_tasks_follow_the_bytes(spark):
     def tasks(n, length):
-        return imports._read_tasks(spark, spark.range(n).select(F.lit(length).alias("length")), n)
+        return imports._read_tasks(spark, imports.PointerSize(n, n * length))
 
     cores = spark.sparkContext.defaultParallelism
     assert tasks(3, 10) == 3 and tasks(1000, 10) == cores
