@@ -3,7 +3,8 @@
 Every language has a codeword; for each bit a linear classifier over character n-grams
 tells the languages with 1 from those with 0. The bits are ridge regressions on n-gram
 frequencies, solved together in closed form on a sample of at most SAMPLE_TEXTS labelled
-texts, taken evenly from the languages by a hash of the id; all texts are then scored.
+texts, taken evenly from the languages by a hash of id and text, repeated rows once; all
+texts are then scored.
 Decoding sums a loss of each margin against each codeword, weighted by how well the bit
 did on its sample, and takes the nearest codeword; near seconds are flagged.
 
@@ -19,7 +20,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawltable.llm.arrow import map_texts, slices
@@ -89,7 +90,8 @@ def ngram_features(laid: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def learn(df: DataFrame, lang: str = "lang", text: str = "text", id: str = "doc_id") -> Model | None:
-    """Fit on ``df``, of which at most about SAMPLE_TEXTS rows are used."""
+    """Fit on ``df``, of which at most SAMPLE_TEXTS rows are used (one per language at
+    least)."""
     rows = df.select(
         F.col(f"`{id}`").alias("id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")
     ).where("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
@@ -97,9 +99,12 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", id: str = "doc_
     if not counts:
         return None
     each = SAMPLE_TEXTS // len(counts) or 1
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))))
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(place < share[F.col("lang")]).select("lang", "text")
+    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.2 * each / n))))
+    rows = rows.withColumn("hash", F.xxhash64("id", "text"))
+    place = F.pmod("hash", F.lit(1 << 20)) / float(1 << 20)
+    first = Window.partitionBy("lang").orderBy("hash")
+    sample = rows.where(place < share[F.col("lang")]).dropDuplicates(["lang", "hash"])
+    sample = sample.withColumn("place", F.row_number().over(first)).where(F.col("place") <= each).select("lang", "text")
     found = sample.mapInArrow(_counted, "lang string, features binary, counts binary").toArrow()
     languages = sorted(counts)
     codes = codewords(len(languages))

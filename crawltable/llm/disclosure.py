@@ -142,9 +142,9 @@ def _meetings(df: DataFrame, text: str) -> DataFrame:
             ("entity", pa.string()), ("context", pa.int64()),
             ("terms", pa.list_(pa.string())), ("n_lines", pa.int64()),
         ])
-        for batch in batches:
+        for part in _sliced(batches, 0):
             lines, out = 0, []
-            for whole in batch.column(0).to_pylist():
+            for whole in part.column(0).to_pylist():
                 lines += whole.count("\n") + 1
                 spans = base_spans(whole)
                 if not spans:
@@ -161,6 +161,13 @@ def _meetings(df: DataFrame, text: str) -> DataFrame:
     return source.mapInArrow(run, MEETINGS)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the size of their texts, column ``text``."""
+    for batch in batches:
+        for start, length in slices(batch.column(text)):
+            yield batch.slice(start, length)
+
+
 def _by_line(text: str, spans: list[Span]) -> Iterator[tuple[set[str], str]]:
     """Entities of each line that has some, and the line without them."""
     n = 0
@@ -351,9 +358,9 @@ def find_private(
     source = _with_terms(source, "text", disclosing)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in _sliced(batches, 1):
             out = [[] for _ in range(8)]
-            for doc, whole, terms, removed in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, whole, terms, removed in zip(*(c.to_pylist() for c in part.columns)):
                 spans = all_spans(whole or "", {*(terms or ()), *(removed or ())})
                 base = [s for s in spans if s[1] < 4]
                 kinds = [sum(s[1] == k for s in spans) for k in range(5)]
@@ -376,7 +383,7 @@ def sanitise(df: DataFrame, text: str = "text", disclosing: DataFrame | None = N
     n = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches, place):
             clean = []
             columns = (batch.column(k).to_pylist() for k in (place, n, n + 1))
             for whole, terms, removed in zip(*columns):

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawltable.llm.arrow import map_texts, slices
@@ -97,7 +97,9 @@ def learn(
     text: str = "text",
     label: str = "toxic",
 ) -> Model | None:
-    """Fit on the documents that ``labels`` names."""
+    """Fit on the documents that ``labels`` names, of which at most SAMPLE_POSITIVE toxic and
+    SAMPLE_NEGATIVE other ones are used, in the order of a hash of id and text, repeated
+    rows once."""
     spark = documents.sparkSession
     known = labels.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
     known = known.where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
@@ -112,8 +114,14 @@ def learn(
     texts = documents.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     with scratch(spark, "toxicity") as folder:
         # At most the sample's ids are broadcast.
-        sample = stage(texts.where("text IS NOT NULL").join(F.broadcast(chosen), "id"), "sample", folder)
-        sample = sample.select("y", "text")
+        sample = texts.where("text IS NOT NULL").join(F.broadcast(chosen), "id")
+        # An id may stand for any number of rows, so the rows are limited as well.
+        sample = sample.withColumn("hash", F.xxhash64("id", "text")).dropDuplicates(["y", "hash"])
+        sample = sample.withColumn("place", F.row_number().over(Window.partitionBy("y").orderBy("hash")))
+        most = F.when(F.col("y") == 1, SAMPLE_POSITIVE).otherwise(SAMPLE_NEGATIVE)
+        # The first of the two limits is one that tasks keep before the shuffle.
+        sample = sample.where(F.col("place") <= max(SAMPLE_POSITIVE, SAMPLE_NEGATIVE)).where(F.col("place") <= most)
+        sample = stage(sample, "sample", folder).select("y", "text")
         n = dict(sample.groupBy("y").count().collect())
         if not (n.get(0) and n.get(1)):
             return None

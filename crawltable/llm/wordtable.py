@@ -56,7 +56,9 @@ from crawltable.sources.archive import open_files
 from crawltable.workspace import fresh_path, stage
 
 # Words broadcast at most, of some 30 bytes each.
-HEAD_WORDS = 1 << 20
+HEAD_WORDS = 1 << 18
+# Ids decoded at a time; a text with more of them comes alone.
+DECODED_IDS = 1 << 19
 # Distinct words held by a task before it hands them on.
 HELD_WORDS = 1 << 19
 # Hashes shared by different words that are broadcast; more point to a broken hash.
@@ -450,10 +452,22 @@ def decode(
     arrow = to_arrow_schema(out)
     width = len(out) - 1
 
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(width)), 0).to_pylist()
+            start, held = 0, 0
+            for n, size in enumerate(sizes):
+                if n > start and held + size > DECODED_IDS:
+                    yield batch.slice(start, n - start)
+                    start, held = n, 0
+                held += size
+            if start < len(sizes):
+                yield batch.slice(start)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
         decoder = None if joined else kept_in_process(f"decoder {path}", lambda: Tokenizer.from_file(path)).decoder
-        for batch in batches:
+        for batch in sliced(batches):
             column = batch.column(width)
             texts = pieces.take(pc.list_flatten(column))
             if texts.null_count:

@@ -1,5 +1,7 @@
 """Trained operators: held-out accuracy on the tables, and their parts by brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +139,26 @@ def test_held_out_rows(spark):
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows.collect())
     null = spark.sql("SELECT CAST(NULL AS BIGINT) AS id").select(codewords.held_out("id", 3, 1))
     assert null.first()[0] is True
+
+
+def test_samples_are_bounded_with_a_hot_id(spark, documents, monkeypatch):
+    """One id on all rows, each of them several times."""
+    kept = {}
+    monkeypatch.setattr(codewords, "SAMPLE_TEXTS", 40)
+    monkeypatch.setattr(toxicity, "SAMPLE_POSITIVE", 5)
+    monkeypatch.setattr(toxicity, "SAMPLE_NEGATIVE", 15)
+    real = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda bags, features: kept.update(bags=bags) or real(bags, features))
+    solve = np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda a, b: kept.update(rows=len(a)) or solve(a, b))
+    hot = documents.withColumn("doc_id", F.lit(7).cast("bigint"))
+    hot = hot.unionByName(hot).unionByName(hot)
+    model = codewords.learn(hot)
+    assert 20 < kept["rows"] <= 40 and len(model.languages) > 1
+    ids = documents.withColumn("doc_id", F.when(F.col("doc_id") < 100, 7).otherwise(F.col("doc_id") % 40 + 1000))
+    labels = spark.range(1000, 1040).selectExpr("id AS doc_id", "int(id % 3 = 0) AS toxic").unionByName(
+        spark.sql("SELECT 7L AS doc_id, 0 AS toxic")
+    )
+    toxicity.learn(ids.unionByName(ids), labels)
+    counts = Counter(bag[0] for bag in kept["bags"])
+    assert 0 < counts[1] <= 5 and 0 < counts[0] <= 15
