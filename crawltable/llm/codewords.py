@@ -95,12 +95,13 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", id: str = "doc_
     rows = df.select(
         F.col(f"`{id}`").alias("id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")
     ).where("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
-    counts = dict(rows.groupBy("lang").count().collect())  # one row per language
+    rows = rows.withColumn("hash", F.xxhash64("id", "text"))
+    # One row per language; repeated rows count once, nearly.
+    counts = dict(rows.groupBy("lang").agg(F.approx_count_distinct("hash")).collect())
     if not counts:
         return None
     each = SAMPLE_TEXTS // len(counts) or 1
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.2 * each / n))))
-    rows = rows.withColumn("hash", F.xxhash64("id", "text"))
     place = F.pmod("hash", F.lit(1 << 20)) / float(1 << 20)
     first = Window.partitionBy("lang").orderBy("hash")
     sample = rows.where(place < share[F.col("lang")]).dropDuplicates(["lang", "hash"])

@@ -39,7 +39,7 @@ MIN_WORDS = 10
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 
-PLACED = "doc_id bigint, paragraph int, start bigint, `end` bigint, n_words int, text string, k1 bigint, k2 bigint"
+PLACED = "text_row bigint, doc_id bigint, paragraph int, start bigint, `end` bigint, n_words int, text string, k1 bigint, k2 bigint"
 
 
 def tune_bands(
@@ -61,14 +61,16 @@ def repeated_paragraphs(
     text: str = "text",
     min_words: int = MIN_WORDS,
     similarity: float = SIMILARITY,
+    row: str | None = None,
 ) -> DataFrame:
     """Occurrences of paragraphs that have another one: doc_id, paragraph (number of the
     line), start, end, n_words, the kept occurrence of the component as kept_doc_id and
-    kept_paragraph, and whether this one is removed."""
+    kept_paragraph, and whether this one is removed. ``row`` names a column that tells rows
+    apart, which comes back as text_row."""
     spark = df.sparkSession
     bands, rows = tune_bands(similarity)
     with scratch(spark, "paragraphs") as folder:
-        placed = _paragraphs(df, id, text, min_words, bands, rows)
+        placed = _paragraphs(df, id, text, min_words, bands, rows, row)
         placed = stage(placed.withColumn("row", F.monotonically_increasing_id()), "placed", folder)
         names = [f"b{n}" for n in range(bands)]
         units = placed.groupBy("k1", "k2").agg(
@@ -81,19 +83,17 @@ def repeated_paragraphs(
         named = named.select("k1", "k2", F.coalesce("component", "unit").alias("component"))
         named = stage(named, "named", folder)
         found = placed.drop("text", *names).join(named, ["k1", "k2"])
-        found = stage(found.drop("k1", "k2", "row"), "found", folder)
-        # Null ids last.
-        order = F.struct(F.col("doc_id").isNull(), "doc_id", "paragraph")
+        found = stage(found.drop("k1", "k2"), "found", folder)
+        # Null ids last; of repeated rows the first one read.
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "paragraph", "row")
         first = found.groupBy("component").agg(
             F.min(order).alias("kept"), F.count("*").alias("n_occurrences")
         )
         first = stage(first.where("n_occurrences > 1"), "first", folder)
         hits = found.join(first, "component")
-        kept = F.col("kept.doc_id").eqNullSafe(F.col("doc_id")) & (
-            F.col("kept.paragraph") == F.col("paragraph")
-        )
+        kept = F.col("kept.row") == F.col("row")
         result = hits.select(
-            "doc_id", "paragraph", "start", "end", "n_words",
+            *(["text_row"] if row else []), "doc_id", "paragraph", "start", "end", "n_words",
             F.col("kept.doc_id").alias("kept_doc_id"),
             F.col("kept.paragraph").alias("kept_paragraph"),
             "n_occurrences", (~kept).alias("removed"),
@@ -101,21 +101,24 @@ def repeated_paragraphs(
         return stage(result, "repeated")
 
 
-def remove_repeated(df: DataFrame, repeated: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` without the removed paragraphs; rows with null ids are left as they are."""
-    number, cut = free_name(df, "cut_id"), free_name(df, "cut")
-    cuts = repeated.where("removed AND doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.collect_set("paragraph").alias(cut)
-    )
-    lines = F.split(F.col(f"`{text}`"), "\n")
-    kept = F.filter(lines, lambda line, n: ~F.array_contains(F.col(cut), n))
-    joined = df.join(cuts.withColumnRenamed("doc_id", number), F.col(f"`{id}`") == F.col(number), "left")
-    left = F.when(F.col(cut).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn(text, left).select(*(F.col(f"`{c}`") for c in df.columns))
-
-
-def _paragraphs(df, id, text, min_words, bands, rows) -> DataFrame:
-    source = df.select(F.col(f"`{id}`").cast("bigint"), F.col(f"`{text}`"))
+def remove_repeated(df: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``df`` without the removed paragraphs, those of each row by itself. Staged."""
+    row, cut = free_name(df, "row"), free_name(df, "cut")
+    with scratch(df.sparkSession, "lines") as folder:
+        numbered = stage(df.withColumn(row, F.monotonically_increasing_id()), "numbered", folder)
+        repeated = repeated_paragraphs(numbered, id, text, row=row, **options)
+        cuts = repeated.where("removed").groupBy("text_row").agg(F.collect_set("paragraph").alias(cut))
+        lines = F.split(F.col(f"`{text}`"), "\n")
+        kept = F.filter(lines, lambda line, n: ~F.array_contains(F.col(cut), n))
+        joined = numbered.join(cuts.withColumnRenamed("text_row", row), row, "left")
+        left = F.when(F.col(cut).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n"))
+        cleaned = joined.withColumn(text, left).select(*(F.col(f"`{c}`") for c in df.columns))
+        return stage(cleaned, "without-lines")
+
+
+def _paragraphs(df, id, text, min_words, bands, rows, row) -> DataFrame:
+    number = F.col(f"`{row}`") if row else F.lit(None).cast("bigint")
+    source = df.select(F.col(f"`{id}`").cast("bigint"), F.col(f"`{text}`"), number)
     names = [f"b{n}" for n in range(bands)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +128,13 @@ def _paragraphs(df, id, text, min_words, bands, rows) -> DataFrame:
                 ids = some.column(0).to_pylist()
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 for part in chunks(texts):
-                    yield _measure(ids[part], texts[part], min_words, bands, rows, names)
+                    own = some.column(2).slice(part.start, part.stop - part.start)
+                    yield _measure(ids[part], own, texts[part], min_words, bands, rows, names)
 
     return source.mapInArrow(run, PLACED + "".join(f", {b} bigint" for b in names))
 
 
-def _measure(ids, texts, min_words, bands, rows, names) -> pa.RecordBatch:
+def _measure(ids, numbers, texts, min_words, bands, rows, names) -> pa.RecordBatch:
     laid = Texts(texts)
     codes = laid.codes + np.where((laid.codes >= 65) & (laid.codes <= 90), 32, 0).astype(np.uint32)
     word_start, word_end = laid.words()
@@ -150,6 +154,7 @@ def _measure(ids, texts, min_words, bands, rows, names) -> pa.RecordBatch:
     columns = _bands(shingles, counts, bands, rows)
     lines = [texts[o][s:e] for o, s, e in zip(owner.tolist(), start.tolist(), end.tolist())]
     arrays = [
+        numbers.take(pa.array(owner)),
         pa.array([ids[o] for o in owner.tolist()], pa.int64()),
         pa.array(number[chosen].astype(np.int32)),
         pa.array(start.astype(np.int64)),
@@ -158,7 +163,7 @@ def _measure(ids, texts, min_words, bands, rows, names) -> pa.RecordBatch:
         pa.array(lines, pa.string()),
         *(pa.array(c.view(np.int64)) for c in (k1, k2, *columns)),
     ]
-    known = ["doc_id", "paragraph", "start", "end", "n_words", "text", "k1", "k2"]
+    known = ["text_row", "doc_id", "paragraph", "start", "end", "n_words", "text", "k1", "k2"]
     return pa.RecordBatch.from_arrays(arrays, names=[*known, *names])
 
 

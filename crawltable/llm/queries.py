@@ -13,7 +13,7 @@ from crawltable.llm import (
     latent,
     lexical,
     oracle,
-    paragraphs,
+    passages,
     powers,
     repetition,
     segments,
@@ -21,6 +21,7 @@ from crawltable.llm import (
     toxicity,
     wordtable,
 )
+from crawltable.workspace import stage
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(_documents(spark, sf_dir))
+    return passages.repeated_passages(_documents(spark, sf_dir))
 
 
 def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +112,8 @@ def op12_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_wordtable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = wordtable.encode(_documents(spark, sf_dir), keep=["doc_id"])
+    # Written in between, so that a task has one Python worker at a time.
+    encoded = stage(wordtable.encode(_documents(spark, sf_dir), keep=["doc_id"]), "encoded")
     decoded = wordtable.decode(encoded)
     decimal = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
     return decoded.select(

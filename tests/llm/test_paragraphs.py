@@ -96,12 +96,12 @@ def test_odd_rows(odd, odd_rows, empty):
     assert {r.doc_id for r in same} == {None, 5}
     assert all(r.kept_doc_id == 5 for r in same)
     assert repeated_paragraphs(empty).count() == 0
-    assert remove_repeated(empty, repeated_paragraphs(empty)).columns == empty.columns
+    assert remove_repeated(empty).columns == empty.columns
 
 
 def test_removal(spark, documents, texts):
     found = repeated_paragraphs(documents)
-    cut = {r.doc_id: r.text for r in remove_repeated(documents, found).collect()}
+    cut = {r.doc_id: r.text for r in remove_repeated(documents).collect()}
     assert cut.keys() == texts.keys()
     gone = defaultdict(set)
     for r in found.where("removed").collect():
@@ -116,3 +116,16 @@ def test_bands_reach_their_recall():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999
     assert 1 - (1 - 0.4**rows) ** bands <= 0.33
     assert paragraphs.SIMILARITY == 0.8 and paragraphs.SHINGLE_WORDS == 5
+
+
+LINE = "one line of a good dozen words that comes again in other texts as well"
+
+
+def test_rows_with_one_id_are_told_apart(spark):
+    """Of equal rows one keeps the paragraph; another text of the same id is left alone."""
+    other = "another line of some ten words or more that is not repeated anywhere"
+    rows = spark.createDataFrame([(5, LINE), (5, LINE), (5, other), (7, LINE), (None, other[::-1])], "doc_id bigint, text string")
+    found = repeated_paragraphs(rows.repartition(3)).collect()
+    assert sorted((r.doc_id, r.removed) for r in found) == [(5, False), (5, True), (7, True)]
+    left = sorted((r.doc_id or 0, r.text) for r in remove_repeated(rows).collect())
+    assert left == sorted([(0, other[::-1]), (5, ""), (5, LINE), (5, other), (7, "")])
