@@ -31,6 +31,9 @@ MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
 BROADCAST_BYTES = 32 << 20
 KEY_OVERHEAD = 64
 
+# Buckets up to this size are shuffled rather than searched for keys, which takes more jobs.
+SHUFFLE_BYTES = 64 << 20
+
 # Bytes of rows per writing task.
 TASK_BYTES = 256 << 20
 
@@ -298,14 +301,14 @@ def _rewrite_buckets(spark, target, updates, key, details):
     current = stored.drop(BUCKET)
     # Tasks by the bytes to write, and at least as many as the session has partitions;
     # few buckets are split over more of them.
-    size = _plan_bytes(updates) + (_plan_bytes(stored) if existing else 0)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
+    held = _plan_bytes(stored) if existing else 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (_plan_bytes(updates) + held) // TASK_BYTES)
     split = F.pmod(F.hash(named(key)), F.lit(max(1, tasks // len(touched))))
     spread = {BUCKET: key_bucket(key, buckets), "_split": split}
     small = sum(r["size"] or KEY_OVERHEAD for r in sizes) <= BROADCAST_BYTES
     if not existing:
         merged = _spread(updates, spread, tasks)
-    elif small and set(current.columns) <= set(updates.columns):
+    elif small and held > SHUFFLE_BYTES and set(current.columns) <= set(updates.columns):
         merged = replace_rows(current, updates, key, spread, tasks)
     else:
         merged = merge_rows(current, updates, key, spread, tasks)

@@ -84,6 +84,7 @@ def at_once(spark, store, tmp_path, target):
 )
 def test_file_times_do_not_matter(spark, store, target, tmp_path, at_once, monkeypatch, order, limit):
     monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(upserts, "SHUFFLE_BYTES", 0)
     folder = write_pages(tmp_path / "cdx", store["pages"], order)
     import_stream(
         stream_cdx(spark, folder, max_files=1), store["archive"], target,
@@ -182,6 +183,7 @@ def test_arrivals_equal_one_count(spark, tmp_path):
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_later_rows_of_a_source_stay(spark, target, monkeypatch, limit):
     monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(upserts, "SHUFFLE_BYTES", 0)
 
     def put(data, source, schema="k string, a int, at int"):
         upsert(spark, target, spark.createDataFrame(data, schema), "k", "at", source)

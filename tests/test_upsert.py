@@ -37,6 +37,7 @@ def rows(spark, data, schema="k string, a int"):
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_updates_and_inserts(spark, target, monkeypatch, limit):
     monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(upserts, "SHUFFLE_BYTES", 0)
     upsert(spark, target, rows(spark, [("x", 1), ("y", 2), ("", 3)]), "k")
     upsert(spark, target, rows(spark, [("y", 20), ("z", 30), ("", None)]), "k")
     assert table(spark, target) == [("", None), ("x", 1), ("y", 20), ("z", 30)]
@@ -113,6 +114,7 @@ def test_an_existing_table_keeps_its_columns_and_types(spark, target):
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_values_take_the_stored_names_and_types(spark, target, monkeypatch, limit):
     monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(upserts, "SHUFFLE_BYTES", 0)
     upsert(spark, target, rows(spark, [("x", 1), ("y", 2)]), "k")
     upsert(spark, target, rows(spark, [("y", 3)], "k string, A bigint"), "k")
     assert read_table(spark, target).dtypes == [("k", "string"), ("a", "int")]
@@ -136,6 +138,7 @@ def test_key_must_be_a_column(spark, target):
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_number_keys_and_null_keys(spark, target, monkeypatch, limit):
     monkeypatch.setattr(upserts, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(upserts, "SHUFFLE_BYTES", 0)
     upsert(spark, target, rows(spark, [(1, 1), (None, 2)], "k bigint, a int"), "k")
     upsert(spark, target, rows(spark, [(None, 3)], "k bigint, a int"), "k")
     assert table(spark, target) == [(None, 3), (1, 1)]
