@@ -98,7 +98,7 @@ def test_removal_keeps_one_occurrence(spark):
             bag.update({tuple(words[k : k + MIN_WORDS]) for k in range(len(words) - MIN_WORDS + 1)})
     repeated = {run for run, n in before.items() if n > 1}
     assert repeated and sum(after[run] >= 1 for run in repeated) >= 0.9 * len(repeated)
-    assert sum(after[run] for run in repeated) <= 1.1 * len(repeated) < sum(before[run] for run in repeated) / 2
+    assert sum(after[run] for run in repeated) <= 1.25 * len(repeated) < sum(before[run] for run in repeated) / 2
     untouched = {n for n, _ in pairs} - {n for n, _ in shared(pairs, WINDOW)}
     assert untouched and all(left[i] == dict(pairs)[i] for i in untouched)
 
