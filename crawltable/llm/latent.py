@@ -42,6 +42,8 @@ ITEMS = 400
 MIN_ITEM_WORDS = 5
 MIN_ANSWER_WORDS = 5
 COSINE = 0.3
+# Sums of tasks added up at a time, and rounds of that.
+FAN_IN, ROUNDS = 32, 4
 COPIED = 0.8
 PARAPHRASED = 0.6
 ANSWERED = 0.8
@@ -224,11 +226,12 @@ def _sketch(df: DataFrame, text: str, terms: Terms, rank: int) -> tuple[np.ndarr
         return add, result
 
     parts = _scan(df, text, make, "first bigint, rows binary, squares double")
-    # Sums are made in two steps, so no task takes in the rows of all tasks.
-    step = F.pmod(F.spark_partition_id(), F.lit(16)).alias("step")
-    parts = parts.select("first", "rows", "squares", step)
-    for keys in (["first", "step"], ["first"]):
-        parts = parts.groupBy(*keys).applyInArrow(
+    # Every round adds up to FAN_IN sums at a time, so a task's share does not grow with the
+    # number of tasks; the rounds suffice for a million of them.
+    parts = parts.select("first", "rows", "squares", F.spark_partition_id().alias("step"))
+    for _ in range(ROUNDS):
+        parts = parts.withColumn("step", F.floor(F.col("step") / FAN_IN).cast("int"))
+        parts = parts.groupBy("first", "step").applyInArrow(
             _added, "first bigint, rows binary, squares double, step int"
         )
     summed = parts.toArrow().sort_by("first")  # terms x rank numbers
