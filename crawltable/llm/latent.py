@@ -52,6 +52,9 @@ REACH = 1.3
 
 # Code points looked at together; latent vectors of their words are held meanwhile.
 CHUNK = 1 << 18
+# Bits of a set of words, and passages to either side that are looked through by them.
+BITS = 2048
+MAX_AROUND = 16
 # Terms per row of the sums.
 SLICE = 4096
 
@@ -171,30 +174,44 @@ def _weighted(found: Passages, terms: Terms, wanted: np.ndarray):
     return place[heavy], passage[heavy], terms.weights[place[heavy]]
 
 
-def _summed(values: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by ascending ``groups``."""
-    out = np.zeros((n, values.shape[1]), np.float32)
-    if len(groups):
-        heads = np.flatnonzero(np.diff(groups, prepend=-1))
-        out[groups[heads]] = np.add.reduceat(values, heads, axis=0)
+def _combined(rows: np.ndarray, at: np.ndarray, weight: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Weighted sums of ``rows[at]`` for each group of entries that begins at ``heads``.
+
+    Groups of about equal size are padded to a width and multiplied together."""
+    sizes = np.diff(np.append(heads, len(at)))
+    out = np.empty((len(heads), rows.shape[1]), np.float32)
+    step = np.int64(1) << np.maximum(np.frexp(sizes)[1].astype(np.int64) - 4, 0)
+    widths = -(-sizes // step) * step
+    order = np.argsort(widths, kind="stable")
+    bounds = np.flatnonzero(np.diff(widths[order], prepend=-1))
+    for first, last in zip(bounds.tolist(), np.append(bounds[1:], len(order)).tolist()):
+        width = int(widths[order[first]])
+        places = np.arange(width)
+        for k in range(first, last, max(1, CHUNK // 8 // width)):
+            some = order[k : min(last, k + max(1, CHUNK // 8 // width))]
+            inside = places < sizes[some, None]
+            entry = np.where(inside, heads[some, None] + places, 0)
+            factor = np.where(inside, weight[entry], np.float32(0))
+            out[some] = np.matmul(factor[:, None, :], rows[at[entry]])[:, 0]
     return out
 
 
 def _project(place, passage, weight, matrix: np.ndarray, n: int) -> np.ndarray:
     order = np.argsort(passage, kind="stable")
-    rows = matrix[place[order]] * weight[order, None]
-    return _summed(rows, passage[order], n)
+    passage = passage[order]
+    heads = np.flatnonzero(np.diff(passage, prepend=-1))
+    out = np.zeros((n, matrix.shape[1]), np.float32)
+    out[passage[heads]] = _combined(matrix, place[order], weight[order], heads)
+    return out
 
 
 def gram_product(place, passage, weight, matrix: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct places and their rows of A'(A matrix), A having the passages as rows."""
     latent = _project(place, passage, weight, matrix, n)
     order = np.argsort(place, kind="stable")
-    rows = latent[passage[order]] * weight[order, None]
-    heads = np.flatnonzero(np.diff(place[order], prepend=-1))
-    if not len(heads):
-        return place, rows
-    return place[order][heads], np.add.reduceat(rows, heads, axis=0)
+    place = place[order]
+    heads = np.flatnonzero(np.diff(place, prepend=-1))
+    return place[heads], _combined(latent, passage[order], weight[order], heads)
 
 
 def _sketch(df: DataFrame, text: str, terms: Terms, rank: int) -> tuple[np.ndarray, float]:
@@ -362,6 +379,18 @@ def _common(masks: dict[int, int], n: int, words: Sequence[int]) -> int:
     return n - left.bit_count()
 
 
+def _bits(words: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` rows the set of its words, a bit of BITS each."""
+    bits = np.zeros((n, BITS // 64), np.uint64)
+    place = (words >> np.uint64(32)) % np.uint64(BITS)
+    cells = np.sort(rows * np.int64(BITS) + place.astype(np.int64))
+    word, bit = cells // 64, np.uint64(1) << (cells % 64).astype(np.uint64)
+    heads = np.flatnonzero(np.diff(word, prepend=-1))
+    if len(heads):
+        bits.reshape(-1)[word[heads]] = np.bitwise_or.reduceat(bit, heads)
+    return bits
+
+
 class Searcher:
     """Finds the items of an index in texts."""
 
@@ -374,6 +403,11 @@ class Searcher:
             for _, words, answer in index.items
         ]
         self.often = [Counter(words) for _, words, _ in index.items]
+        self.sizes = np.array([len(words) for _, words, _ in index.items], np.int64)
+        owners = np.repeat(np.arange(len(index.items)), self.sizes)
+        words = np.array([w for _, words, _ in index.items for w in words], np.uint64)
+        self.bits = _bits(words, owners, len(index.items))
+        self.distinct = np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
         self.counted = [
             np.unique(np.array(words, np.uint64), return_counts=True) for _, words, _ in index.items
         ]
@@ -398,6 +432,8 @@ class Searcher:
         latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
         scores = latent @ self.index.latent.T
         window, piece = np.nonzero(scores >= cosine)
+        able = self._may_hold(found, window, self.index.owners[piece], paraphrased)
+        window, piece = window[able], piece[able]
         best: dict[tuple, tuple] = {}
         owner = found.passage_owner[window]
         item = self.index.owners[piece]
@@ -416,6 +452,25 @@ class Searcher:
             for (o, i), (common, score, n, start, end) in best.items()
         ]
 
+    def _may_hold(self, found, window, item, share) -> np.ndarray:
+        """Whether the passages around a window may hold that share of an item's words, told
+        by bits of the words: words with one bit count as there if one of them is."""
+        able = np.ones(len(window), bool)
+        bits = _bits(found.words, found.passage, len(found))
+        first = np.searchsorted(found.passage_owner, found.passage_owner)
+        last = np.searchsorted(found.passage_owner, found.passage_owner, "right") - 1
+        around = -(-self.sizes // PASSAGE_WORDS)[item]
+        for reach in np.unique(around[around <= MAX_AROUND]).tolist():
+            some = np.flatnonzero(around == reach)
+            places, back = np.unique(window[some], return_inverse=True)
+            region = bits[places]
+            for step in range(-reach, reach + 2):
+                region |= bits[np.clip(places + step, first[places], last[places])]
+            there = np.bitwise_count(region[back] & self.bits[item[some]]).sum(axis=1, dtype=np.int64)
+            there += self.sizes[item[some]] - self.distinct[item[some]]
+            able[some] = there >= share * self.sizes[item[some]]
+        return able
+
     def _check(self, found, item, window, low, high, copied, paraphrased):
         (masks, n), (answer, n_answer) = self.masks[item]
         reach = int(np.ceil(REACH * n))
