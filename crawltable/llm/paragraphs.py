@@ -11,7 +11,9 @@ Units that share a band are candidates:
   shingles (the one nearest to what the copies have in common), and matches are linked;
 * components of these links settle most buckets as a whole;
 * in a bucket that still has several components, the units outside its largest one are
-  compared with all units of other components that the bound leaves.
+  compared with all units of other components: pair by pair what the bound leaves where
+  the bucket has up to PAIRED units, and else in cells of two blocks of bounded size, whose
+  common shingles are counted by products of matrices, so that only links become rows.
 
 So every candidate pair is compared, ruled out by the bound or already in one component:
 none is lost, and a bucket of copies of one passage costs about one comparison per unit,
@@ -39,6 +41,13 @@ MIN_WORDS = 10
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 
+# Units of a bucket whose pairs are made as rows.
+PAIRED = 16
+# Units and shingles of a block, and shingles whose matrices are held at a time.
+BLOCK_UNITS = 1024
+BLOCK_SHINGLES = 1 << 20
+AT_A_TIME = 2048
+
 PLACED = "text_row bigint, doc_id bigint, paragraph int, start bigint, `end` bigint, n_words int, text string, k1 bigint, k2 bigint"
 
 
@@ -206,23 +215,81 @@ def _linked_units(placed, units, names, similarity, folder) -> DataFrame:
     parts = components(edges).withColumnRenamed("node", "unit")
     split = members.join(parts, "unit", "left").withColumn("component", F.coalesce("component", "unit"))
     split = stage(split, "split", folder)
-    counts = split.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")
+    counts = split.groupBy("bucket", "component").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles")
     )
+    largest = F.struct("n", "component")
+    main = counts.groupBy("bucket").agg(
+        F.max_by("component", largest).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n"),
+        _blocks(F.sum("n"), F.sum("shingles")).alias("blocks"),
+        _blocks(
+            F.sum("n") - F.max("n"), F.sum("shingles") - F.max_by("shingles", largest)
+        ).alias("few_blocks"),
+    )
     main = stage(main.where("parts > 1").drop("parts"), "main", folder)
     unsettled = stage(split.join(main, "bucket"), "unsettled", folder)
-    few = unsettled.where("component <> main").select(
+    small = unsettled.where(F.col("n") <= PAIRED)
+    few = small.where("component <> main").select(
         "bucket", F.col("unit").alias("one"), F.col("component").alias("part"),
         F.col("size").alias("size_1"), F.col("shared").alias("shared_1"),
     )
-    meets = (unsettled.bucket == few.bucket) & (F.col("component") != F.col("part"))
+    meets = (small.bucket == few.bucket) & (F.col("component") != F.col("part"))
     meets &= _may_reach(similarity, "size", "shared", "size_1", "shared_1")
-    rest = unsettled.join(few, meets).select(
+    rest = small.join(few, meets).select(
         F.greatest("unit", "one").alias("a"), F.least("unit", "one").alias("b")
     )
     rest = stage(rest.distinct(), "rest", folder)
-    return edges.unionByName(_similar(rest, sets, similarity))
+    found = _linked_in_cells(unsettled.where(F.col("n") > PAIRED), sets, similarity)
+    return edges.unionByName(_similar(rest, sets, similarity)).unionByName(found)
+
+
+def _blocks(units, shingles):
+    return F.ceil(F.greatest(units / BLOCK_UNITS, shingles / BLOCK_SHINGLES, F.lit(1))).cast("bigint")
+
+
+def _linked_in_cells(crowd: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links a, b between units outside their bucket's largest component and units of other
+    components, one at least of every two components in a cell that have any.
+
+    A cell has one block of the former and one of all units, so it is bounded, and a bucket of
+    any size is spread over its cells."""
+    cells = F.expr("""
+        concat(
+          transform(sequence(0L, few_blocks - 1), i -> struct(i, pmod(xxhash64(unit), blocks) AS j, false AS few)),
+          transform(
+            filter(sequence(0L, blocks - 1), j -> component <> main),
+            j -> struct(pmod(xxhash64(unit), few_blocks) AS i, j, true AS few)))
+    """)
+    placed = crowd.withColumn("cell", F.explode(cells)).select("bucket", "unit", "component", "cell.*")
+    held = placed.join(sets.select("unit", "shingles"), "unit")
+
+    def links(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        unit, component = (cell.column(c).to_numpy() for c in ("unit", "component"))
+        lists = cell.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        _, known, often = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        # A shingle that comes once in the cell is common to no pair.
+        number = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[known]
+        owner = np.repeat(np.arange(len(unit)), sizes)
+        order = np.argsort(number, kind="stable")
+        number, owner = number[order], owner[order]
+        side = cell.column("few").to_numpy()
+        one, two = np.flatnonzero(side), np.flatnonzero(~side)
+        common = np.zeros((len(one), len(two)), np.float32)
+        for first in range(0, int(often[often > 1].size), AT_A_TIME):
+            low, high = np.searchsorted(number, [first, first + AT_A_TIME])
+            matrix = np.zeros((len(unit), AT_A_TIME), np.float32)
+            matrix[owner[low:high], number[low:high] - first] = 1
+            common += matrix[one] @ matrix[two].T
+        good = common >= similarity * (sizes[one][:, None] + sizes[two] - common.astype(np.float64))
+        good &= component[one][:, None] != component[two]
+        a, b = np.nonzero(good)
+        a, b = one[a], two[b]
+        _, chosen = np.unique(np.stack((component[a], component[b])), axis=1, return_index=True)
+        return pa.table({"a": unit[a[chosen]], "b": unit[b[chosen]]})
+
+    return held.groupBy("bucket", "i", "j").applyInArrow(links, "a bigint, b bigint")
 
 
 def _shingle_sets(placed: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -69,6 +69,45 @@ def test_near_copies(spark):
     check(rows, brute(pairs))
 
 
+def crowd(n):
+    """Edited copies of one line: many pairs lie just below or above the limit."""
+    source = random.Random(n)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(source.randint(0, 4)):
+            copy[source.randrange(60)] = f"v{source.randrange(12)}"
+        texts.append(" ".join(copy))
+    return list(enumerate(texts))
+
+
+def test_crowded_buckets_in_cells(spark, monkeypatch):
+    """Several cells a bucket lose no link."""
+    monkeypatch.setattr(paragraphs, "PAIRED", 3)
+    monkeypatch.setattr(paragraphs, "BLOCK_UNITS", 20)
+    monkeypatch.setattr(paragraphs, "AT_A_TIME", 7)
+    for pairs in (crowd(90), near_copies()):
+        rows = repeated_paragraphs(spark.createDataFrame(pairs, "doc_id bigint, text string")).collect()
+        check(rows, brute(pairs))
+
+
+def test_pairs_of_a_group_are_few(spark, monkeypatch):
+    """The rows made of pairs are some for each unit of a group, not one for each pair."""
+    made = {}
+    stage = paragraphs.stage
+
+    def counted(df, label, *folder):
+        staged = stage(df, label, *folder)
+        if label in ("pairs", "rest"):
+            made[label] = staged.count()
+        return staged
+
+    monkeypatch.setattr(paragraphs, "stage", counted)
+    repeated_paragraphs(spark.createDataFrame(crowd(400), "doc_id bigint, text string"))
+    assert 0 < sum(made.values()) <= 10 * 400
+
+
 def chains():
     """Copies of copies: neighbours are similar, the ends of a chain are not."""
     source = random.Random(2)
