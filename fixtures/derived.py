@@ -8,6 +8,7 @@ import gzip
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC
 
 import pyarrow as pa
@@ -20,6 +21,8 @@ from crawltable.workspace import fresh_path
 
 CRAWLS = ("2024-05", "2024-10")
 CDX_PAGES = 12
+# Bytes of captures that a task hands to Python at a time; a longer one comes by itself.
+BATCH_BYTES = 4 << 20
 ROBOTS_BODY = "User-agent: *\nDisallow: /private"
 
 _prepared: dict[tuple[str, str], dict[str, str]] = {}
@@ -88,14 +91,27 @@ def crawl_store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     if known not in _prepared:
         root = fresh_path(spark, "crawl")
         paths = {name: f"{root}/{name}" for name in ("index", "archive", "cdx")}
-        write_archives(ccindex(spark, sf_dir, bodies=True), paths["archive"]).write.partitionBy(
-            "crawl", "subset"
-        ).parquet(paths["index"])
+        with _bounded_batches(spark):
+            write_archives(ccindex(spark, sf_dir, bodies=True), paths["archive"]).write.partitionBy(
+                "crawl", "subset"
+            ).parquet(paths["index"])
         write_cdx(spark.read.parquet(paths["index"]), paths["cdx"])
         _prepared[known] = paths
     return _prepared[known]
 
 
+@contextmanager
+def _bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """Spark bounds its batches by rows only, so that large pages would make large ones."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_archives(captures: DataFrame, folder: str) -> DataFrame:
     """Write a request and a response record per capture, one archive per task, and
     give the index rows with their real places.
