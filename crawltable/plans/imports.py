@@ -284,11 +284,13 @@ class PointerSize(NamedTuple):
     length: int
 
 
-def stage_pointers(pointers: DataFrame, folder: str) -> tuple[DataFrame, PointerSize]:
+def stage_pointers(
+    pointers: DataFrame, folder: str, label: str = "pointers"
+) -> tuple[DataFrame, PointerSize]:
     """Write pointers once, and measure them meanwhile."""
     written = Observation()
     seen = pointers.observe(written, F.count("*").alias("matched"), F.sum("length").alias("length"))
-    pointers = stage(seen, "pointers", folder)
+    pointers = stage(seen, label, folder)
     return pointers, PointerSize(written.get["matched"], written.get["length"] or 0)
 
 
@@ -316,6 +318,9 @@ def last_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
         return dedupe_last(rows, key, order)
     late = keys.join(repeated, F.col("_key").eqNullSafe(F.col("_again")))
     late = late.where(F.col("_order") != F.col("_last")).select(F.col("_order").alias("_late"))
+    if late.count() < superseded:
+        # Some rows share the last place of their key.
+        return dedupe_last(rows, key, order)
     return rows.join(F.broadcast(late), named(order) == F.col("_late"), "left_anti")
 
 

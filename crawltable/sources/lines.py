@@ -4,6 +4,9 @@ Pages are taken up by their time of writing and then by name. An offset is a pag
 line within it, so a batch may begin and end anywhere, and a stream that is started again
 goes on with the next line. To know where a batch ends, the driver counts the line ends of
 each page once, a buffer at a time; the lines themselves are read by the executors.
+
+When nothing is left, one more batch follows, without lines, so that what the batches before
+it left to do can be done in a batch: if that fails, it is run again like any other.
 """
 
 import bz2
@@ -63,7 +66,11 @@ class PageReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         if self.current is None:
             self.current = self.initialOffset()
-        self.current = self._after(self.current)
+        after = self._after(self.current)
+        if after == self._place(self.current):
+            # A second time the offset stays as it is, and no batch follows.
+            after = {**after, "end": True} if after != _START else after
+        self.current = after
         return self.current
 
     def partitions(self, start: dict, end: dict) -> list[Lines]:
@@ -103,9 +110,13 @@ class PageReader(DataSourceStreamReader):
         pages = [i for i in found if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_"))]
         return sorted((i.mtime_ns or 0, i.path) for i in pages)
 
+    @staticmethod
+    def _place(offset: dict) -> dict:
+        return {name: offset[name] for name in _START}
+
     def _after(self, offset: dict) -> dict:
         """The offset ``max_rows`` rows later, or that of the last line there is."""
-        wanted = self.max_rows
+        offset, wanted = self._place(offset), self.max_rows
         for time, file in self._pages():
             if (time, file) < _key(offset):
                 continue

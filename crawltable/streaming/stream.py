@@ -1,9 +1,14 @@
-"""Incremental imports: each micro-batch of new files is one merge."""
+"""Incremental imports: each micro-batch of new files is one merge.
+
+The micro-batches of a stream by rows are many and small, and a merge rewrites the buckets
+it touches. So these leave their captures to an import of several (see ``Pending``).
+"""
 
 import threading
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import Future
+from contextlib import suppress
 from typing import NamedTuple
 
 from pyspark.errors import StreamingQueryException
@@ -18,6 +23,7 @@ from crawltable.operators.upsert import Target, ensure_table, upsert
 from crawltable.plans.imports import (
     BATCH_SIZE,
     OnProgress,
+    PointerSize,
     ProgressEvent,
     Reporter,
     import_pointers,
@@ -26,7 +32,7 @@ from crawltable.plans.imports import (
 )
 from crawltable.sources.cdx import parse_lines, select_cdx, stream_cdx
 from crawltable.sources.lines import LINE_COLUMNS
-from crawltable.workspace import fresh_path, scratch, stage
+from crawltable.workspace import fresh_path, remove, scratch, stage
 
 _EVENT_SCHEMA = (
     "stage string, matched bigint, imported bigint, skipped bigint, files_read bigint, "
@@ -89,21 +95,48 @@ def import_stream(
     whatever order Spark takes up the files, as if all were imported at once. Rows count
     as imported (see ``imported_count``) over the whole stream, if progress is asked for.
     The stream ends when it has no more to give.
+
+    A stream by rows whose progress nobody follows imports the captures of several
+    micro-batches at once. All are in the table when it ends. If it fails, those of the
+    batches before the failing one are too; what is left when it is stopped or killed comes
+    first when a stream with the same ``checkpoint`` goes on.
     """
     read = read_options(**options)
     counted = on_progress is not None or progress_path is not None
+    collected = not counted and _by_rows(captures)
+    running: set[str] = set()
 
     def merge(batch: DataFrame, part: _Part) -> None:
+        spark = batch.sparkSession
+
+        def take(pointers: DataFrame, size: PointerSize, folder: str) -> None:
+            import_pointers(
+                spark, pointers, size, archive, target, read, part.report, folder,
+                part.source, Arrivals(f"{part.folder}/arrivals", part.number) if counted else None,
+            )
+
+        pending = Pending(spark, part, take)
+        if not running:
+            # What another run has left.
+            pending.merge()
+            running.add(part.source)
         pointers = select(batch)
         if "position" not in pointers.columns:
             pointers = pointers.withColumn("position", F.struct("url", "timestamp"))
-        with scratch(batch.sparkSession, "import") as folder:
-            pointers, size = stage_pointers(pointers, folder)
-            if size.matched:
-                import_pointers(
-                    batch.sparkSession, pointers, size, archive, target, read, part.report, folder,
-                    part.source, Arrivals(f"{part.folder}/arrivals", part.number) if counted else None,
-                )
+        if not collected:
+            with scratch(spark, "import") as folder:
+                pointers, size = stage_pointers(pointers, folder)
+                if size.matched:
+                    take(pointers, size, folder)
+            return
+        try:
+            matched = pending.add(pointers)
+        except Exception:
+            with suppress(Exception):
+                pending.merge()
+            raise
+        if not matched and batch.isEmpty():
+            pending.merge()
 
     if read.schema is not None and read.key in read.schema.names:
         ensure_table(captures.sparkSession, target, read.schema, read.key)
@@ -146,6 +179,63 @@ class _Part(NamedTuple):
     report: Reporter
 
 
+class Pending:
+    """Pointers of micro-batches whose rows are not in the table yet.
+
+    They lie in the stream's own folder, by batch, until the next merge. That follows when
+    these batches are more than half of the stream's, so the table is rewritten for each
+    doubling of the stream and not for each batch, and the stream's last batch, which is
+    empty, brings in the rest. A merge that breaks off is repeated and gives the same table.
+    """
+
+    def __init__(self, spark: SparkSession, part: _Part, take: Callable[[DataFrame, PointerSize, str], object]):
+        self.spark, self.number, self.take = spark, part.number, take
+        self.folder = f"{part.folder}/pending"
+
+    def add(self, pointers: DataFrame) -> int:
+        """Keep the pointers of this batch, and give their number."""
+        place = f"{self.folder}/batch={self.number}"
+        remove(self.spark, place)
+        _, size = stage_pointers(pointers, self.folder, f"batch={self.number}")
+        if not size.matched:
+            remove(self.spark, place)
+        elif 2 * len(self._batches(self.number + 1)) > self.number + 1:
+            self.merge(self.number + 1)
+        return size.matched
+
+    def merge(self, before: int | None = None) -> None:
+        """Import what the batches before this one, or that number, have left."""
+        batches = self._batches(self.number if before is None else before)
+        if not batches:
+            return
+        try:
+            self._import(batches)
+        except Exception:
+            # The batches before the one that fails are whole.
+            for batch in batches:
+                self._import([batch])
+
+    def _import(self, batches: list[str]) -> None:
+        pointers = self.spark.read.parquet(*batches)
+        size = PointerSize(*pointers.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first())
+        with scratch(self.spark, "import") as folder:
+            self.take(pointers, size, folder)
+        for batch in batches:
+            remove(self.spark, batch)
+
+    def _batches(self, before: int) -> list[str]:
+        """Folders of the complete batches below that number, in their order."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/batch=*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        folders = (status.getPath().getParent() for status in found)
+        numbered = sorted((int(f.getName().removeprefix("batch=")), f.toString()) for f in folders)
+        return [folder for number, folder in numbered if number < before]
+
+
+def _by_rows(rows: DataFrame) -> bool:
+    return set(rows.columns) >= set(LINE_COLUMNS)
+
+
 def _start(rows, merge, checkpoint, on_progress, progress_path) -> StreamingQuery:
     spark = rows.sparkSession
     totals = _Totals(on_progress)
@@ -174,7 +264,7 @@ def _start(rows, merge, checkpoint, on_progress, progress_path) -> StreamingQuer
         spark.streams.addListener(_Lifetime(spark, name, totals))
     writer = rows.writeStream.queryName(name).foreachBatch(run).option("checkpointLocation", folder)
     # Python sources give one batch only if asked for what is there now.
-    endless = set(rows.columns) >= set(LINE_COLUMNS)
+    endless = _by_rows(rows)
     trigger = {"processingTime": "0 seconds"} if endless else {"availableNow": True}
     try:
         query = writer.trigger(**trigger).start()

@@ -9,6 +9,7 @@ import time
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,7 @@ from crawltable.plans import imports
 from crawltable.plans.imports import import_cdx
 from crawltable.sources.cdx import parse_lines, read_cdx, select_cdx, stream_cdx
 from crawltable.sources.lines import PageReader
+from crawltable.streaming import stream as streams
 from crawltable.streaming.stream import import_cdx_stream, import_stream, read_progress, stream_upsert
 from test_archive import http, record
 
@@ -262,3 +264,57 @@ def test_counters_move_while_a_stage_runs(spark, store, target, tmp_path, monkey
     assert len(set(done)) > 3 and done == sorted(done) and 0 < done[0] < done[-1] == counters.matched
     assert (running[-1].files_read, running[-1].bytes_read, running[-1].requests) == counters[3:]
     assert seen[-1][1:5] == counters[:4]
+
+
+@pytest.fixture
+def merges(monkeypatch):
+    """Numbers of pointers of each merge; with ``merges.broken`` they fail."""
+
+    class Merges(list):
+        broken = False
+
+    merges, whole = Merges(), streams.import_pointers
+
+    def counted(spark, pointers, size, *rest):
+        if merges.broken:
+            raise OSError("no archive")
+        merges.append(size.matched)
+        return whole(spark, pointers, size, *rest)
+
+    monkeypatch.setattr(streams, "import_pointers", counted)
+    return merges
+
+
+def test_small_batches_share_merges(spark, store, target, tmp_path, at_once, merges):
+    folder = write_pages(tmp_path / "cdx", store["pages"], [2, 4, 0, 3, 1])
+    import_cdx_stream(spark, folder, "x.com", store["archive"], target, batch_size=2).awaitTermination()
+    expected, _ = at_once(range(PAGES))
+    assert content(spark, target) == expected
+    # 23 batches, and merges whenever their number has doubled.
+    assert sum(merges) == PAGES * LINES and len(merges) <= 6
+
+
+def test_batches_before_a_broken_line_are_merged(spark, store, target, tmp_path, at_once):
+    folder = write_pages(tmp_path / "cdx", [*store["pages"], "{}\n"], range(PAGES + 1))
+    with pytest.raises(StreamingQueryException):
+        import_cdx_stream(spark, folder, "x.com", store["archive"], target, batch_size=5).awaitTermination()
+    expected, _ = at_once(range(PAGES))
+    assert content(spark, target) == expected
+
+
+def test_captures_left_by_a_run_come_with_the_next(spark, store, target, tmp_path, at_once, merges):
+    folder = write_pages(tmp_path / "cdx", store["pages"], range(PAGES))
+    options = {"batch_size": 4, "checkpoint": str(tmp_path / "checkpoint")}
+    merges.broken = True
+    with pytest.raises(StreamingQueryException):
+        import_cdx_stream(spark, folder, "x.com", store["archive"], target, **options).awaitTermination()
+    assert content(spark, target) == []
+    merges.broken = False
+    import_cdx_stream(spark, folder, "x.com", store["archive"], target, **options).awaitTermination()
+    expected, _ = at_once(range(PAGES))
+    assert content(spark, target) == expected
+
+
+def test_rows_that_share_a_place_are_one(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", 2)], "k string, n int")
+    assert sorted(map(tuple, imports.last_rows(rows, "k", "n").collect())) == [("a", 1), ("b", 2)]
