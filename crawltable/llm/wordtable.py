@@ -451,10 +451,15 @@ def decode(
     out = T.StructType([f for f in df.schema if f.name != decoded] + [T.StructField(decoded, T.StringType())])
     arrow = to_arrow_schema(out)
     width = len(out) - 1
+    columns = [F.col(f"`{f.name}`") for f in out.fields[:width]]
+    # The ids go to Python once, with the columns that are kept.
+    place = next((n for n, f in enumerate(out.fields[:width]) if f.name == ids), width)
+    if place == width:
+        columns.append(F.col(f"`{ids}`").alias("_ids"))
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.fill_null(pc.list_value_length(batch.column(width)), 0).to_pylist()
+            sizes = pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_pylist()
             start, held = 0, 0
             for n, size in enumerate(sizes):
                 if n > start and held + size > DECODED_IDS:
@@ -468,7 +473,7 @@ def decode(
         pieces = shared.value
         decoder = None if joined else kept_in_process(f"decoder {path}", lambda: Tokenizer.from_file(path)).decoder
         for batch in sliced(batches):
-            column = batch.column(width)
+            column = batch.column(place)
             texts = pieces.take(pc.list_flatten(column))
             if texts.null_count:
                 raise ValueError("an id is not in the vocabulary")
@@ -484,5 +489,4 @@ def decode(
             arrays = [batch.column(n).cast(arrow.field(n).type) for n in range(width)]
             yield pa.RecordBatch.from_arrays([*arrays, made.cast(arrow.field(width).type)], schema=arrow)
 
-    columns = [F.col(f"`{f.name}`") for f in out.fields[:width]]
-    return df.select(*columns, F.col(f"`{ids}`").alias("_ids")).mapInArrow(run, out)
+    return df.select(*columns).mapInArrow(run, out)

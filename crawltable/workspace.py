@@ -56,6 +56,20 @@ def scratch(spark: SparkSession, label: str) -> Iterator[str]:
         remove(spark, folder)
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs that run meanwhile hand rows to Python by ``size`` bytes at a time; a longer row
+    comes by itself. Spark bounds its batches by rows only, so that long ones make large ones.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,7 +8,6 @@ import gzip
 import uuid
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import UTC
 
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from crawltable.functions.columns import timestamp14, url_host
 from crawltable.sources.archive import open_files
-from crawltable.workspace import fresh_path
+from crawltable.workspace import bounded_batches, fresh_path
 
 CRAWLS = ("2024-05", "2024-10")
 CDX_PAGES = 12
@@ -91,7 +90,7 @@ def crawl_store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     if known not in _prepared:
         root = fresh_path(spark, "crawl")
         paths = {name: f"{root}/{name}" for name in ("index", "archive", "cdx")}
-        with _bounded_batches(spark):
+        with bounded_batches(spark, BATCH_BYTES):
             write_archives(ccindex(spark, sf_dir, bodies=True), paths["archive"]).write.partitionBy(
                 "crawl", "subset"
             ).parquet(paths["index"])
@@ -100,18 +99,6 @@ def crawl_store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return _prepared[known]
 
 
-@contextmanager
-def _bounded_batches(spark: SparkSession) -> Iterator[None]:
-    """Spark bounds its batches by rows only, so that large pages would make large ones."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, BATCH_BYTES)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def write_archives(captures: DataFrame, folder: str) -> DataFrame:
     """Write a request and a response record per capture, one archive per task, and
     give the index rows with their real places.

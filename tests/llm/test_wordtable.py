@@ -105,3 +105,30 @@ def test_query(spark, texts, library):
         assert rows[i].n_tokens == len(ids)
         assert rows[i].ids_sha256 == hashlib.sha256(decimal).hexdigest()
         assert rows[i].decoded_sha256 == hashlib.sha256(decoded).hexdigest()
+
+
+def test_ids_go_to_python_once(spark, library):
+    ids = spark.range(3).selectExpr("id", "sequence(300, 340) AS ids")
+    decoded = wordtable.decode(ids)
+    assert "_ids" not in decoded._jdf.queryExecution().optimizedPlan().toString()
+    expected = library.decode(list(range(300, 341)), skip_special_tokens=False)
+    assert [r.decoded for r in decoded.collect()] == [expected] * 3
+    over = wordtable.decode(ids, decoded="ids")
+    assert [r.ids for r in over.collect()] == [expected] * 3
+
+
+def test_texts_come_in_small_batches(spark, tmp_path, monkeypatch):
+    """Twelve texts of a megabyte, which are one batch for Spark."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(150_000)), lambda i: F.concat(F.lit("w"), i.cast("string"))))
+    texts = spark.range(12, numPartitions=1).select(F.col("id").alias("doc_id"), words.alias("text"))
+    texts.write.parquet(str(tmp_path / "documents.parquet"))
+    slices = wordtable.slices
+
+    def bounded(column):
+        if column.nbytes > 6 << 20:
+            raise ValueError(f"a batch of {column.nbytes} bytes")
+        return slices(column)
+
+    monkeypatch.setattr(wordtable, "slices", bounded)
+    rows = queries.op13_wordtable(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(12)) and len({r.ids_sha256 for r in rows}) == 1
