@@ -1,9 +1,11 @@
 """Incremental imports: each micro-batch of new files is one merge.
 
 The micro-batches of a stream by rows are many and small, and a merge rewrites the buckets
-it touches. So these leave their captures to an import of several (see ``Pending``).
+it touches. So these leave their captures to an import of several (see ``Waiting``, and
+``Pending`` where lines come by way of the caller).
 """
 
+import json
 import threading
 import uuid
 from collections.abc import Callable, Sequence
@@ -31,7 +33,7 @@ from crawltable.plans.imports import (
     stage_pointers,
 )
 from crawltable.sources.cdx import parse_lines, select_cdx, stream_cdx
-from crawltable.sources.lines import LINE_COLUMNS
+from crawltable.sources.lines import LINE_COLUMNS, START, batch_ends, lines_between, place
 from crawltable.workspace import fresh_path, remove, scratch, stage
 
 _EVENT_SCHEMA = (
@@ -101,11 +103,34 @@ def import_stream(
     batches before the failing one are too; what is left when it is stopped or killed comes
     first when a stream with the same ``checkpoint`` goes on.
     """
+    return _import(captures, archive, target, select, checkpoint, on_progress, progress_path, options)
+
+
+def _import(
+    captures: DataFrame,
+    archive: str,
+    target: Target,
+    select: Callable[[DataFrame], DataFrame],
+    checkpoint: str | None,
+    on_progress: OnProgress | None,
+    progress_path: str | None,
+    options: dict,
+    pages: tuple[str, int] | None = None,
+) -> StreamingQuery:
+    """``pages`` are the path and the rows a batch of captures that are lines just as
+    ``stream_cdx`` gives them, so that they can be read again."""
     read = read_options(**options)
     counted = on_progress is not None or progress_path is not None
     collected = not counted and _by_rows(captures)
+    waiting = Waiting(None if counted else pages)
     running: set[str] = set()
 
+    def pointers_of(lines: DataFrame) -> DataFrame:
+        pointers = select(lines)
+        if "position" not in pointers.columns:
+            pointers = pointers.withColumn("position", F.struct("url", "timestamp"))
+        return pointers
+
     def merge(batch: DataFrame, part: _Part) -> None:
         spark = batch.sparkSession
 
@@ -115,22 +140,26 @@ def import_stream(
                 part.source, Arrivals(f"{part.folder}/arrivals", part.number) if counted else None,
             )
 
+        def bring(lines: DataFrame) -> None:
+            with scratch(spark, "import") as folder:
+                pointers, size = stage_pointers(pointers_of(lines), folder)
+                if size.matched:
+                    take(pointers, size, folder)
+
         pending = Pending(spark, part, take)
         if not running:
             # What another run has left.
             pending.merge()
+            waiting.begin(spark, part, bring)
             running.add(part.source)
-        pointers = select(batch)
-        if "position" not in pointers.columns:
-            pointers = pointers.withColumn("position", F.struct("url", "timestamp"))
+        if waiting.pages is not None:
+            waiting.add(part, bring)
+            return
         if not collected:
-            with scratch(spark, "import") as folder:
-                pointers, size = stage_pointers(pointers, folder)
-                if size.matched:
-                    take(pointers, size, folder)
+            bring(batch)
             return
         try:
-            matched = pending.add(pointers)
+            matched = pending.add(pointers_of(batch))
         except Exception:
             with suppress(Exception):
                 pending.merge()
@@ -153,16 +182,25 @@ def import_cdx_stream(
     match: str = "domain",
     url_patterns: str | Sequence[str] | None = None,
     batch_size: int = BATCH_SIZE,
+    checkpoint: str | None = None,
+    on_progress: OnProgress | None = None,
+    progress_path: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Import the captures that JSON-lines pages list for a host or domain, ``batch_size``
-    lines at a time; a stream with the same ``checkpoint`` goes on at the next line."""
+    lines at a time; a stream with the same ``checkpoint`` goes on at the next line.
+
+    The captures of several micro-batches are imported at once, as ``import_stream`` does.
+    Their lines are read then, so pages must stay as they are until the stream has ended."""
 
     def select(lines: DataFrame) -> DataFrame:
         return select_cdx(parse_lines(lines), site, match, url_patterns, ordered=False)
 
     lines = stream_cdx(spark, path, max_rows=batch_size)
-    return import_stream(lines, archive, target, select=select, batch_size=batch_size, **options)
+    options["batch_size"] = batch_size
+    return _import(
+        lines, archive, target, select, checkpoint, on_progress, progress_path, options, (path, batch_size)
+    )
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
@@ -225,11 +263,86 @@ class Pending:
 
     def _batches(self, before: int) -> list[str]:
         """Folders of the complete batches below that number, in their order."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/batch=*/_SUCCESS")
-        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-        folders = (status.getPath().getParent() for status in found)
-        numbered = sorted((int(f.getName().removeprefix("batch=")), f.toString()) for f in folders)
-        return [folder for number, folder in numbered if number < before]
+        return [folder for number, folder in _complete(self.spark, self.folder, "batch") if number < before]
+
+
+class Waiting:
+    """Lines of micro-batches whose rows are not in the table yet, as a range of the pages.
+
+    A micro-batch that waits runs no job and writes nothing, however many wait with it.
+    Merges follow as with ``Pending``; a merge reads the lines that wait at once. They end
+    where the checkpoint says that the micro-batch does, and begin where the last merge
+    ended, which the stream's own folder keeps under the number of the next batch.
+    """
+
+    def __init__(self, pages: tuple[str, int] | None):
+        self.pages = pages
+        self.next, self.start = 0, START
+
+    def begin(self, spark: SparkSession, part: _Part, bring: Callable[[DataFrame], None]) -> None:
+        """Import what another run has left, before the first batch of this one."""
+        self.spark, self.folder, self.bring = spark, f"{part.folder}/waiting", bring
+        own, kept = self.pages, _complete(spark, self.folder, "next")
+        if own is None and not kept:
+            return
+        now = _offset(spark, part.folder, part.number - 1) if part.number else START
+        self.next, self.start = part.number, now
+        if kept:
+            left = json.loads(spark.read.text(kept[-1][1]).first()["value"])
+            self.next, self.start, self.pages = kept[-1][0], left["start"], tuple(left["pages"])
+            self._merge(part.number, now)
+            self.pages = own
+        if own is None:
+            # From now on every batch brings in its own rows.
+            remove(spark, self.folder)
+
+    def add(self, part: _Part, bring: Callable[[DataFrame], None]) -> None:
+        """Let the lines of this batch wait, or import them with those that do."""
+        self.bring, number = bring, part.number + 1
+        end = _offset(self.spark, part.folder, part.number)
+        if "end" in end or 2 * (number - self.next) > number:
+            self._merge(number, end)
+
+    def _merge(self, number: int, end: dict, ends: list[tuple[int, dict]] | None = None) -> None:
+        """Import the lines up to ``end``, where the batch of that number begins."""
+        if place(self.start) >= place(end):
+            return
+        try:
+            self.bring(lines_between(self.spark, self.pages[0], self.start, end))
+        except Exception:
+            if ends is None:
+                found = batch_ends(*self.pages, self.start, end)
+                ends = [(min(self.next + n, number), found_end) for n, found_end in enumerate(found, 1)]
+            if not ends:
+                raise
+            # The batches before the one that fails are whole.
+            middle = len(ends) // 2
+            self._merge(*ends[middle], ends[:middle])
+            self._merge(number, end, ends[middle + 1 :])
+            return
+        self.next, self.start = number, end
+        kept = json.dumps({"start": end, "pages": self.pages})
+        kept = self.spark.createDataFrame([(kept,)], "value string").coalesce(1)
+        kept.write.mode("overwrite").text(f"{self.folder}/next={number}")
+
+
+def _complete(spark: SparkSession, folder: str, label: str) -> list[tuple[int, str]]:
+    """Numbers of the complete folders that are named by the label and one, in their order."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{label}=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    folders = (status.getPath().getParent() for status in found)
+    return sorted((int(f.getName().removeprefix(f"{label}=")), f.toString()) for f in folders)
+
+
+def _offset(spark: SparkSession, checkpoint: str, number: int) -> dict:
+    """Where a micro-batch of a stream by rows ends; its checkpoint is written before it runs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets/{number}")
+    file = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+    finally:
+        file.close()
+    return json.loads(text.splitlines()[-1])
 
 
 def _by_rows(rows: DataFrame) -> bool:

@@ -20,7 +20,7 @@ from crawltable.operators.upsert import ORDER, Target, read_table, rebucket, ups
 from crawltable.plans import imports
 from crawltable.plans.imports import import_cdx
 from crawltable.sources.cdx import parse_lines, read_cdx, select_cdx, stream_cdx
-from crawltable.sources.lines import PageReader
+from crawltable.sources.lines import PageReader, batch_ends, lines_between, place
 from crawltable.streaming import stream as streams
 from crawltable.streaming.stream import import_cdx_stream, import_stream, read_progress, stream_upsert
 from test_archive import http, record
@@ -315,6 +315,105 @@ def test_captures_left_by_a_run_come_with_the_next(spark, store, target, tmp_pat
     assert content(spark, target) == expected
 
 
+def test_waiting_batches_run_no_job(spark, store, target, tmp_path, at_once, monkeypatch):
+    staged, whole = [], streams.stage_pointers
+
+    def counted(*args):
+        staged.append(args)
+        return whole(*args)
+
+    monkeypatch.setattr(streams, "stage_pointers", counted)
+    folder = write_pages(tmp_path / "cdx", store["pages"], [2, 4, 0, 3, 1])
+    checkpoint = tmp_path / "checkpoint"
+    import_cdx_stream(
+        spark, folder, "x.com", store["archive"], target, batch_size=2, checkpoint=str(checkpoint)
+    ).awaitTermination()
+    expected, _ = at_once(range(PAGES))
+    assert content(spark, target) == expected
+    # 23 batches and one without lines, of which those that merge leave anything behind.
+    assert len(list((checkpoint / "commits").glob("[0-9]*"))) == 24
+    assert len(staged) <= 6 and not (checkpoint / "pending").exists()
+
+
+@pytest.mark.parametrize("progress", [False, True])
+def test_lines_left_by_a_killed_run_come_with_the_next(spark, store, target, tmp_path, at_once, monkeypatch, progress):
+    folder = write_pages(tmp_path / "cdx", store["pages"], [2, 4, 0, 3, 1])
+    options = {"batch_size": 4, "checkpoint": str(tmp_path / "checkpoint")}
+
+    def killed(waiting, part, bring, whole=streams.Waiting.add):
+        if part.number == 5:
+            raise RuntimeError("killed")
+        whole(waiting, part, bring)
+
+    with monkeypatch.context() as patch, pytest.raises(StreamingQueryException):
+        patch.setattr(streams.Waiting, "add", killed)
+        import_cdx_stream(spark, folder, "x.com", store["archive"], target, **options).awaitTermination()
+    expected, _ = at_once(range(PAGES))
+    # Batches 3 and 4 wait.
+    assert len(list((tmp_path / "checkpoint" / "commits").glob("[0-9]*"))) == 5
+    assert content(spark, target) != expected
+    if progress:
+        options["progress_path"] = str(tmp_path / "events")
+    import_cdx_stream(spark, folder, "x.com", store["archive"], target, **options).awaitTermination()
+    assert content(spark, target) == expected
+    # A run after that has nothing to do, whether progress was asked for or not.
+    before = spark.table(target.name).inputFiles()
+    import_cdx_stream(spark, folder, "x.com", store["archive"], target, batch_size=4, checkpoint=options["checkpoint"]).awaitTermination()
+    assert spark.table(target.name).inputFiles() == before
+
+
+def test_pointers_of_an_older_run_come_first(spark, store, target, tmp_path, at_once):
+    """Checkpoints may still hold pointers, and no word of the lines that wait."""
+    folder = write_pages(tmp_path / "cdx", store["pages"][:2], range(2))
+    checkpoint = str(tmp_path / "checkpoint")
+    lines = stream_cdx(spark, folder, max_rows=LINES)
+
+    def select(lines):
+        return select_cdx(parse_lines(lines), "x.com", ordered=False)
+
+    def leave(batch, number):
+        streams.stage_pointers(select(batch), f"{checkpoint}/pending", f"batch={number}")
+
+    query = lines.writeStream.foreachBatch(leave).option("checkpointLocation", checkpoint).start()
+    query.processAllAvailable()
+    query.stop()
+    for n, page in enumerate(store["pages"][2:], 2):
+        (tmp_path / "cdx" / f"page-{n}.json").write_text(page)
+    import_cdx_stream(spark, folder, "x.com", store["archive"], target, batch_size=LINES, checkpoint=checkpoint).awaitTermination()
+    expected, _ = at_once(range(PAGES))
+    assert content(spark, target) == expected
+
+
+def test_batches_before_a_broken_line_of_a_merge(spark, store, target, tmp_path):
+    # Of the batches of four that share the merge, the third one is broken.
+    bad = 38
+    lines = [line for page in store["pages"] for line in page.split("\n") if line]
+    folder = write_pages(tmp_path / "cdx", ["\n".join([*lines[:bad], "{}", *lines[bad:]]) + "\n"], [0])
+    with pytest.raises(StreamingQueryException):
+        import_cdx_stream(spark, folder, "x.com", store["archive"], target, batch_size=4).awaitTermination()
+    whole = Target(f"{target.table}_whole", root=target.root, buckets=2)
+    first = write_pages(tmp_path / "first", ["\n".join(lines[: bad // 4 * 4]) + "\n"], [0])
+    import_cdx(spark, first, "x.com", store["archive"], whole)
+    assert content(spark, target) == content(spark, whole)
+
+
+def test_lines_between_offsets(spark, store, tmp_path):
+    folder = write_pages(tmp_path / "pages", store["pages"], [2, 4, 0, 3, 1])
+    reader = PageReader(folder, 7)
+    ends = [reader.initialOffset()]
+    while place(end := reader.latestOffset()) != place(ends[-1]):
+        ends.append(end)
+
+    def lines(start, end):
+        return sorted(r[1:] + (r.line,) for r in lines_between(spark, folder, start, end).select("line", "file", "number").collect())
+
+    inner = [place(e) for e in batch_ends(folder, 7, ends[0], ends[-1])]
+    assert inner == [place(e) for e in ends[1:-1]]
+    assert [place(e) for e in batch_ends(folder, 7, ends[2], ends[4])] == [place(ends[3])]
+    assert lines(ends[0], ends[-1]) == sorted(row for two in zip(ends, ends[1:]) for row in lines(*two))
+    assert lines(ends[2], ends[2]) == []
+
+
 def test_rows_that_share_a_place_are_one(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", 2)], "k string, n int")
     assert sorted(map(tuple, imports.last_rows(rows, "k", "n").collect())) == [("a", 1), ("b", 2)]
